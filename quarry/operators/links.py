@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.keys import stable_key
 from ..functions.text import py_strip, split_keep_empty
 
 # Fixed values that must equal the reference job's behaviour.
@@ -66,11 +67,23 @@ def out_degree(edges: DataFrame) -> DataFrame:
     return edges.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
 
 
-def adjacency_lists(edges: DataFrame) -> DataFrame:
-    """User-facing ``src → sorted array of dst``.
+def adjacency_lists(edges: DataFrame, max_len: int = 100_000) -> DataFrame:
+    """User-facing ``(src, chunk, dsts)``: sorted neighbour arrays.
 
-    One row per source holds all its neighbours, so this is a report form,
-    not an input to ranking (which stays in edge-list form and never builds
-    per-node arrays).
+    A report form, not an input to ranking (which stays in edge-list form).
+    A source with more than ``max_len`` neighbours is split into
+    ``ceil(deg / max_len)`` chunks by a repeatable hash of the target, so no
+    single row or task holds a hub's whole list. The hot-source table has
+    at most ``E / max_len`` rows, which bounds the broadcast.
     """
-    return edges.groupBy("src").agg(F.sort_array(F.collect_list("dst")).alias("dsts"))
+    deg = out_degree(edges)
+    hot = deg.where(F.col("deg") > max_len).select(
+        "src", F.ceil(F.col("deg") / F.lit(max_len)).cast("bigint").alias("nchunk")
+    )
+    chunk = F.pmod(stable_key("dst"), F.coalesce(F.col("nchunk"), F.lit(1).cast("bigint"))).cast("int")
+    return (
+        edges.join(F.broadcast(hot), "src", "left")
+        .select("src", "dst", chunk.alias("chunk"))
+        .groupBy("src", "chunk")
+        .agg(F.sort_array(F.collect_list("dst")).alias("dsts"))
+    )

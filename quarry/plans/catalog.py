@@ -8,7 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import rank
+from ..operators import links, ordering, rank
+from ..session import scratch_path
+from ..sources import files
+from ..sources.tables import table
 from . import graphs
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -40,3 +43,107 @@ def q_pagerank_10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_pagerank_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = rank.pagerank(graphs.graph_users(spark, sf_dir))
     return ranks.select("node", r6("rank"))
+
+
+# -- link files ---------------------------------------------------------------
+
+
+@query("link_parse")
+def q_link_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return links.clean_links(graphs.link_lines(spark, sf_dir))
+
+
+@query("link_dedup")
+def q_link_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return links.edge_set(links.clean_links(graphs.link_lines(spark, sf_dir)))
+
+
+@query("out_degree")
+def q_out_degree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return links.out_degree(links.edge_set(graphs.graph_two_way(spark, sf_dir)))
+
+
+@query("adjacency_lists")
+def q_adjacency_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    adj = links.adjacency_lists(links.edge_set(graphs.graph_two_way(spark, sf_dir)))
+    return adj.select(
+        "src", "chunk", F.size("dsts").cast("bigint").alias("n"), F.array_join("dsts", ",").alias("dsts")
+    )
+
+
+# -- PageRank single steps ------------------------------------------------------
+
+
+@query("rank_init")
+def q_rank_init(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank.rank_init(links.edge_set(graphs.graph_two_way(spark, sf_dir)))
+
+
+@query("rank_contribs")
+def q_rank_contribs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edges = links.edge_set(graphs.graph_two_way(spark, sf_dir))
+    return rank.rank_contribs(edges, rank.rank_init(edges)).select("src", "dst", r6("contrib"))
+
+
+@query("rank_step")
+def q_rank_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edges = links.edge_set(graphs.graph_one_way(spark, sf_dir))
+    return rank.rank_step(edges, rank.rank_init(edges)).select("node", r6("rank"))
+
+
+@query("rank_export_text")
+def q_rank_export_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = rank.pagerank(graphs.graph_two_way(spark, sf_dir), rounds=1)
+    path = scratch_path(spark, "rank_export")
+    files.write_ranks(ranks.select("node", F.round("rank", 6).alias("rank")), path + "/csv", fmt="csv")
+    files.write_lines(files.rank_lines(ranks, digits=6), path + "/text")
+    return files.read_lines(spark, path + "/text")
+
+
+# -- sources, sinks, ordered exports --------------------------------------------------
+
+
+@query("text_scan_lines")
+def q_text_scan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    path = scratch_path(spark, "part_names")
+    even = F.pmod(F.col("p_partkey"), F.lit(2)) == 0
+    files.write_lines(part.where(even), path + "/a", column="p_name")
+    files.write_lines(part.where(~even), path + "/b", column="p_name")
+    return files.read_lines(spark, path + "/*").select(F.col("value").alias("p_name"))
+
+
+@query("csv_scan_strings")
+def q_csv_scan_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = table(spark, sf_dir, "nation")
+    path = scratch_path(spark, "nation_csv")
+    files.write_csv(nation, path)
+    return files.read_csv_strings(spark, path)
+
+
+@query("csv_roundtrip_sorted")
+def q_csv_roundtrip_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    supplier = table(spark, sf_dir, "supplier")
+    as_text = supplier.select([F.col(c).cast("string").alias(c) for c in supplier.columns])
+    ordered = ordering.with_position(as_text, ["s_nationkey", "s_name"])
+    path = scratch_path(spark, "supplier_sorted")
+    files.write_csv(ordered, path)
+    return files.read_csv_strings(spark, path)
+
+
+@query("export_sort")
+def q_export_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events").select(
+        "event_id",
+        F.col("event_type").alias("cca2"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("timestamp"),
+    )
+    return ordering.with_position(ev, ["cca2", "timestamp"]).select("event_id", "pos")
+
+
+@query("export_sort_strings")
+def q_export_sort_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cust = table(spark, sf_dir, "customer").select(
+        F.col("c_nationkey").cast("string").alias("nation_text"), "c_name"
+    )
+    return ordering.with_position(cust, ["nation_text", "c_name"]).select("c_name", "nation_text", "pos")

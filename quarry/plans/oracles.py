@@ -59,3 +59,115 @@ def register(name: str, sql: str) -> None:
 
 register("pagerank_10", pagerank_sql(EDGES_T))
 register("pagerank_users", pagerank_sql(EDGES_U))
+
+
+# -- link files ---------------------------------------------------------------
+
+_P = "CAST(l_partkey AS VARCHAR)"
+_S = "CAST(l_suppkey AS VARCHAR)"
+_O = "CAST(l_orderkey AS VARCHAR)"
+LINK_LINES = f"""
+lines AS (
+  SELECT CASE l_linenumber
+    WHEN 1 THEN 'P' || {_P} || chr(9) || 'S' || {_S}
+    WHEN 2 THEN '#P' || {_P} || chr(9) || 'S' || {_S}
+    WHEN 3 THEN chr(8195) || ' Category:Part ' || {_P} || chr(9) || 'S' || {_S} || ' ' || chr(160) || chr(12288)
+    WHEN 4 THEN 'P' || {_P}
+    WHEN 5 THEN 'P' || {_P} || chr(9) || chr(9) || 'S' || {_S}
+    WHEN 6 THEN 'Talk:P' || {_P} || chr(9) || 'S' || {_S}
+    ELSE ' #O' || {_O} || chr(9) || 'Category:Flag:' || l_returnflag
+  END AS value
+  FROM lineitem
+)"""
+
+
+def _link_sql() -> str:
+    from ..functions.text import PY_STRIP_PATTERN
+
+    return f"""{LINK_LINES},
+parsed AS (
+  SELECT value, string_split(regexp_replace(value, '{PY_STRIP_PATTERN}', '', 'g'), chr(9)) AS parts
+  FROM lines
+),
+kept AS (
+  SELECT string_split(lower(regexp_replace(value, '{PY_STRIP_PATTERN}', '', 'g')), chr(9)) AS lp
+  FROM parsed
+  WHERE NOT starts_with(value, '#') AND len(parts) = 2
+    AND list_bool_and(list_transform(parts, lambda p: starts_with(p, 'Category:') OR NOT contains(p, ':')))
+)"""
+
+
+register("link_parse", "WITH " + _link_sql() + "\nSELECT lp[1] AS src, lp[2] AS dst FROM kept")
+register("link_dedup", "WITH " + _link_sql() + "\nSELECT DISTINCT lp[1] AS src, lp[2] AS dst FROM kept")
+register(
+    "out_degree",
+    "WITH " + EDGES_T + "\nSELECT src, count(*) AS deg FROM edges GROUP BY src",
+)
+register(
+    "adjacency_lists",
+    "WITH " + EDGES_T + """,
+deg AS (SELECT src, count(*) AS deg FROM edges GROUP BY src),
+chunked AS (
+  SELECT e.src, e.dst,
+         CAST((('0x' || substr(md5('0:' || e.dst), 1, 7))::BIGINT
+               % CASE WHEN d.deg > 100000 THEN CAST(ceil(d.deg / 100000) AS BIGINT) ELSE 1 END) AS INTEGER) AS chunk
+  FROM edges e JOIN deg d ON e.src = d.src
+)
+SELECT src, chunk, count(*) AS n, string_agg(dst, ',' ORDER BY dst) AS dsts
+FROM chunked GROUP BY src, chunk""",
+)
+
+# -- PageRank single steps ------------------------------------------------------
+
+register(
+    "rank_init",
+    "WITH " + EDGES_T + "\nSELECT DISTINCT src AS node, CAST(1.0 AS DOUBLE) AS rank FROM edges",
+)
+register(
+    "rank_contribs",
+    "WITH " + EDGES_T + """,
+deg AS (SELECT src, count(*) AS deg FROM edges GROUP BY src)
+SELECT e.src, e.dst, round(1.0::DOUBLE / d.deg, 6) AS contrib
+FROM edges e JOIN deg d ON e.src = d.src""",
+)
+register(
+    "rank_step",
+    "WITH " + EDGES_O + """,
+deg AS (SELECT src, count(*) AS deg FROM edges GROUP BY src)
+SELECT e.dst AS node, round(0.15::DOUBLE + 0.85::DOUBLE * sum(1.0::DOUBLE / d.deg), 6) AS rank
+FROM edges e JOIN deg d ON e.src = d.src GROUP BY e.dst""",
+)
+register(
+    "rank_export_text",
+    "WITH " + pagerank_sql(EDGES_T, rounds=1).removeprefix("WITH ").rsplit("\nSELECT", 1)[0]
+    + "\nSELECT node || chr(9) || printf('%.6f', rank) AS value FROM r1",
+)
+
+# -- sources, sinks, ordered exports ------------------------------------------
+
+register("text_scan_lines", "SELECT p_name FROM part")
+register(
+    "csv_scan_strings",
+    """SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name,
+       CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation""",
+)
+register(
+    "csv_roundtrip_sorted",
+    """SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name,
+       CAST(s_nationkey AS VARCHAR) AS s_nationkey, CAST(s_acctbal AS VARCHAR) AS s_acctbal,
+       CAST(row_number() OVER (ORDER BY CAST(s_nationkey AS VARCHAR) NULLS FIRST, s_name NULLS FIRST) AS VARCHAR) AS pos
+FROM supplier""",
+)
+register(
+    "export_sort",
+    """SELECT event_id,
+       row_number() OVER (ORDER BY event_type NULLS FIRST,
+                                   strftime(ts, '%Y-%m-%d %H:%M:%S.%f') NULLS FIRST) AS pos
+FROM events""",
+)
+register(
+    "export_sort_strings",
+    """SELECT c_name, CAST(c_nationkey AS VARCHAR) AS nation_text,
+       row_number() OVER (ORDER BY CAST(c_nationkey AS VARCHAR) NULLS FIRST, c_name NULLS FIRST) AS pos
+FROM customer""",
+)
