@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import links, ordering, rank
+from ..functions import arrays
+from ..operators import batching, evaluate, features, learn, links, ml, ordering, rank
 from ..session import scratch_path
 from ..sources import files
 from ..sources.tables import table
@@ -147,3 +148,221 @@ def q_export_sort_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_nationkey").cast("string").alias("nation_text"), "c_name"
     )
     return ordering.with_position(cust, ["nation_text", "c_name"]).select("c_name", "nation_text", "pos")
+
+
+# -- labelled examples: split, encode, reshape ----------------------------------
+
+# Fixed demo model: w(c, j) = ((7c + 3j + 33) mod 11 - 5) / 10, j = -1 is the bias.
+def demo_weight(c: int, j: int) -> float:
+    return ((7 * c + 3 * j + 33) % 11 - 5) / 10
+
+
+def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``embeddings`` as a labelled example table with double features."""
+    emb = table(spark, sf_dir, "embeddings")
+    return emb.select("vec_id", arrays.as_double("embedding").alias("features"), "label")
+
+
+def demo_model(k: int = 10, d: int = 64) -> evaluate.LinearModel:
+    return evaluate.LinearModel.from_rule(k, d, demo_weight)
+
+
+@query("train_test_split")
+def q_train_test_split(spark, sf_dir):
+    return features.train_test_split(labelled(spark, sf_dir), "vec_id").select("vec_id", "split")
+
+
+@query("split_counts")
+def q_split_counts(spark, sf_dir):
+    return features.split_counts(features.train_test_split(labelled(spark, sf_dir), "vec_id"), 128)
+
+
+@query("scale_features")
+def q_scale_features(spark, sf_dir):
+    df = features.scale_features(labelled(spark, sf_dir), "features", 255.0)
+    return features.long_form(df, "vec_id", "features")
+
+
+@query("one_hot_labels")
+def q_one_hot_labels(spark, sf_dir):
+    df = features.one_hot_labels(labelled(spark, sf_dir), 10)
+    return features.long_form(df, "vec_id", "label_onehot", "c", "flag")
+
+
+@query("reshape_grid")
+def q_reshape_grid(spark, sf_dir):
+    df = features.reshape_grid(labelled(spark, sf_dir), 8, 8)
+    rows = df.select("vec_id", F.posexplode("grid").alias("r", "row"))
+    return rows.select("vec_id", "r", F.posexplode("row").alias("c", "v"))
+
+
+@query("flatten_grid")
+def q_flatten_grid(spark, sf_dir):
+    df = features.flatten_grid(features.reshape_grid(labelled(spark, sf_dir), 8, 8), "grid", "flat")
+    return features.long_form(df, "vec_id", "flat")
+
+
+@query("unstack_steps")
+def q_unstack_steps(spark, sf_dir):
+    df = features.reshape_grid(labelled(spark, sf_dir), 8, 8)
+    steps = features.unstack_steps(df, "grid", "vec_id")
+    return steps.select("vec_id", "step", F.round(arrays.array_sum("vec"), 6).alias("s"))
+
+
+@query("last_step")
+def q_last_step(spark, sf_dir):
+    df = features.last_step(features.reshape_grid(labelled(spark, sf_dir), 8, 8), "grid", "last")
+    return features.long_form(df, "vec_id", "last")
+
+
+@query("argmax_class")
+def q_argmax_class(spark, sf_dir):
+    return features.argmax_class(labelled(spark, sf_dir), "features").select("vec_id", "cls")
+
+
+@query("take_head")
+def q_take_head(spark, sf_dir):
+    return ordering.head(labelled(spark, sf_dir), ["vec_id"], 128).select("vec_id", "label")
+
+
+# -- shuffle, repeat, batch, shard ------------------------------------------------
+
+
+@query("shuffle_epoch")
+def q_shuffle_epoch(spark, sf_dir):
+    return batching.shuffle_epoch(labelled(spark, sf_dir).select("vec_id"), "vec_id", epoch=1, seed=0)
+
+
+@query("repeat_epochs")
+def q_repeat_epochs(spark, sf_dir):
+    return batching.repeat_epochs(labelled(spark, sf_dir).select("vec_id"), 3)
+
+
+@query("assign_batches")
+def q_assign_batches(spark, sf_dir):
+    return batching.assign_batches(labelled(spark, sf_dir).select("vec_id"), "vec_id", 64, seed=0)
+
+
+@query("assign_batches_exact")
+def q_assign_batches_exact(spark, sf_dir):
+    df = batching.assign_batches_exact(labelled(spark, sf_dir).select("vec_id"), "vec_id", 64, epoch=0, seed=0)
+    return df.select("vec_id", "batch")
+
+
+@query("shard_by_key")
+def q_shard_by_key(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    return batching.shard_by_key(orders, "o_orderkey", 15).select("o_orderkey", "shard")
+
+
+# -- scoring and evaluation with a fixed model ------------------------------------
+
+
+@query("linear_scores")
+def q_linear_scores(spark, sf_dir):
+    df = evaluate.with_scores(labelled(spark, sf_dir), demo_model())
+    return df.select("vec_id", F.posexplode("z").alias("c", "z")).select("vec_id", "c", r6("z"))
+
+
+@query("softmax_scores")
+def q_softmax_scores(spark, sf_dir):
+    df = evaluate.with_probabilities(labelled(spark, sf_dir), demo_model())
+    return df.select("vec_id", F.posexplode("p").alias("c", "p")).select("vec_id", "c", r6("p"))
+
+
+@query("cross_entropy")
+def q_cross_entropy(spark, sf_dir):
+    df = features.one_hot_labels(labelled(spark, sf_dir), 10)
+    return evaluate.cross_entropy(df, demo_model(), onehot="label_onehot").select(r6("loss"), "n")
+
+
+@query("cross_entropy_sparse")
+def q_cross_entropy_sparse(spark, sf_dir):
+    return evaluate.cross_entropy(labelled(spark, sf_dir), demo_model()).select(r6("loss"), "n")
+
+
+@query("accuracy_counts")
+def q_accuracy_counts(spark, sf_dir):
+    return evaluate.accuracy_counts(labelled(spark, sf_dir), demo_model()).select("correct", "total", r6("accuracy"))
+
+
+@query("evaluate_model")
+def q_evaluate_model(spark, sf_dir):
+    df = features.train_test_split(labelled(spark, sf_dir), "vec_id")
+    return evaluate.evaluate_model(df, demo_model()).select("split", "n", r6("loss"), r6("accuracy"))
+
+
+@query("batch_score")
+def q_batch_score(spark, sf_dir):
+    return evaluate.batch_score(labelled(spark, sf_dir), demo_model()).select("vec_id", "pred")
+
+
+# -- training -------------------------------------------------------------------
+
+SGD_BATCHES = 4
+SGD_REPLICAS = 2
+SGD_STEPS = 8
+
+
+def train_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = features.train_test_split(labelled(spark, sf_dir), "vec_id")
+    return df.where(F.col("split") == "train").select("vec_id", "features", "label")
+
+
+def _sync_model(spark, sf_dir, optimizer="sgd", lr=learn.LEARNING_RATE, log_every=0):
+    batched = learn.prepare_batches(train_rows(spark, sf_dir), "vec_id", SGD_BATCHES, seed=0)
+    return learn.sgd_sync(
+        batched, 10, 64, SGD_BATCHES, SGD_STEPS, replicas=SGD_REPLICAS, lr=lr, optimizer=optimizer,
+        log_every=log_every,
+    )
+
+
+def _weights_frame(spark, model):
+    return model.to_frame(spark).select("class", "feature", r6("weight"))
+
+
+@query("softmax_sgd_sync")
+def q_softmax_sgd_sync(spark, sf_dir):
+    model, _ = _sync_model(spark, sf_dir)
+    return _weights_frame(spark, model)
+
+
+@query("softmax_sgd_adam")
+def q_softmax_sgd_adam(spark, sf_dir):
+    model, _ = _sync_model(spark, sf_dir, optimizer="adam", lr=learn.ADAM_RATE)
+    return _weights_frame(spark, model)
+
+
+@query("training_metrics")
+def q_training_metrics(spark, sf_dir):
+    _, log = _sync_model(spark, sf_dir, log_every=2)
+    metrics = learn.append_metrics(spark, log, scratch_path(spark, "metrics"))
+    return metrics.select("step", "metric", r6("value"))
+
+
+@query("weights_roundtrip")
+def q_weights_roundtrip(spark, sf_dir):
+    model, _ = _sync_model(spark, sf_dir)
+    path = scratch_path(spark, "weights")
+    if learn.load_or_init(spark, path, 10, 64).W.any():
+        raise AssertionError("fresh path must initialise to zeros")
+    learn.save_weights(model, spark, path)
+    return _weights_frame(spark, learn.load_or_init(spark, path, 10, 64))
+
+
+@query("softmax_sgd_averaged")
+def q_softmax_sgd_averaged(spark, sf_dir):
+    w = learn.sgd_averaged(train_rows(spark, sf_dir), "vec_id", 10, 64, n_shards=3, n_batches=SGD_BATCHES, seed=0)
+    return w.select("class", "feature", r6("weight"))
+
+
+@query("softmax_regression_ml")
+def q_softmax_regression_ml(spark, sf_dir):
+    df = features.train_test_split(labelled(spark, sf_dir), "vec_id")
+    return ml.softmax_regression(df).select("vec_id", "split", "pred")
+
+
+@query("mlp_classifier")
+def q_mlp_classifier(spark, sf_dir):
+    df = features.train_test_split(labelled(spark, sf_dir), "vec_id")
+    return ml.mlp_classifier(df, hidden=(120, 84)).select("vec_id", "split", "pred")

@@ -171,3 +171,275 @@ register(
        row_number() OVER (ORDER BY CAST(c_nationkey AS VARCHAR) NULLS FIRST, c_name NULLS FIRST) AS pos
 FROM customer""",
 )
+
+
+# -- labelled examples ----------------------------------------------------------
+
+KEY = "('0x' || substr(md5({text}), 1, 7))::BIGINT"
+
+
+def _key(text: str) -> str:
+    return KEY.format(text=text)
+
+
+VEC_KEY = _key("'0:' || CAST(vec_id AS VARCHAR)")
+ORDER_KEY = _key("'0:' || CAST(o_orderkey AS VARCHAR)")
+SPLIT = f"CASE WHEN {VEC_KEY} % 100 < 20 THEN 'test' ELSE 'train' END"
+LONG_X = """x AS (
+  SELECT vec_id, label, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS j,
+         CAST(unnest(embedding) AS DOUBLE) AS x
+  FROM embeddings
+)"""
+WEIGHTS = """w AS (
+  SELECT CAST(c AS INTEGER) AS c, CAST(j AS INTEGER) AS j,
+         CAST(((7 * c + 3 * j + 33) % 11) - 5 AS DOUBLE) / 10 AS w
+  FROM range(10) t(c), range(-1, 64) u(j)
+)"""
+SCORES = f"""{LONG_X},
+{WEIGHTS},
+z AS (
+  SELECT s.vec_id, s.label, s.c, s.s + b.w AS z FROM (
+    SELECT x.vec_id, any_value(x.label) AS label, w.c, sum(x.x * w.w) AS s
+    FROM x JOIN w ON x.j = w.j GROUP BY x.vec_id, w.c
+  ) s JOIN w b ON b.c = s.c AND b.j = -1
+),
+lse AS (
+  SELECT vec_id, any_value(label) AS label, max(z) + ln(sum(exp(z - m))) AS lse,
+         arg_max(c, z) AS pred_any
+  FROM (SELECT *, max(z) OVER (PARTITION BY vec_id) AS m FROM z) GROUP BY vec_id
+),
+pred AS (
+  SELECT vec_id, min(c) AS pred FROM (
+    SELECT vec_id, c, z, max(z) OVER (PARTITION BY vec_id) AS m FROM z
+  ) WHERE z = m GROUP BY vec_id
+),
+per_row AS (
+  SELECT l.vec_id, l.label, l.lse - zl.z AS loss, CAST(p.pred = l.label AS INTEGER) AS ok
+  FROM lse l JOIN z zl ON zl.vec_id = l.vec_id AND zl.c = l.label JOIN pred p ON p.vec_id = l.vec_id
+)"""
+
+register("train_test_split", f"SELECT vec_id, {SPLIT} AS split FROM embeddings")
+register(
+    "split_counts",
+    f"""SELECT split, count(*) AS n, CAST(floor(count(*) / 128) AS BIGINT) AS n_batches
+FROM (SELECT {SPLIT} AS split FROM embeddings) GROUP BY split""",
+)
+register("scale_features", "WITH " + LONG_X + "\nSELECT vec_id, j AS i, x / 255.0 AS v FROM x")
+register(
+    "one_hot_labels",
+    "SELECT vec_id, CAST(c AS INTEGER) AS c, CASE WHEN label = c THEN 1.0 ELSE 0.0 END::DOUBLE AS flag "
+    "FROM embeddings, range(10) t(c)",
+)
+register(
+    "reshape_grid",
+    "WITH " + LONG_X + "\nSELECT vec_id, CAST(j // 8 AS INTEGER) AS r, CAST(j % 8 AS INTEGER) AS c, x AS v FROM x",
+)
+register("flatten_grid", "WITH " + LONG_X + "\nSELECT vec_id, j AS i, x AS v FROM x")
+register(
+    "unstack_steps",
+    "WITH " + LONG_X + "\nSELECT vec_id, CAST(j // 8 AS INTEGER) AS step, round(sum(x), 6) AS s FROM x GROUP BY vec_id, j // 8",
+)
+register("last_step", "WITH " + LONG_X + "\nSELECT vec_id, j - 56 AS i, x AS v FROM x WHERE j >= 56")
+register(
+    "argmax_class",
+    "SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS cls FROM embeddings",
+)
+register("take_head", "SELECT vec_id, label FROM embeddings ORDER BY vec_id LIMIT 128")
+
+# -- shuffle, repeat, batch, shard ------------------------------------------------
+
+SHUF = _key("'0:' || '1' || ':' || CAST(vec_id AS VARCHAR)")
+SHUF0 = _key("'0:' || '0' || ':' || CAST(vec_id AS VARCHAR)")
+register(
+    "shuffle_epoch",
+    f"SELECT vec_id, row_number() OVER (ORDER BY {SHUF}, vec_id) AS pos FROM embeddings",
+)
+register(
+    "repeat_epochs",
+    "SELECT vec_id, CAST(e AS INTEGER) AS epoch FROM embeddings, range(3) t(e)",
+)
+register(
+    "assign_batches",
+    f"""SELECT vec_id, CAST({VEC_KEY}
+       % CAST(ceil((SELECT count(*) FROM embeddings) / 64.0) AS BIGINT) AS INTEGER) AS batch
+FROM embeddings""",
+)
+register(
+    "assign_batches_exact",
+    f"""SELECT vec_id, CAST((row_number() OVER (ORDER BY {SHUF0}, vec_id) - 1) // 64 AS INTEGER) AS batch
+FROM embeddings""",
+)
+register(
+    "shard_by_key",
+    f"SELECT o_orderkey, CAST({ORDER_KEY} % 15 AS INTEGER) AS shard FROM orders",
+)
+
+# -- scoring and evaluation with a fixed model --------------------------------------
+
+register("linear_scores", "WITH " + SCORES + "\nSELECT vec_id, c, round(z, 6) AS z FROM z")
+register(
+    "softmax_scores",
+    "WITH " + SCORES + "\nSELECT z.vec_id, z.c, round(exp(z.z - l.lse), 6) AS p FROM z JOIN lse l ON l.vec_id = z.vec_id",
+)
+register("cross_entropy", "WITH " + SCORES + "\nSELECT round(avg(loss), 6) AS loss, count(*) AS n FROM per_row")
+register("cross_entropy_sparse", "WITH " + SCORES + "\nSELECT round(avg(loss), 6) AS loss, count(*) AS n FROM per_row")
+register(
+    "accuracy_counts",
+    "WITH " + SCORES + """
+SELECT CAST(sum(ok) AS BIGINT) AS correct, count(*) AS total, round(sum(ok) / count(*), 6) AS accuracy FROM per_row""",
+)
+register(
+    "evaluate_model",
+    "WITH " + SCORES + f""",
+split AS (SELECT vec_id, {SPLIT} AS split FROM embeddings)
+SELECT s.split, count(*) AS n, round(avg(loss), 6) AS loss, round(avg(ok), 6) AS accuracy
+FROM per_row p JOIN split s ON s.vec_id = p.vec_id GROUP BY s.split""",
+)
+register("batch_score", "WITH " + SCORES + "\nSELECT vec_id, pred FROM pred")
+
+
+# -- training (chained CTEs, one block per step) ------------------------------------
+
+TRAIN_KEY_SPLIT = SPLIT
+
+
+def _sgd_base(n_batches: int, extra_cols: str = "") -> list[str]:
+    return [
+        f"""tr AS MATERIALIZED (
+  SELECT vec_id, label, CAST({VEC_KEY} % {n_batches} AS INTEGER) AS batch{extra_cols}
+  FROM embeddings WHERE {SPLIT} = 'train'
+)""",
+        """xl AS MATERIALIZED (
+  SELECT t.vec_id, t.label, t.batch, x.j, x.x FROM tr t JOIN (
+    SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS j,
+           CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings
+  ) x ON x.vec_id = t.vec_id
+  UNION ALL
+  SELECT vec_id, label, batch, -1, CAST(1.0 AS DOUBLE) FROM tr
+)""",
+        "nb AS MATERIALIZED (SELECT batch, count(*) AS n FROM tr GROUP BY batch)",
+    ]
+
+
+def _step_ctes(s: int, where: str) -> list[str]:
+    return [
+        f"""z{s} AS MATERIALIZED (
+  SELECT xl.vec_id, any_value(xl.label) AS label, any_value(xl.batch) AS batch, w.c, sum(xl.x * w.w) AS z
+  FROM xl JOIN w{s} w ON xl.j = w.j WHERE {where} GROUP BY xl.vec_id, w.c
+)""",
+        f"zm{s} AS (SELECT *, max(z) OVER (PARTITION BY vec_id) AS m FROM z{s})",
+        f"l{s} AS MATERIALIZED (SELECT vec_id, any_value(m) + ln(sum(exp(z - m))) AS lse FROM zm{s} GROUP BY vec_id)",
+        f"""d{s} AS MATERIALIZED (
+  SELECT z.vec_id, z.batch, z.c, exp(z.z - l.lse) - CASE WHEN z.c = z.label THEN 1.0 ELSE 0.0 END AS d
+  FROM z{s} z JOIN l{s} l ON l.vec_id = z.vec_id
+)""",
+    ]
+
+
+def sgd_sql(steps: int, replicas: int, n_batches: int, lr: float, optimizer: str = "sgd",
+            log_every: int = 0, beta1: float = 0.9, beta2: float = 0.999, eps: float = 1e-8) -> str:
+    import math
+
+    ctes = _sgd_base(n_batches)
+    ctes.append(
+        "w0 AS MATERIALIZED (SELECT CAST(c AS INTEGER) AS c, CAST(j AS INTEGER) AS j, CAST(0 AS DOUBLE) AS w, "
+        "CAST(0 AS DOUBLE) AS m, CAST(0 AS DOUBLE) AS v FROM range(10) t(c), range(-1, 64) u(j))"
+    )
+    metrics = []
+    for s in range(steps):
+        ids = sorted({(s * replicas + r) % n_batches for r in range(replicas)})
+        where = f"xl.batch IN ({', '.join(map(str, ids))})"
+        ctes += _step_ctes(s, where)
+        ctes.append(
+            f"""g{s} AS MATERIALIZED (
+  SELECT c, j, sum(gb) / count(*) AS g FROM (
+    SELECT d.c, xl.j, d.batch, sum(d.d * xl.x) / any_value(n.n) AS gb
+    FROM d{s} d JOIN xl ON xl.vec_id = d.vec_id JOIN nb n ON n.batch = d.batch
+    GROUP BY d.c, xl.j, d.batch
+  ) GROUP BY c, j
+)"""
+        )
+        if optimizer == "sgd":
+            upd = f"w.w - {lr!r} * g.g AS w, w.m, w.v"
+        else:
+            t = s + 1
+            lr_t = lr * math.sqrt(1 - beta2**t) / (1 - beta1**t)
+            m_new = f"({beta1!r} * w.m + {1 - beta1!r} * g.g)"
+            v_new = f"({beta2!r} * w.v + {1 - beta2!r} * g.g * g.g)"
+            upd = f"w.w - {lr_t!r} * {m_new} / (sqrt({v_new}) + {eps!r}) AS w, {m_new} AS m, {v_new} AS v"
+        ctes.append(
+            f"w{s + 1} AS MATERIALIZED (SELECT w.c, w.j, {upd} FROM w{s} w JOIN g{s} g ON g.c = w.c AND g.j = w.j)"
+        )
+        if log_every and s % log_every == 0:
+            ctes.append(
+                f"""p{s} AS (SELECT vec_id, min(c) AS pred FROM zm{s} WHERE z = m GROUP BY vec_id)"""
+            )
+            metrics.append(
+                f"""SELECT CAST({s} AS BIGINT) AS step, 'loss' AS metric, round(avg(l.lse - z.z), 6) AS value
+FROM l{s} l JOIN z{s} z ON z.vec_id = l.vec_id AND z.c = z.label
+UNION ALL
+SELECT CAST({s} AS BIGINT), 'accuracy', round(avg(CASE WHEN p.pred = z.label THEN 1.0 ELSE 0.0 END), 6)
+FROM p{s} p JOIN (SELECT DISTINCT vec_id, label FROM z{s}) z ON z.vec_id = p.vec_id"""
+            )
+    head = "WITH " + ",\n".join(ctes) + "\n"
+    if log_every:
+        return head + "\nUNION ALL\n".join(metrics)
+    return head + f"SELECT c AS class, j AS feature, round(w, 6) + 0.0 AS weight FROM w{steps}"
+
+
+def averaged_sql(n_shards: int, n_batches: int, lr: float) -> str:
+    shard_key = _key("'0:' || CAST(vec_id AS VARCHAR)")
+    batch_key = _key("'0+1:' || CAST(vec_id AS VARCHAR)")
+    ctes = [
+        f"""tr AS MATERIALIZED (
+  SELECT vec_id, label, CAST({shard_key} % {n_shards} AS INTEGER) AS shard,
+         CAST({batch_key} % {n_batches} AS INTEGER) AS batch
+  FROM embeddings WHERE {SPLIT} = 'train'
+)""",
+        """xl AS MATERIALIZED (
+  SELECT t.vec_id, t.label, t.shard, t.batch, x.j, x.x FROM tr t JOIN (
+    SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS j,
+           CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings
+  ) x ON x.vec_id = t.vec_id
+  UNION ALL
+  SELECT vec_id, label, shard, batch, -1, CAST(1.0 AS DOUBLE) FROM tr
+)""",
+        "nb AS MATERIALIZED (SELECT shard, batch, count(*) AS n FROM tr GROUP BY shard, batch)",
+        "shards AS (SELECT DISTINCT shard FROM tr)",
+        "w0 AS MATERIALIZED (SELECT shard, CAST(c AS INTEGER) AS c, CAST(j AS INTEGER) AS j, CAST(0 AS DOUBLE) AS w "
+        "FROM shards, range(10) t(c), range(-1, 64) u(j))",
+    ]
+    for s in range(n_batches):
+        ctes += [
+            f"""z{s} AS MATERIALIZED (
+  SELECT xl.vec_id, any_value(xl.label) AS label, xl.shard, w.c, sum(xl.x * w.w) AS z
+  FROM xl JOIN w{s} w ON xl.j = w.j AND xl.shard = w.shard WHERE xl.batch = {s}
+  GROUP BY xl.vec_id, xl.shard, w.c
+)""",
+            f"zm{s} AS (SELECT *, max(z) OVER (PARTITION BY vec_id) AS m FROM z{s})",
+            f"l{s} AS MATERIALIZED (SELECT vec_id, any_value(m) + ln(sum(exp(z - m))) AS lse FROM zm{s} GROUP BY vec_id)",
+            f"""d{s} AS MATERIALIZED (
+  SELECT z.vec_id, z.shard, z.c, exp(z.z - l.lse) - CASE WHEN z.c = z.label THEN 1.0 ELSE 0.0 END AS d
+  FROM z{s} z JOIN l{s} l ON l.vec_id = z.vec_id
+)""",
+            f"""g{s} AS MATERIALIZED (
+  SELECT d.shard, d.c, xl.j, sum(d.d * xl.x) / any_value(n.n) AS g
+  FROM d{s} d JOIN xl ON xl.vec_id = d.vec_id JOIN nb n ON n.shard = d.shard AND n.batch = {s}
+  GROUP BY d.shard, d.c, xl.j
+)""",
+            f"""w{s + 1} AS MATERIALIZED (
+  SELECT w.shard, w.c, w.j, w.w - {lr!r} * coalesce(g.g, 0.0) AS w
+  FROM w{s} w LEFT JOIN g{s} g ON g.shard = w.shard AND g.c = w.c AND g.j = w.j
+)""",
+        ]
+    return (
+        "WITH " + ",\n".join(ctes)
+        + f"\nSELECT c AS class, j AS feature, round(avg(w), 6) + 0.0 AS weight FROM w{n_batches} GROUP BY c, j"
+    )
+
+
+register("softmax_sgd_sync", sgd_sql(8, 2, 4, 0.025))
+register("weights_roundtrip", sgd_sql(8, 2, 4, 0.025))
+register("softmax_sgd_adam", sgd_sql(8, 2, 4, 1e-3, optimizer="adam"))
+register("training_metrics", sgd_sql(8, 2, 4, 0.025, log_every=2))
+register("softmax_sgd_averaged", averaged_sql(3, 4, 0.025))
