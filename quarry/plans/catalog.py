@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import arrays
-from ..operators import batching, evaluate, features, learn, links, ml, ordering, rank
+from ..operators import batching, evaluate, features, learn, links, ml, ordering, rank, sweeps
 from ..session import scratch_path
 from ..sources import files
 from ..sources.tables import table
-from . import graphs
+from . import graphs, sheets
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -366,3 +366,50 @@ def q_softmax_regression_ml(spark, sf_dir):
 def q_mlp_classifier(spark, sf_dir):
     df = features.train_test_split(labelled(spark, sf_dir), "vec_id")
     return ml.mlp_classifier(df, hidden=(120, 84)).select("vec_id", "split", "pred")
+
+
+# -- experiment sheets ------------------------------------------------------------
+
+
+def _sweeps(spark, sf_dir):
+    path, settings = sheets.write_sheet(spark, sf_dir)
+    return sweeps.read_sweeps(spark, path), settings
+
+
+@query("sweep_unpivot")
+def q_sweep_unpivot(spark, sf_dir):
+    raw = sweeps.parse_sheet(sweeps.read_sheet_lines(spark, sheets.write_sheet(spark, sf_dir)[0]))
+    value = F.round(sweeps.parse_value(F.col("value_text")), 6).alias("value")
+    return raw.select("experiment", "series", "setting_text", value)
+
+
+@query("sweep_parse_values")
+def q_sweep_parse_values(spark, sf_dir):
+    t, _ = _sweeps(spark, sf_dir)
+    return t.select("experiment", "model", "measure", "setting", r6("value"))
+
+
+@query("sweep_speedup")
+def q_sweep_speedup(spark, sf_dir):
+    t, _ = _sweeps(spark, sf_dir)
+    return sweeps.speedup(t).select("experiment", "series", "setting", r6("speedup"))
+
+
+@query("sweep_best_setting")
+def q_sweep_best_setting(spark, sf_dir):
+    t, _ = _sweeps(spark, sf_dir)
+    return sweeps.best_setting(t).select("experiment", "series", "best_setting", r6("best_value"))
+
+
+@query("sweep_model_ratio")
+def q_sweep_model_ratio(spark, sf_dir):
+    t, _ = _sweeps(spark, sf_dir)
+    return sweeps.model_ratio(t, "F", "O").select("experiment", "measure", "setting", r6("ratio"))
+
+
+@query("sweep_pivot")
+def q_sweep_pivot(spark, sf_dir):
+    t, settings = _sweeps(spark, sf_dir)
+    wide = sweeps.pivot(t, settings)
+    cols = [sweeps.setting_label(float(s)) for s in settings]
+    return wide.select("experiment", "series", *[r6(c) for c in cols])

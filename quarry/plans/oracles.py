@@ -237,7 +237,7 @@ register(
 register("flatten_grid", "WITH " + LONG_X + "\nSELECT vec_id, j AS i, x AS v FROM x")
 register(
     "unstack_steps",
-    "WITH " + LONG_X + "\nSELECT vec_id, CAST(j // 8 AS INTEGER) AS step, round(sum(x), 6) AS s FROM x GROUP BY vec_id, j // 8",
+    "WITH " + LONG_X + "\nSELECT vec_id, CAST(j // 8 AS INTEGER) AS step, round(sum(x), 6) + 0.0 AS s FROM x GROUP BY vec_id, j // 8",
 )
 register("last_step", "WITH " + LONG_X + "\nSELECT vec_id, j - 56 AS i, x AS v FROM x WHERE j >= 56")
 register(
@@ -276,7 +276,7 @@ register(
 
 # -- scoring and evaluation with a fixed model --------------------------------------
 
-register("linear_scores", "WITH " + SCORES + "\nSELECT vec_id, c, round(z, 6) AS z FROM z")
+register("linear_scores", "WITH " + SCORES + "\nSELECT vec_id, c, round(z, 6) + 0.0 AS z FROM z")
 register(
     "softmax_scores",
     "WITH " + SCORES + "\nSELECT z.vec_id, z.c, round(exp(z.z - l.lse), 6) AS p FROM z JOIN lse l ON l.vec_id = z.vec_id",
@@ -443,3 +443,55 @@ register("weights_roundtrip", sgd_sql(8, 2, 4, 0.025))
 register("softmax_sgd_adam", sgd_sql(8, 2, 4, 1e-3, optimizer="adam"))
 register("training_metrics", sgd_sql(8, 2, 4, 0.025, log_every=2))
 register("softmax_sgd_averaged", averaged_sql(3, 4, 0.025))
+
+
+# -- experiment sheets -------------------------------------------------------------
+
+SWEEP_TIDY = """agg AS (
+  SELECT l_returnflag AS f, l_linestatus AS st, l_linenumber AS ln,
+         avg(l_extendedprice) AS price, avg(l_quantity) AS qty
+  FROM lineitem GROUP BY l_returnflag, l_linestatus, l_linenumber
+),
+tidy AS (
+  SELECT 'Flag ' || f || ' (avg price, by line number)' AS experiment, st || ' (' || m.measure || ')' AS series,
+         st AS model, m.measure, CAST(ln AS DOUBLE) AS setting,
+         CASE WHEN ln % 2 = 0 THEN '2*' || CAST(ln // 2 AS VARCHAR) ELSE CAST(ln AS VARCHAR) END AS setting_text,
+         CASE WHEN m.measure = 'price' THEN price ELSE qty END AS value
+  FROM agg, (VALUES ('price'), ('qty')) m(measure)
+)"""
+
+register("sweep_unpivot", "WITH " + SWEEP_TIDY + "\nSELECT experiment, series, setting_text, round(value, 6) AS value FROM tidy")
+register(
+    "sweep_parse_values",
+    "WITH " + SWEEP_TIDY + "\nSELECT experiment, model, measure, setting, round(value, 6) AS value FROM tidy",
+)
+register(
+    "sweep_speedup",
+    "WITH " + SWEEP_TIDY + """,
+base AS (SELECT experiment, series, arg_min(value, setting) AS b FROM tidy GROUP BY experiment, series)
+SELECT t.experiment, t.series, t.setting, round(b.b / t.value, 6) AS speedup
+FROM tidy t JOIN base b ON b.experiment = t.experiment AND b.series = t.series""",
+)
+register(
+    "sweep_best_setting",
+    "WITH " + SWEEP_TIDY + """
+SELECT experiment, series, arg_min(setting, [value, setting]) AS best_setting, round(min(value), 6) AS best_value
+FROM tidy GROUP BY experiment, series""",
+)
+register(
+    "sweep_model_ratio",
+    "WITH " + SWEEP_TIDY + """
+SELECT a.experiment, a.measure, a.setting, round(a.value / b.value, 6) AS ratio
+FROM tidy a JOIN tidy b ON a.experiment = b.experiment AND a.measure = b.measure AND a.setting = b.setting
+WHERE a.model = 'F' AND b.model = 'O'""",
+)
+
+
+def _pivot_sql(settings=range(1, 8)) -> str:
+    cols = ", ".join(
+        f"round(max(CASE WHEN setting = {s} THEN value END), 6) AS s_{s}" for s in settings
+    )
+    return "WITH " + SWEEP_TIDY + f"\nSELECT experiment, series, {cols} FROM tidy GROUP BY experiment, series"
+
+
+register("sweep_pivot", _pivot_sql())
