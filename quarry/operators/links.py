@@ -48,12 +48,19 @@ def is_link_line(line: Column) -> Column:
 
 
 def clean_links(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Raw lines → ``(src, dst)`` rows, duplicates kept."""
+    """Raw lines → ``(src, dst)`` rows, duplicates kept.
+
+    The stripped, split fields are projected once and then filtered, so the
+    strip regex runs once per line.
+    """
     line = F.col(column)
-    parts = F.split(F.lower(py_strip(line)), "\t", -1)
-    return (
-        lines.where(is_link_line(line))
-        .select(parts.getItem(0).alias("src"), parts.getItem(1).alias("dst"))
+    fields = lines.select(line.startswith(COMMENT_PREFIX).alias("_comment"), link_fields(line).alias("_p"))
+    parts = F.col("_p")
+    namespace_ok = F.forall(
+        parts, lambda p: p.startswith(ALLOWED_NAMESPACE) | ~p.contains(NAMESPACE_MARK)
+    )
+    return fields.where(~F.col("_comment") & (F.size(parts) == 2) & namespace_ok).select(
+        F.lower(parts.getItem(0)).alias("src"), F.lower(parts.getItem(1)).alias("dst")
     )
 
 
