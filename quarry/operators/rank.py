@@ -21,10 +21,11 @@ Physical plan, designed for a skewed web-scale graph:
   salt. The hot table has at most ``E / T <= partitions`` rows: a proven
   bound, so broadcasting it is safe.
 * The node table ``(node, deg, nsalt)`` is hash-partitioned on ``node``
-  exactly like the ``groupBy(dst)`` output of the previous round, so the
-  rank ⋈ node join needs no exchange. Per round the only shuffles are the
-  send rows (one per node, plus salts) and the pre-aggregated sums by
-  ``dst`` (partial aggregation absorbs hot targets).
+  exactly like the ``groupBy(dst)`` output, so the new ranks pick up
+  ``deg``/``nsalt`` *before* the lineage cut with no exchange, and the
+  checkpointed rows are exactly what the next round sends. The only
+  per-round shuffles are the send rows (one per node, plus salts) and the
+  pre-aggregated sums by ``dst`` (partial aggregation absorbs hot targets).
 * Lineage is cut every ``cut_every`` rounds (default: every round) with a
   reliable checkpoint: the plan stays one round deep (planning a chain of
   rounds costs more than writing the node-sized rank set) and a lost
@@ -101,50 +102,69 @@ def prepare_graph(
     partitions: int | None = None,
     hot_threshold: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Distinct, salted, co-partitioned edge and node tables (persisted).
+    """Distinct, salted, co-partitioned edge table and the node table.
 
-    Returns ``(salted_edges[src, salt, dst], nodes[node, deg, nsalt])``.
+    Returns ``(salted_edges[src, salt, dst], nodes[node, deg, nsalt])``,
+    both persisted: edges hash-partitioned on ``(src, salt)``, nodes on
+    ``node``, each with ``partitions`` (default: the shuffle setting) parts.
     """
     spark = edges.sparkSession
     n_part = partitions or shuffle_partitions(spark)
     distinct_edges = persist(edge_set(edges))
     n_edges = distinct_edges.count()
     threshold = hot_threshold or max(1, math.ceil(n_edges / n_part))
-    deg = persist(out_degree(distinct_edges))
-    hot = _hot_sources(deg, threshold)
+    deg = out_degree(distinct_edges)
     # Proven bound: sum(deg) = E, so at most E / threshold <= n_part sources
     # exceed the threshold; broadcasting the hot table is therefore safe.
-    hot_b = F.broadcast(hot)
-
-    salted = (
+    hot_b = F.broadcast(_hot_sources(deg, threshold))
+    nodes = persist(
+        deg.join(hot_b, "src", "left")
+        .select(F.col("src").alias("node"), "deg", F.coalesce(F.col("nsalt"), F.lit(1)).alias("nsalt"))
+        .repartition(n_part, "node")
+    )
+    salted = persist(
         distinct_edges.join(hot_b, "src", "left")
         .select(
             "src",
-            F.pmod(F.xxhash64("dst"), F.coalesce(F.col("nsalt"), F.lit(1)))
-            .cast("int")
-            .alias("salt"),
+            F.pmod(F.xxhash64("dst"), F.coalesce(F.col("nsalt"), F.lit(1))).cast("int").alias("salt"),
             "dst",
         )
         .repartition(n_part, "src", "salt")
     )
-    nodes = (
-        deg.join(hot_b, "src", "left")
-        .select(
-            F.col("src").alias("node"),
-            "deg",
-            F.coalesce(F.col("nsalt"), F.lit(1)).alias("nsalt"),
-        )
-        .repartition(n_part, "node")
-    )
-    salted = persist(salted)
-    nodes = persist(nodes)
     salted.count()
     nodes.count()
     distinct_edges.unpersist()
-    deg.unpersist()
     return salted, nodes
 
 
+def pagerank_round(salted: DataFrame, nodes: DataFrame, ranks: DataFrame, damping: float = DAMPING) -> DataFrame:
+    """One round from enriched ranks ``(node, rank, deg, nsalt)`` to the next.
+
+    The aggregate by ``dst`` and the node table are hash-partitioned alike,
+    so attaching ``deg``/``nsalt`` to the new ranks moves nothing; the
+    enriched rows are what the next round sends (nodes without out-links
+    keep a null ``deg`` and send nothing, the reference's inner join).
+    """
+    send = ranks.where(F.col("deg").isNotNull()).select(
+        F.col("node").alias("src"),
+        (F.col("rank") / F.col("deg")).alias("share"),
+        F.explode(F.sequence(F.lit(0), F.col("nsalt") - 1)).alias("salt"),
+    )
+    # Build the hash table on the per-node send rows and stream the
+    # co-partitioned edges: the edge side is never shuffled, sorted or
+    # broadcast, whatever its cached size looks like to the planner.
+    sums = (
+        salted.join(send.hint("shuffle_hash"), ["src", "salt"])
+        .groupBy("dst")
+        .agg(F.sum("share").alias("s"))
+        .select(
+            F.col("dst").alias("node"),
+            (F.lit(_base(damping)) + F.lit(damping) * F.col("s")).alias("rank"),
+        )
+    )
+    return sums.join(nodes.hint("shuffle_hash"), "node", "left")
+
+
 def pagerank(
     edges: DataFrame,
     rounds: int = ROUNDS,
@@ -155,31 +175,16 @@ def pagerank(
 ) -> DataFrame:
     """``(node, rank)`` after exactly ``rounds`` rounds.
 
-    ``edges`` needs ``src`` and ``dst`` string-or-comparable columns;
-    duplicates are removed first. The result is checkpointed (reliable) and
-    its inputs are released.
+    ``edges`` needs ``src`` and ``dst`` columns; duplicates are removed
+    first. Per round only the send rows (one per node with out-links, plus
+    salts) and the partial sums by ``dst`` are shuffled. The result is
+    checkpointed (reliable) and the inputs are released.
     """
     salted, nodes = prepare_graph(edges, partitions, hot_threshold)
-    ranks = nodes.select("node", F.lit(1.0).alias("rank"))
+    ranks = nodes.select("node", F.lit(1.0).alias("rank"), "deg", "nsalt")
     prev_cut: DataFrame | None = None
     for i in range(1, rounds + 1):
-        send = ranks.join(nodes, "node").select(
-            F.col("node").alias("src"),
-            (F.col("rank") / F.col("deg")).alias("share"),
-            F.explode(F.sequence(F.lit(0), F.col("nsalt") - 1)).alias("salt"),
-        )
-        # Build the hash table on the per-node send rows and stream the
-        # co-partitioned edges: the edge side is never shuffled, sorted or
-        # broadcast, whatever its cached size looks like to the planner.
-        ranks = (
-            salted.join(send.hint("shuffle_hash"), ["src", "salt"])
-            .groupBy("dst")
-            .agg(F.sum("share").alias("s"))
-            .select(
-                F.col("dst").alias("node"),
-                (F.lit(_base(damping)) + F.lit(damping) * F.col("s")).alias("rank"),
-            )
-        )
+        ranks = pagerank_round(salted, nodes, ranks, damping)
         if cut_every and (i % cut_every == 0 or i == rounds):
             ranks = cut_lineage(ranks)
             if prev_cut is not None:
@@ -187,4 +192,4 @@ def pagerank(
             prev_cut = ranks
     salted.unpersist()
     nodes.unpersist()
-    return ranks
+    return ranks.select("node", "rank")
