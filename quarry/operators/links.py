@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import stable_key
+from ..session import join_small
 from ..functions.text import py_strip, split_keep_empty
 
 # Fixed values that must equal the reference job's behaviour.
@@ -81,7 +82,8 @@ def adjacency_lists(edges: DataFrame, max_len: int = 100_000) -> DataFrame:
     A source with more than ``max_len`` neighbours is split into
     ``ceil(deg / max_len)`` chunks by a repeatable hash of the target, so no
     single row or task holds a hub's whole list. The hot-source table has
-    at most ``E / max_len`` rows, which bounds the broadcast.
+    at most ``E / max_len`` rows; it is broadcast only after that size is
+    checked (:func:`~quarry.session.join_small`).
     """
     deg = out_degree(edges)
     hot = deg.where(F.col("deg") > max_len).select(
@@ -89,7 +91,7 @@ def adjacency_lists(edges: DataFrame, max_len: int = 100_000) -> DataFrame:
     )
     chunk = F.pmod(stable_key("dst"), F.coalesce(F.col("nchunk"), F.lit(1).cast("bigint"))).cast("int")
     return (
-        edges.join(F.broadcast(hot), "src", "left")
+        join_small(edges, hot, "src", "left")
         .select("src", "dst", chunk.alias("chunk"))
         .groupBy("src", "chunk")
         .agg(F.sort_array(F.collect_list("dst")).alias("dsts"))

@@ -3,8 +3,9 @@
 ``total_sort`` is the export-sort job: ascending on the given keys, string
 keys compare by UTF-8 bytes (so ``'10' < '9'``), nulls first. Spark plans it
 as a sampled range exchange plus a local sort, and the part files in order
-form the total order. A tie-break key lets the range partitioner split a
-single hot key (say one country holding a third of the rows) over many
+form the total order. A per-row tie-break (the row's id within its input
+split, unique and repeatable for the same input) lets the range partitioner
+split a hot key — even one row repeated a third of the time — over many
 tasks instead of one; ties have no defined order in the reference, so any
 tie-break is correct.
 
@@ -35,12 +36,7 @@ def total_sort(df: DataFrame, keys: Sequence[str | Column], tie_break: bool = Tr
     order = [c.asc_nulls_first() for c in _cols(keys)]
     if not tie_break:
         return df.orderBy(*order)
-    cols = df.columns
-    return (
-        df.withColumn("_tie", F.xxhash64(*[F.col(c) for c in cols]))
-        .orderBy(*order, F.col("_tie"))
-        .drop("_tie")
-    )
+    return df.withColumn("_tie", F.monotonically_increasing_id()).orderBy(*order, F.col("_tie")).drop("_tie")
 
 
 def with_position(df: DataFrame, keys: Sequence[str | Column], name: str = "pos") -> DataFrame:
@@ -51,7 +47,9 @@ def with_position(df: DataFrame, keys: Sequence[str | Column], name: str = "pos"
     """
     order = [c.asc_nulls_first() for c in _cols(keys)]
     sorted_df = persist(
-        df.orderBy(*order)
+        df.withColumn("_tie", F.monotonically_increasing_id())
+        .orderBy(*order, F.col("_tie"))
+        .drop("_tie")
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
     )

@@ -64,7 +64,10 @@ def rank_contribs(edges: DataFrame, ranks: DataFrame) -> DataFrame:
     """Per-edge contributions ``(src, dst, contrib = rank(src)/deg(src))``.
 
     Reference-shaped single step (degree joined on the node side, not per
-    edge), used for inspection and the round-one report.
+    edge), used for inspection and the round-one report. Both joins are
+    plain shuffle joins; a hub source's partition is split by AQE's skew
+    handling (the iterative :func:`pagerank` salts hubs explicitly instead,
+    because its persisted, co-partitioned edges are not re-shuffled).
     """
     deg = out_degree(edges)
     send = ranks.withColumnRenamed("node", "src").join(deg, "src").select(

@@ -87,3 +87,17 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "quarr
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+#: Row bound under which a small side is broadcast after its size is checked.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = BROADCAST_MAX_ROWS):
+    """Join with a side whose size is *checked*: broadcast when it has at most
+    ``max_rows`` rows (one cheap count), otherwise a shuffle join, where AQE's
+    skew handling splits oversized partitions of the big side."""
+    from pyspark.sql import functions as F
+
+    n = small.count()
+    return big.join(F.broadcast(small) if n <= max_rows else small, on, how)

@@ -66,3 +66,19 @@ def test_successor_pairs(spark):
 def test_head_is_ordered_limit(spark):
     df = spark.range(0, 1000, 1, 5).select((999 - F.col("id")).alias("k"))
     assert [r["k"] for r in ordering.head(df, ["k"], 5).collect()] == [0, 1, 2, 3, 4]
+
+
+def test_hot_duplicate_key_is_split_across_partitions(spark, tmp_dir):
+    # one (key, key) pair repeated for a third of the rows
+    hot = spark.range(0, 30000, 1, 8).select(F.lit("k").alias("a"), F.lit("t").alias("b"))
+    rest = spark.range(0, 60000, 1, 8).select(F.col("id").cast("string").alias("a"), F.lit("t").alias("b"))
+    out = os.path.join(tmp_dir, "sorted")
+    # keep AQE from merging the (small) range partitions back into one
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ordering.total_sort(hot.unionByName(rest), ["a", "b"]).write.parquet(out)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    per_file = spark.read.parquet(out).groupBy(F.input_file_name().alias("f")).count().collect()
+    assert sum(r["count"] for r in per_file) == 90000
+    assert max(r["count"] for r in per_file) < 30000
