@@ -9,6 +9,7 @@ Every job is fully executed (``noop`` sink or its own file sink); times
 are wall-clock seconds per job. Before timing, each job runs once untimed
 on the smallest tables (``$BENCH_WARMUP_DIR``, default sf0.001) so the
 numbers measure steady-state execution, not JVM and codegen warm-up.
+``BENCH_EVENT_LOG=<dir>`` also writes Spark's event log there.
 """
 
 from __future__ import annotations
@@ -59,7 +60,11 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     n_cpu = int(cpus) if cpus.isdigit() else os.cpu_count() or 8
-    spark = local_session(cpus, partitions=max(8, 2 * n_cpu), app="quarry-bench")
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG"):
+        # stage / task times for later study, written to a scratch folder
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]}
+    spark = local_session(cpus, partitions=max(8, 2 * n_cpu), app="quarry-bench", extra=extra)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
 

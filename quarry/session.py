@@ -68,7 +68,9 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def local_session(cores: int | str = "*", partitions: int = 8, app: str = "quarry") -> SparkSession:
+def local_session(
+    cores: int | str = "*", partitions: int = 8, app: str = "quarry", extra: dict[str, str] | None = None
+) -> SparkSession:
     """Session for tests and single-machine benches. Production jobs get
     their configuration from spark-submit instead."""
     builder = (
@@ -84,6 +86,8 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "quarr
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    for key, value in (extra or {}).items():
+        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
