@@ -85,6 +85,7 @@ def local_session(
         .config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "16g"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
