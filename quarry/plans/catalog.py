@@ -40,6 +40,14 @@ def q_pagerank_10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranks.select("node", r6("rank"))
 
 
+@query("pagerank_one_way")
+def q_pagerank_one_way(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dangling case: parts only send, suppliers only receive, so the rank
+    set is empty from round two (inner-join semantics)."""
+    ranks = rank.pagerank(graphs.graph_one_way(spark, sf_dir), rounds=2)
+    return ranks.select("node", r6("rank"))
+
+
 @query("pagerank_users")
 def q_pagerank_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = rank.pagerank(graphs.graph_users(spark, sf_dir))
