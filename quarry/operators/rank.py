@@ -116,7 +116,7 @@ def prepare_graph(
     distinct_edges = persist(edge_set(edges))
     n_edges = distinct_edges.count()
     threshold = hot_threshold or max(1, math.ceil(n_edges / n_part))
-    deg = out_degree(distinct_edges)
+    deg = persist(out_degree(distinct_edges))  # node-sized, read three times below
     # Proven bound: sum(deg) = E, so at most E / threshold <= n_part sources
     # exceed the threshold; broadcasting the hot table is therefore safe.
     hot_b = F.broadcast(_hot_sources(deg, threshold))
@@ -137,6 +137,7 @@ def prepare_graph(
     salted.count()
     nodes.count()
     distinct_edges.unpersist()
+    deg.unpersist()
     return salted, nodes
 
 
