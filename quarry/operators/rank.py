@@ -39,13 +39,28 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, persist, shuffle_partitions
+from ..session import cut_lineage, persist, scoped_conf
 from .links import edge_set, out_degree
 
 # Fixed values of the reference job.
 DAMPING = 0.85
 ROUNDS = 10
 
+# Sizing of the co-partitioned graph: about this many distinct edges per
+# partition, but never fewer partitions than the cluster's parallelism
+# while each would still hold at least MIN_EDGES_PER_PARTITION edges.
+EDGES_PER_PARTITION = 2_000_000
+MIN_EDGES_PER_PARTITION = 50_000
+
+
+def graph_partitions(spark, n_edges: int) -> int:
+    """Partition count for a graph of ``n_edges`` distinct edges: grows with
+    the data (``E / 2M``), uses the whole cluster when that is worthwhile."""
+    parallel = spark.sparkContext.defaultParallelism
+    by_size = math.ceil(n_edges / EDGES_PER_PARTITION)
+    by_cores = min(parallel, math.ceil(n_edges / MIN_EDGES_PER_PARTITION))
+    return max(1, by_size, by_cores)
+
 
 def _base(damping: float) -> float:
     """``1 - damping`` as the literal the reference writes (0.15, not
@@ -109,12 +124,15 @@ def prepare_graph(
 
     Returns ``(salted_edges[src, salt, dst], nodes[node, deg, nsalt])``,
     both persisted: edges hash-partitioned on ``(src, salt)``, nodes on
-    ``node``, each with ``partitions`` (default: the shuffle setting) parts.
+    ``node``, each with ``partitions`` parts (default: sized from the edge
+    count by :func:`graph_partitions`). Rounds must run with
+    ``spark.sql.shuffle.partitions`` equal to that count (see
+    :func:`pagerank`), or Spark re-shuffles the edges to match.
     """
     spark = edges.sparkSession
-    n_part = partitions or shuffle_partitions(spark)
     distinct_edges = persist(edge_set(edges))
     n_edges = distinct_edges.count()
+    n_part = partitions or graph_partitions(spark, n_edges)
     threshold = hot_threshold or max(1, math.ceil(n_edges / n_part))
     deg = persist(out_degree(distinct_edges))  # node-sized, read three times below
     # Proven bound: sum(deg) = E, so at most E / threshold <= n_part sources
@@ -184,16 +202,23 @@ def pagerank(
     salts) and the partial sums by ``dst`` are shuffled. The result is
     checkpointed (reliable) and the inputs are released.
     """
+    spark = edges.sparkSession
     salted, nodes = prepare_graph(edges, partitions, hot_threshold)
+    n_part = salted.rdd.getNumPartitions()
     ranks = nodes.select("node", F.lit(1.0).alias("rank"), "deg", "nsalt")
     prev_cut: DataFrame | None = None
-    for i in range(1, rounds + 1):
-        ranks = pagerank_round(salted, nodes, ranks, damping)
-        if cut_every and (i % cut_every == 0 or i == rounds):
-            ranks = cut_lineage(ranks)
-            if prev_cut is not None:
-                prev_cut.unpersist()
-            prev_cut = ranks
+    # Spark keeps an existing partitioning for a join only when it has at
+    # least spark.sql.shuffle.partitions parts; the rounds therefore run
+    # with that setting equal to the graph's partition count, so the
+    # persisted edges and nodes are never re-shuffled.
+    with scoped_conf(spark, "spark.sql.shuffle.partitions", str(n_part)):
+        for i in range(1, rounds + 1):
+            ranks = pagerank_round(salted, nodes, ranks, damping)
+            if cut_every and (i % cut_every == 0 or i == rounds):
+                ranks = cut_lineage(ranks)
+                if prev_cut is not None:
+                    prev_cut.unpersist()
+                prev_cut = ranks
     salted.unpersist()
     nodes.unpersist()
     return ranks.select("node", "rank")

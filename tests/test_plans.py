@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import links, rank
 from quarry.plans import graphs
+from quarry.session import scoped_conf
 from tests.conftest import SF_SMALL
 
 
@@ -37,9 +38,11 @@ def test_link_cleaning_runs_without_python(spark):
 
 
 def test_pagerank_round_shuffles_only_send_rows_and_partial_sums(spark):
-    salted, nodes = rank.prepare_graph(graphs.graph_two_way(spark, SF_SMALL))
+    salted, nodes = rank.prepare_graph(graphs.graph_two_way(spark, SF_SMALL), partitions=3)
     ranks = nodes.select("node", F.lit(1.0).alias("rank"), "deg", "nsalt")
-    names = _node_names(rank.pagerank_round(salted, nodes, ranks))
+    # as inside pagerank(): rounds run with the graph's partition count
+    with scoped_conf(spark, "spark.sql.shuffle.partitions", "3"):
+        names = _node_names(rank.pagerank_round(salted, nodes, ranks))
     assert names.count("ShuffledHashJoin") == 2, names
     # exactly two exchanges: send rows → (src, salt), partial sums → dst;
     # the persisted edges and nodes are joined in place
