@@ -66,14 +66,6 @@ def logsumexp(z: Column | str) -> Column:
     return m + F.log(F.aggregate(arr, F.lit(0.0).cast("double"), lambda acc, x: acc + F.exp(x - m)))
 
 
-def softmax(z: Column | str) -> Column:
-    """Row-wise normalised exponent ``exp(z - lse(z))``. Pass a column
-    reference (materialise the scores first) so ``lse`` is evaluated once
-    per row rather than inside the lambda."""
-    arr = _c(z)
-    return F.transform(arr, lambda x: F.exp(x - logsumexp(arr)))
-
-
 def literal_array(values: Sequence[float]) -> Column:
     """A constant ``array<double>``: one foldable expression that the
     optimizer turns into a single literal (exact round trip through repr)."""
