@@ -60,10 +60,12 @@ def argmax(a: Column | str) -> Column:
 
 def logsumexp(z: Column | str) -> Column:
     """``log Σ exp z`` computed as ``m + log Σ exp(z − m)`` (no overflow,
-    no ``log(0)``). Pass a column reference: the max is re-read per element."""
+    no ``log(0)``). The max enters the lambda as an array argument, so it is
+    evaluated once per row, not once per element."""
     arr = _c(z)
     m = F.array_max(arr)
-    return m + F.log(F.aggregate(arr, F.lit(0.0).cast("double"), lambda acc, x: acc + F.exp(x - m)))
+    shifted = F.zip_with(arr, F.array_repeat(m, F.size(arr)), lambda x, mm: F.exp(x - mm))
+    return m + F.log(F.aggregate(shifted, F.lit(0.0).cast("double"), lambda acc, x: acc + x))
 
 
 def literal_array(values: Sequence[float]) -> Column:
