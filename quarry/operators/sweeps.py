@@ -72,31 +72,31 @@ def parse_sheet(lines: DataFrame, width: int = DEFAULT_WIDTH) -> DataFrame:
     numbered = numbered.where((F.col("block") > 0) & ~F.col("is_blank"))
 
     key = F.struct("blk", "mid")
-    titles = numbered.where("is_title").groupBy("file", "block").agg(
-        F.min_by(F.col("cells")[0], key).alias("experiment")
+    body_key = F.when(~F.col("is_title"), key)
+    # One aggregate per block: its title, and its header = the first
+    # non-title row (min_by skips the rows whose ordering value is null).
+    blocks = numbered.groupBy("file", "block").agg(
+        F.min_by(F.col("cells")[0], F.when(F.col("is_title"), key)).alias("experiment"),
+        F.min(body_key).alias("_hkey"),
+        F.min_by("cells", body_key).alias("_hcells"),
     )
     body = numbered.where(~F.col("is_title")).withColumn("_key", key)
-    headers = body.groupBy("file", "block").agg(
-        F.min("_key").alias("_hkey"), F.min_by("cells", F.col("_key")).alias("_hcells")
-    )
-    series = body.join(headers, ["file", "block"]).where(F.col("_key") > F.col("_hkey"))
+    series = body.join(blocks, ["file", "block"]).where(F.col("_key") > F.col("_hkey"))
     pairs = series.select(
         "file",
         "block",
+        "experiment",
         F.col("cells")[0].alias("series"),
         F.posexplode(F.arrays_zip(F.col("_hcells").alias("h"), F.col("cells").alias("v"))).alias("pos", "hv"),
     ).where(F.col("pos") > 0)
-    raw = pairs.select(
+    return pairs.select(
         "file",
         "block",
-        "series",
+        F.trim("experiment").alias("experiment"),
+        F.trim("series").alias("series"),
         F.trim(F.col("hv.h")).alias("setting_text"),
         F.trim(F.col("hv.v")).alias("value_text"),
     ).where(~_blank(F.col("value_text")))
-    return raw.join(titles, ["file", "block"]).select(
-        "file", "block", F.trim("experiment").alias("experiment"), F.trim("series").alias("series"),
-        "setting_text", "value_text",
-    )
 
 
 def parse_setting(text: Column) -> Column:
