@@ -118,3 +118,29 @@ def test_ranks_sum_to_node_count_on_two_way_graph(spark):
     r = rank.pagerank(graphs.graph_two_way(spark, SF_SMALL))
     n, total = r.agg(F.count("*"), F.sum("rank")).first()
     assert total == pytest.approx(n, rel=1e-9)
+
+
+def test_adjacency_lists_chunk_a_hub(spark):
+    pairs = [("h", f"n{i:02d}") for i in range(50)] + [("a", "b")]
+    df = spark.createDataFrame(pairs, "src string, dst string")
+    rows = links.adjacency_lists(df, max_len=10).collect()
+    hub = [r for r in rows if r["src"] == "h"]
+    assert 1 < len(hub) <= 5
+    assert sorted(x for r in hub for x in r["dsts"]) == [f"n{i:02d}" for i in range(50)]
+    assert all(r["dsts"] == sorted(r["dsts"]) for r in hub)
+    assert [r["dsts"] for r in rows if r["src"] == "a"] == [["b"]]
+
+
+def test_join_small_checks_size_before_broadcasting(spark):
+    from quarry.session import join_small
+
+    big = spark.range(100).withColumnRenamed("id", "k")
+    small = spark.range(10).withColumnRenamed("id", "k")
+    plan_b = join_small(big, small, "k")._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan_s = join_small(big, small, "k", max_rows=5)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan_b
+    assert "BroadcastHashJoin" not in plan_s
