@@ -317,7 +317,9 @@ def sgd_averaged(
     batch = stable_bucket(id_col, n_batches, f"{seed}+1").cast("int")
     prepared = (
         df.select(features, label, shard.alias("shard"), batch.alias("batch"))
-        .repartition(int(n_shards), "shard")
+        # range partitioning on the shard id: one shard per task (hash
+        # partitioning would let shard ids collide into one task)
+        .repartitionByRange(int(n_shards), "shard")
         .sortWithinPartitions("shard", "batch")
     )
     per_shard = prepared.mapInPandas(
