@@ -70,17 +70,24 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 @contextmanager
-def scoped_conf(spark: SparkSession, key: str, value: str):
-    """Set a SQL conf for the duration of a block, then restore it."""
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, value)
+def scoped_conf(spark: SparkSession, key: str, value: str, **more: str):
+    """Set SQL confs for the duration of a block, then restore them.
+
+    Extra settings may be given as keyword arguments with dots written as
+    double underscores (``spark__sql__adaptive__enabled="false"``).
+    """
+    settings = {key: value, **{k.replace("__", "."): v for k, v in more.items()}}
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def local_session(

@@ -41,7 +41,7 @@ def test_pagerank_round_shuffles_only_send_rows_and_partial_sums(spark):
     salted, nodes = rank.prepare_graph(graphs.graph_two_way(spark, SF_SMALL), partitions=3)
     ranks = nodes.select("node", F.lit(1.0).alias("rank"), "deg", "nsalt")
     # as inside pagerank(): rounds run with the graph's partition count
-    with scoped_conf(spark, "spark.sql.shuffle.partitions", "3"):
+    with scoped_conf(spark, "spark.sql.shuffle.partitions", "3", spark__sql__adaptive__enabled="false"):
         names = _node_names(rank.pagerank_round(salted, nodes, ranks))
     assert names.count("ShuffledHashJoin") == 2, names
     # exactly two exchanges: send rows → (src, salt), partial sums → dst;
