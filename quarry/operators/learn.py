@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import stable_bucket
-from ..session import scratch_path
+from ..session import scoped_conf, scratch_path
 from ..sources import files
 from .evaluate import BIAS, LinearModel
 
@@ -199,29 +199,45 @@ def sgd_sync(
     m = np.zeros_like(theta)
     v = np.zeros_like(theta)
     log: list[tuple[int, str, float]] = []
-    for s in range(steps):
-        ids = step_batches(s, replicas, n_batches)
-        g, metrics = _step_gradient(
-            batched, LinearModel(theta[:, :d], theta[:, d]), ids, features, label, blocks_per_dir(n_batches, max_dirs)
-        )
-        if g is None:
-            continue
-        if log_every and s % log_every == 0:
-            log.append((s, "loss", metrics["loss"]))
-            log.append((s, "accuracy", metrics["accuracy"]))
-        if optimizer == "sgd":
-            theta = theta - lr * g
-        elif optimizer == "adam":
-            t = s + 1
-            m = beta1 * m + (1 - beta1) * g
-            v = beta2 * v + (1 - beta2) * g * g
-            lr_t = lr * math.sqrt(1 - beta2**t) / (1 - beta1**t)
-            theta = theta - lr_t * m / (np.sqrt(v) + epsilon)
-        else:
-            raise ValueError(f"unknown optimizer {optimizer!r}")
+    spark = batched.sparkSession
+    # The per-step aggregate is model-sized (replicas × (k·(d+1) + 3) rows
+    # after map-side combine), so a few reducers suffice, and there is
+    # nothing for adaptive execution to re-plan; both are scoped to the loop.
+    reducers = max(1, min(spark.sparkContext.defaultParallelism, math.ceil(replicas * (k * (d + 1) + 3) / 50_000)))
+    with scoped_conf(spark, "spark.sql.shuffle.partitions", str(reducers), spark__sql__adaptive__enabled="false"):
+        for s in range(steps):
+            theta, m, v = _sgd_step(
+                s, batched, theta, m, v, replicas, n_batches, d, features, label, max_dirs, log_every,
+                optimizer, lr, beta1, beta2, epsilon, log,
+            )
     return LinearModel(theta[:, :d], theta[:, d]), log
 
 
+def _sgd_step(s, batched, theta, m, v, replicas, n_batches, d, features, label, max_dirs, log_every,
+              optimizer, lr, beta1, beta2, epsilon, log):
+    """One synchronous step: returns the updated ``(theta, m, v)``."""
+    ids = step_batches(s, replicas, n_batches)
+    g, metrics = _step_gradient(
+        batched, LinearModel(theta[:, :d], theta[:, d]), ids, features, label, blocks_per_dir(n_batches, max_dirs)
+    )
+    if g is None:
+        return theta, m, v
+    if log_every and s % log_every == 0:
+        log.append((s, "loss", metrics["loss"]))
+        log.append((s, "accuracy", metrics["accuracy"]))
+    if optimizer == "sgd":
+        theta = theta - lr * g
+    elif optimizer == "adam":
+        t = s + 1
+        m = beta1 * m + (1 - beta1) * g
+        v = beta2 * v + (1 - beta2) * g * g
+        lr_t = lr * math.sqrt(1 - beta2**t) / (1 - beta1**t)
+        theta = theta - lr_t * m / (np.sqrt(v) + epsilon)
+    else:
+        raise ValueError(f"unknown optimizer {optimizer!r}")
+    return theta, m, v
+
+
 def _local_sgd(k: int, d: int, lr: float, features: str, label: str, max_steps: int | None):
     """mapInPandas body for shard-local SGD over rows sorted by
     (shard, batch): one update per completed mini-batch."""
