@@ -22,7 +22,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-DEFAULT_WIDTH = 64
 _BOM = "\ufeff"
 # Fixed pattern of a series name: "MODEL (MEASURE)".
 SERIES_PATTERN = r"^(.*?)\s*\((.*)\)\s*$"
@@ -50,9 +49,18 @@ def _blank(c: Column) -> Column:
     return c.isNull() | (F.trim(c) == "")
 
 
-def parse_sheet(lines: DataFrame, width: int = DEFAULT_WIDTH) -> DataFrame:
+def sheet_width(lines: DataFrame) -> int:
+    """Upper bound on the number of cells per line (commas + 1; a quoted
+    comma only overestimates), from one small aggregate."""
+    n = lines.agg(F.max(F.size(F.split("value", ",", -1)))).first()[0]
+    return max(2, int(n or 2))
+
+
+def parse_sheet(lines: DataFrame, width: int | None = None) -> DataFrame:
     """Raw long form ``(file, experiment, series, setting_text, value_text)``
-    for every filled value cell of every series row."""
+    for every filled value cell of every series row. ``width`` (cells per
+    line) is inferred from the data when not given."""
+    width = width or sheet_width(lines)
     cells = lines.select("file", "blk", "mid", _cells(F.col("value"), width).alias("cells"))
     first_blank = _blank(F.col("cells")[0])
     rest_blank = F.forall(F.slice("cells", 2, width - 1), _blank)
@@ -126,7 +134,7 @@ def tidy(raw: DataFrame) -> DataFrame:
     ).where(F.col("value").isNotNull())
 
 
-def read_sweeps(spark: SparkSession, path: str | Sequence[str], width: int = DEFAULT_WIDTH) -> DataFrame:
+def read_sweeps(spark: SparkSession, path: str | Sequence[str], width: int | None = None) -> DataFrame:
     return tidy(parse_sheet(read_sheet_lines(spark, path), width))
 
 

@@ -18,7 +18,7 @@ from ..sources import files
 from ..sources.tables import table
 
 
-def sheet_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[int]]:
+def sheet_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[int], str]:
     li = table(spark, sf_dir, "lineitem")
     # One row per (flag, status, line number): aggregate-sized, reused by
     # every block below, so it is cached rather than recomputed per branch.
@@ -58,15 +58,15 @@ def sheet_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[int]]
     price = series("price", F.concat(F.col("price").cast("string"), F.lit("s")))
     qty = series("qty", F.col("qty").cast("string"))
     lines = title.unionByName(header).unionByName(price).unionByName(qty).unionByName(blank)
-    return lines, settings
+    first_flag = agg.agg(F.min("l_returnflag")).first()[0]
+    return lines, settings, first_flag
 
 
 def write_sheet(spark: SparkSession, sf_dir: str) -> tuple[str, list[int]]:
     """Write the sheet as one ordered text file; returns its folder. The
     sheet has one line per (flag, status, measure): aggregate-sized, so a
     single ordered output file is cheap."""
-    lines, settings = sheet_lines(spark, sf_dir)
-    first_flag = lines.agg(F.min("flag")).first()[0]
+    lines, settings, first_flag = sheet_lines(spark, sf_dir)
     bom_first = (F.col("flag") == F.lit(first_flag)) & (F.col("ord") == 0)
     text = lines.select(
         "flag", "ord", "sub",
