@@ -82,3 +82,29 @@ def test_hot_duplicate_key_is_split_across_partitions(spark, tmp_dir):
     per_file = spark.read.parquet(out).groupBy(F.input_file_name().alias("f")).count().collect()
     assert sum(r["count"] for r in per_file) == 90000
     assert max(r["count"] for r in per_file) < 30000
+
+
+def test_export_is_a_monotone_permutation_across_part_files(spark, tmp_dir):
+    from quarry.sources.tables import table
+    from tests.conftest import SF_SMALL
+
+    ev = table(spark, SF_SMALL, "events").select(
+        F.col("event_type").alias("cca2"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("timestamp"),
+        F.col("event_id").cast("string").alias("event_id"),
+    )
+    out = os.path.join(tmp_dir, "sorted")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        files.write_csv(ordering.total_sort(ev.repartition(5), ["cca2", "timestamp"]), out)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    parts = sorted(n for n in os.listdir(out) if n.endswith(".csv"))
+    assert len(parts) > 1
+    rows = []
+    for name in parts:
+        with open(os.path.join(out, name), encoding="utf-8") as f:
+            rows += [ln.rstrip("\n").split(",") for ln in f.readlines()[1:]]
+    keys = [((r[0] or None) is not None, (r[0] or "").encode(), (r[1] or "").encode()) for r in rows]
+    assert keys == sorted(keys)
+    assert sorted(r[2] for r in rows) == sorted(str(r[0]) for r in ev.select("event_id").collect())
