@@ -144,3 +144,16 @@ def test_join_small_checks_size_before_broadcasting(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" in plan_b
     assert "BroadcastHashJoin" not in plan_s
+
+
+def test_text_scan_splits_on_all_line_terminators(spark, tmp_dir):
+    import os
+
+    from quarry.sources import files
+
+    path = os.path.join(tmp_dir, "links.txt")
+    with open(path, "wb") as f:
+        f.write(b"a\tb\r\nc\td\re\tf\n")
+    lines = files.read_lines(spark, path)
+    assert lines.count() == 3
+    assert sorted(tuple(r) for r in links.clean_links(lines).collect()) == [("a", "b"), ("c", "d"), ("e", "f")]
