@@ -12,9 +12,10 @@ Semantics (un-normalised, as in the reference job):
 Physical plan, designed for a skewed web-scale graph:
 
 * Edges stay in edge-list form (no per-node neighbour arrays) and are
-  persisted hash-partitioned on ``(src, salt)`` with as many partitions as
-  the shuffle setting, so the per-round join moves only the small
-  per-node "send" side.
+  persisted hash-partitioned on ``(src, salt)`` into ``P`` partitions sized
+  from the edge count; the rounds run with ``spark.sql.shuffle.partitions``
+  scoped to ``P``, so the per-round join moves only the small per-node
+  "send" side and never re-shuffles the edges.
 * A *hot* source (more out-links than an average partition holds) would put
   a third of all edges into one join task. Its edges are spread over
   ``ceil(deg / T)`` salt values and its send row is replicated once per
