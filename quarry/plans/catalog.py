@@ -13,6 +13,7 @@ from ..operators import batching, evaluate, features, learn, links, ml, ordering
 from ..session import scratch_path
 from ..sources import files
 from ..sources.tables import table
+from ..streaming.links import ingest_links
 from . import graphs, sheets
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -421,3 +422,17 @@ def q_sweep_pivot(spark, sf_dir):
     wide = sweeps.pivot(t, settings)
     cols = [sweeps.setting_label(float(s)) for s in settings]
     return wide.select("experiment", "series", *[r6(c) for c in cols])
+
+
+# -- streaming ingestion ------------------------------------------------------------
+
+
+@query("link_stream_ingest")
+def q_link_stream_ingest(spark, sf_dir):
+    """Link lines land as text files; a Structured Streaming query cleans
+    them batch by batch into an edge table, read back as a distinct edge set."""
+    base = scratch_path(spark, "link_stream")
+    files.write_lines(graphs.link_lines(spark, sf_dir), base + "/incoming")
+    q = ingest_links(spark, base + "/incoming", base + "/edges", name=base.rsplit("/", 1)[-1])
+    q.awaitTermination()
+    return links.edge_set(spark.read.parquet(base + "/edges"))

@@ -100,6 +100,7 @@ kept AS (
 
 register("link_parse", "WITH " + _link_sql() + "\nSELECT lp[1] AS src, lp[2] AS dst FROM kept")
 register("link_dedup", "WITH " + _link_sql() + "\nSELECT DISTINCT lp[1] AS src, lp[2] AS dst FROM kept")
+register("link_stream_ingest", "WITH " + _link_sql() + "\nSELECT DISTINCT lp[1] AS src, lp[2] AS dst FROM kept")
 register(
     "out_degree",
     "WITH " + EDGES_T + "\nSELECT src, count(*) AS deg FROM edges GROUP BY src",
