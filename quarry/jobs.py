@@ -1,7 +1,7 @@
 """The reference's two Spark jobs as end-to-end entry points.
 
-    spark-submit -m quarry.jobs sort <input_dir> <output_dir>
-    spark-submit -m quarry.jobs pagerank <input> <output_dir> [--rounds 10] [--format csv|text]
+    spark-submit --py-files quarry.zip submit.py sort <input_dir> <output_dir>
+    spark-submit --py-files quarry.zip submit.py pagerank <input> <output_dir> [--rounds 10] [--format csv|text]
 
 Resources (cores, memory) come from ``spark-submit``; nothing is fixed here.
 """
