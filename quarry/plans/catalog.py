@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import jobs
 from ..functions import arrays
 from ..operators import batching, evaluate, features, learn, links, ml, ordering, rank, sweeps
 from ..session import scratch_path
@@ -436,3 +437,26 @@ def q_link_stream_ingest(spark, sf_dir):
     q = ingest_links(spark, base + "/incoming", base + "/edges", name=base.rsplit("/", 1)[-1])
     q.awaitTermination()
     return links.edge_set(spark.read.parquet(base + "/edges"))
+
+
+@query("export_sort_job")
+def q_export_sort_job(spark, sf_dir):
+    """The sort job end to end: ``customer`` exported as a string CSV with
+    the job's key columns, sorted by ``jobs.sort_job``, then the written part
+    files read back in file order to recover each row's place in the total
+    order (file, split offset, position in split)."""
+    cust = table(spark, sf_dir, "customer").select(
+        F.col("c_mktsegment").alias("cca2"),
+        F.col("c_custkey").cast("string").alias("timestamp"),
+        F.col("c_name"),
+    )
+    base = scratch_path(spark, "sort_job")
+    files.write_csv(cust, base + "/in")
+    jobs.sort_job(spark, base + "/in", base + "/out")
+    back = files.read_csv_strings(spark, base + "/out").select(
+        "c_name",
+        F.col("_metadata.file_name").alias("_f"),
+        F.col("_metadata.file_block_start").alias("_b"),
+        F.monotonically_increasing_id().alias("_m"),
+    )
+    return ordering.with_position(back, ["_f", "_b", "_m"]).select("c_name", "pos")

@@ -167,6 +167,12 @@ register(
                                    strftime(ts, '%Y-%m-%d %H:%M:%S.%f') NULLS FIRST) AS pos
 FROM events""",
 )
+register(
+    "export_sort_job",
+    """SELECT c_name,
+       row_number() OVER (ORDER BY c_mktsegment NULLS FIRST, CAST(c_custkey AS VARCHAR) NULLS FIRST) AS pos
+FROM customer""",
+)
 register(
     "export_sort_strings",
     """SELECT c_name, CAST(c_nationkey AS VARCHAR) AS nation_text,
