@@ -109,7 +109,10 @@ def prepare_batches(
     prepared = (
         df.withColumn("batch", batch)
         .withColumn("block", (F.col("batch") / F.lit(per_block)).cast("int"))
-        .repartition("block")
+        # contiguous batch ranges per task: balanced tasks, each writing files
+        # into one or two block folders (a hash on block would give one task
+        # a whole folder's rows)
+        .repartitionByRange("batch")
         .sortWithinPartitions("batch")
     )
     files.write_table(prepared, out, partition_by=["block"])
