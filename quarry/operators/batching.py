@@ -63,11 +63,12 @@ def assign_batches_exact(df: DataFrame, id_col: str, batch_size: int, epoch: int
 def shard_by_key(df: DataFrame, key: str, n_shards: int, seed: int | str = 0, colocate: bool = False) -> DataFrame:
     """Add ``shard`` in ``[0, n_shards)``.
 
-    The shard is a logical slice: a worker reads its shard with a filter and
-    Spark still spreads it over many tasks. ``colocate=True`` additionally
-    hash-partitions on ``shard`` (session partition count, not ``n_shards``,
-    so a shard never has to fit one task unless a per-shard sequential
-    algorithm needs it). The key should be near-unique (an example id).
+    By default the shard is a logical slice: a worker reads its shard with
+    a filter and Spark still spreads it over many tasks. ``colocate=True``
+    hash-partitions on ``shard``, which puts each shard's rows in one task;
+    use it only for per-shard sequential algorithms, with ``n_shards`` large
+    enough that a shard is task-sized. The key should be near-unique (an
+    example id), so shards are balanced.
     """
     out = df.withColumn("shard", stable_bucket(key, n_shards, seed).cast("int"))
     return out.repartition("shard") if colocate else out

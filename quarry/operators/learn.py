@@ -331,7 +331,11 @@ def sgd_averaged(
     """Shard-local SGD with weight averaging → weight table
     ``(class, feature, weight)``. Shard ``= bucket(id, n_shards, seed)``,
     batch within shard ``= bucket(id, n_batches, seed + 1)``; each shard
-    visits its batches in increasing order."""
+    visits its batches in increasing order.
+
+    Each shard is one sequential pass in one task (that is the algorithm),
+    streamed with one mini-batch in memory; choose ``n_shards`` so a shard
+    is task-sized (it grows with the data, like the worker count would)."""
     shard = stable_bucket(id_col, n_shards, seed).cast("int")
     batch = stable_bucket(id_col, n_batches, f"{seed}+1").cast("int")
     prepared = (
