@@ -24,7 +24,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from quarry.operators import links, ordering  # noqa: E402
+from quarry import jobs  # noqa: E402
+from quarry.operators import links  # noqa: E402
 from quarry.plans import catalog, graphs  # noqa: E402
 from quarry.session import local_session, scratch_path  # noqa: E402
 from quarry.sources import files  # noqa: E402
@@ -50,8 +51,7 @@ def export_sort_job(spark, sf_dir):
     )
 
     def job():
-        out = scratch_path(spark, "sort_out")
-        files.write_csv(ordering.total_sort(files.read_csv_strings(spark, src), ["cca2", "timestamp"]), out)
+        jobs.sort_job(spark, src, scratch_path(spark, "sort_out"))
 
     return job
 
