@@ -13,7 +13,8 @@ FAST = [
     "link_parse", "link_dedup", "out_degree", "adjacency_lists", "rank_init", "rank_contribs", "rank_step",
     "pagerank_10", "export_sort", "export_sort_strings", "csv_scan_strings", "train_test_split",
     "one_hot_labels", "reshape_grid", "argmax_class", "assign_batches", "linear_scores", "cross_entropy",
-    "accuracy_counts", "softmax_sgd_sync", "sweep_best_setting",
+    "accuracy_counts", "softmax_sgd_sync", "sweep_best_setting", "pagerank_one_way", "link_stream_ingest",
+    "export_sort_job",
 ]
 
 
