@@ -157,3 +157,27 @@ def test_text_scan_splits_on_all_line_terminators(spark, tmp_dir):
     lines = files.read_lines(spark, path)
     assert lines.count() == 3
     assert sorted(tuple(r) for r in links.clean_links(lines).collect()) == [("a", "b"), ("c", "d"), ("e", "f")]
+
+
+@pytest.mark.parametrize("graph", ["graph_two_way", "graph_users"])
+def test_pagerank_matches_python_brute_force(spark, graph):
+    from collections import defaultdict
+
+    from quarry.plans import graphs
+    from tests.conftest import SF_SMALL
+
+    e = getattr(graphs, graph)(spark, SF_SMALL)
+    adj = defaultdict(list)
+    for s, d in {tuple(r) for r in e.collect()}:
+        adj[s].append(d)
+    ranks = {s: 1.0 for s in adj}
+    for _ in range(10):
+        contrib = defaultdict(float)
+        for s, r in ranks.items():
+            for d in adj.get(s, ()):
+                contrib[d] += r / len(adj[s])
+        ranks = {d: 0.15 + 0.85 * c for d, c in contrib.items()}
+    got = {r["node"]: r["rank"] for r in rank.pagerank(e).collect()}
+    assert got.keys() == ranks.keys()
+    for k, v in ranks.items():
+        assert got[k] == pytest.approx(v, rel=1e-12)
