@@ -75,27 +75,31 @@ class LinearModel:
         return arrays.affine_scores(features, self.W.tolist(), self.b.tolist())
 
 
-def _arrow_scores(df: DataFrame, model: LinearModel, features: str, label: str | None, outputs: dict):
+def _arrow_scores(
+    df: DataFrame, model: LinearModel, features: str, label: str | None, outputs: dict, drop_features: bool = False
+):
     """Append per-row model outputs computed with numpy on Arrow batches.
 
     Dense scoring is matrix work: one BLAS product per Arrow batch beats a
     per-row higher-order function by several times (measured 6.6x on 400k
     rows x 64 features). ``outputs`` maps new column name → kind, kind in
     ``z`` (scores), ``p`` (probabilities), ``pred`` (argmax, first on ties),
-    ``loss`` (lse − z[label]) and ``ok`` (pred == label as int).
+    ``loss`` (lse − z[label]) and ``ok`` (pred == label as int). With
+    ``drop_features`` the feature arrays are not sent back to the JVM.
     """
     W, b = model.W, model.b
     kinds = dict(outputs)
     types = {"z": T.ArrayType(T.DoubleType()), "p": T.ArrayType(T.DoubleType()), "pred": T.IntegerType(),
              "loss": T.DoubleType(), "ok": T.IntegerType()}
-    schema = T.StructType(list(df.schema.fields) + [T.StructField(n, types[k]) for n, k in kinds.items()])
+    kept = [f for f in df.schema.fields if not (drop_features and f.name == features)]
+    schema = T.StructType(kept + [T.StructField(n, types[k]) for n, k in kinds.items()])
 
     def fn(it):
         for pdf in it:
             if pdf.empty:
                 for n in kinds:
                     pdf[n] = []
-                yield pdf
+                yield pdf.drop(columns=[features]) if drop_features else pdf
                 continue
             X = np.stack(pdf[features].to_numpy()).astype(np.float64)
             Z = X @ W.T + b
@@ -115,7 +119,7 @@ def _arrow_scores(df: DataFrame, model: LinearModel, features: str, label: str |
                 elif k == "ok":
                     y = pdf[label].to_numpy().astype(np.int64)
                     pdf[n] = (Z.argmax(axis=1) == y).astype(np.int32)
-            yield pdf
+            yield pdf.drop(columns=[features]) if drop_features else pdf
 
     return df.mapInPandas(fn, schema)
 
@@ -130,9 +134,11 @@ def with_probabilities(df: DataFrame, model: LinearModel, features: str = "featu
     return _arrow_scores(df, model, features, None, {out: "p"})
 
 
-def batch_score(df: DataFrame, model: LinearModel, features: str = "features", out: str = "pred") -> DataFrame:
+def batch_score(
+    df: DataFrame, model: LinearModel, features: str = "features", out: str = "pred", drop_features: bool = False
+) -> DataFrame:
     """Scaled row → predicted class (argmax, lowest class on ties)."""
-    return _arrow_scores(df, model, features, None, {out: "pred"})
+    return _arrow_scores(df, model, features, None, {out: "pred"}, drop_features)
 
 
 def with_scores_expr(df: DataFrame, model: LinearModel, features: str = "features", out: str = "z") -> DataFrame:
@@ -147,9 +153,9 @@ def _row_losses(df: DataFrame, model: LinearModel, features: str, label: str, on
     array with built-in functions."""
     if onehot is None:
         slim = df.select(features, label, *keep)
-        return _arrow_scores(slim, model, features, label, {"_loss": "loss", "_ok": "ok"})
+        return _arrow_scores(slim, model, features, label, {"_loss": "loss", "_ok": "ok"}, drop_features=True)
     slim = df.select(features, label, onehot, *keep)
-    scored = _arrow_scores(slim, model, features, label, {"_z": "z", "_ok": "ok"})
+    scored = _arrow_scores(slim, model, features, label, {"_z": "z", "_ok": "ok"}, drop_features=True)
     yz = F.aggregate(
         F.zip_with(F.col(onehot), F.col("_z"), lambda y, zz: y * zz), F.lit(0.0).cast("double"),
         lambda acc, v: acc + v,

@@ -304,7 +304,8 @@ def q_evaluate_model(spark, sf_dir):
 
 @query("batch_score")
 def q_batch_score(spark, sf_dir):
-    return evaluate.batch_score(labelled(spark, sf_dir), demo_model()).select("vec_id", "pred")
+    scored = evaluate.batch_score(labelled(spark, sf_dir), demo_model(), drop_features=True)
+    return scored.select("vec_id", "pred")
 
 
 # -- training -------------------------------------------------------------------
