@@ -1,0 +1,146 @@
+"""Line dedup by a log-template tree (operator 6); DataFrame functions only.
+
+Each line of a text is parsed to a place in a tree of fixed depth: its token
+count, then its first ``DEPTH`` tokens, tokens with a digit standing as
+``<*>``. A leaf that holds at least ``CHILDREN`` different lines is
+generalised: a position with that many different tokens is a variable field.
+If at least ``CONSTANT`` of the leaf's positions stay, its lines share the
+template of the remaining tokens; otherwise (prose that only starts alike) and
+in all other leaves a line's template is the line itself, digits masked.
+
+A template is *recurring* if it is found in at least ``MIN_DOCS`` documents and
+at least ``MIN_DIVERSITY`` of them are different company for it: a document's
+company for a line is the smallest hash among its other lines. Boilerplate
+stands in unlike documents; the lines of one much-copied document always stand
+together and stay for near-duplicate removal. Lines of recurring templates
+are dropped in every document.
+
+All counts cover every line of every document. Hot templates are counted from
+grouped partial sums; nothing gathers the lines of a template. The only arrays
+built are those of one document's own lines.
+
+Defined cases: null texts have no lines and stay null; lines without a token
+never recur and are never dropped; rows equal in id and text count as one
+document and are cleaned alike; an empty table gives no rows; extra columns
+stay as they are.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .components import written
+from .texts import free_name
+
+DEPTH = 3
+CHILDREN = 8
+CONSTANT = 0.6
+MIN_TOKENS = 4
+MIN_DOCS = 10
+MIN_DIVERSITY = 0.5
+
+
+def masked_lines(text: Column) -> Column:
+    """The text's lines, trimmed, blanks squeezed, tokens with a digit as ``<*>``."""
+    digits = F.regexp_replace(text, r"(?<!\S)[^\s0-9]*+[0-9]\S*+", "<*>")
+    masked = F.when(text.rlike("[0-9]"), digits).otherwise(text)
+    squeezed = F.when(masked.rlike(r"[\t\x0B\f\r]|  "), F.regexp_replace(masked, r"[ \t\x0B\f\r]++", " ")).otherwise(masked)
+    return F.transform(F.split(squeezed, "\n", -1), F.trim)
+
+
+def _place(line: Column, depth: int) -> Column:
+    """Token count and leaf of a line (null leaf: no token)."""
+    n = F.length(line) - F.length(F.replace(line, F.lit(" "))) + 1
+    blank = line == ""
+    return F.struct(
+        F.when(blank, 0).otherwise(n).alias("n"),
+        F.when(~blank, F.xxhash64(n, F.substring_index(line, " ", depth))).alias("leaf"),
+        F.when(~blank, F.xxhash64(line)).alias("key"),
+    )
+
+
+def line_table(docs: DataFrame, id_col: str, text_col: str, depth: int = DEPTH) -> DataFrame:
+    """One row per line: document ``(id, h)``, line ``no``, token count ``n``,
+    ``leaf``, masked line ``key`` and the line's ``company``."""
+    one = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), masked_lines(F.col(text_col)).alias("lines")).where("lines IS NOT NULL")
+    placed = one.select("id", "h", F.transform("lines", lambda x: _place(x, depth)).alias("p"))
+    keys = F.array_sort(F.array_distinct(F.filter(F.col("p")["key"], lambda k: k.isNotNull())))
+    two = placed.select("id", "h", "p", F.get(keys, F.lit(0)).alias("k1"), F.get(keys, F.lit(1)).alias("k2"))
+    rows = two.select("id", "h", "k1", "k2", F.posexplode("p").alias("no", "x"))
+    company = F.when(F.col("x.key") == F.col("k1"), F.coalesce("k2", F.lit(0))).otherwise(F.col("k1"))
+    return rows.select("id", "h", "no", "x.n", "x.leaf", "x.key", company.alias("company"))
+
+
+def generalised(docs: DataFrame, lines: DataFrame, text_col: str, depth: int, children: int, constant: float) -> DataFrame:
+    """``(key, template)`` of the masked lines whose leaf has variable fields."""
+    crowded = lines.where(F.col("n") >= MIN_TOKENS).select("leaf", "key").distinct().groupBy("leaf").count().where(F.col("count") >= children).select("leaf")
+    members = (
+        docs.select(F.explode(masked_lines(F.col(text_col))).alias("line")).where("line <> ''")
+        .select("line", _place(F.col("line"), depth).alias("x")).select("line", "x.n", "x.leaf", "x.key")
+        .where(F.col("n") >= MIN_TOKENS).join(crowded, "leaf", "left_semi")
+        .groupBy("leaf", "key", "n").agg(F.min("line").alias("line"))
+    )
+    members = written(members, "leaf_lines")
+    tokens = members.select("leaf", "n", F.posexplode(F.split("line", " ")).alias("at", "token"))
+    varying = tokens.select("leaf", "n", "at", F.xxhash64("token").alias("t")).distinct().groupBy("leaf", "n", "at").count().where(F.col("count") >= children)
+    shapes = varying.groupBy("leaf", "n").agg(F.collect_list("at").alias("fields")).where(F.col("n") - F.size("fields") >= constant * F.col("n"))
+    fields = F.transform(F.split("line", " "), lambda t, i: F.when(F.array_contains("fields", i), F.lit("<*>")).otherwise(t))
+    return members.join(shapes, ["leaf", "n"]).select("key", F.xxhash64(F.lit("template"), F.array_join(fields, " ")).alias("template"))
+
+
+def recurring(lines: DataFrame, min_docs: int, min_diversity: float) -> DataFrame:
+    """The templates that recur across documents, with their counts."""
+    once = lines.where("template IS NOT NULL").groupBy("template", "id", "h").agg(F.min("company").alias("company"))
+    kinds = once.groupBy("template", "company").agg(F.count("*").alias("n"))
+    counts = kinds.groupBy("template").agg(F.sum("n").alias("docs"), F.count("*").alias("companies"))
+    return counts.where((F.col("docs") >= min_docs) & (F.col("companies") >= min_diversity * F.col("docs")))
+
+
+def dropped_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, children: int = CHILDREN,
+    constant: float = CONSTANT, min_docs: int = MIN_DOCS, min_diversity: float = MIN_DIVERSITY,
+) -> DataFrame:
+    """``(id, h, drop)`` of the documents that hold recurring lines: ``drop`` has a boolean per line."""
+    lines = written(line_table(docs, id_col, text_col, depth), "lines")
+    shared = generalised(docs, lines, text_col, depth, children, constant)
+    lines = lines.join(shared, "key", "left").withColumn("template", F.coalesce("template", "key"))
+    lines = written(lines.select("id", "h", "no", "template", "company"), "templates")
+    often = written(recurring(lines, min_docs, min_diversity).select("template", F.lit(True).alias("often")), "recurring")
+    marked = lines.join(often, "template", "left").select("id", "h", F.struct("no", F.coalesce("often", F.lit(False)).alias("often")).alias("x"))
+    flags = marked.groupBy("id", "h").agg(F.array_sort(F.collect_set("x")).alias("x"), F.max("x.often").alias("any")).where("any")
+    return flags.select("id", "h", F.col("x")["often"].alias("drop"))
+
+
+def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out_col: str = "line_flags", **more) -> DataFrame:
+    """``docs`` with ``out_col``: per line whether it is dropped (null: none)."""
+    drops = written(dropped_lines(docs, id_col, text_col, **more), "drops")
+    one, two = free_name(docs, "line_id"), free_name(docs, "line_hash")
+    drops = drops.select(F.col("id").alias(one), F.col("h").alias(two), F.col("drop").alias(out_col))
+    same = docs[id_col].eqNullSafe(F.col(one)) & (F.xxhash64(docs[text_col]) == F.col(two))
+    return docs.join(drops, same, "left").select(*[docs[c] for c in docs.columns], out_col)
+
+
+def kept_text(text: Column, flags: Column) -> Column:
+    pairs = F.zip_with(F.split(text, "\n", -1), flags, lambda line, drop: F.struct(line.alias("line"), drop.alias("drop")))
+    return F.when(flags.isNull(), text).otherwise(F.array_join(F.filter(pairs, lambda x: ~x["drop"])["line"], "\n"))
+
+
+def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
+    """``docs`` without the lines of recurring templates; a document of which
+    nothing but blanks is left goes. Same columns."""
+    name = free_name(docs, "line_flags")
+    found = clean_lines(docs, id_col, text_col, name, **more)
+    cleaned = found.withColumn(text_col, kept_text(F.col(text_col), F.col(name)))
+    return cleaned.where(F.col(name).isNull() | F.col(text_col).rlike(r"[^ \t\n\x0B\f\r]")).select(docs.columns)
+
+
+def line_digest(docs: DataFrame) -> DataFrame:
+    """Per document: lines, dropped lines, digest of the text that stays."""
+    found = clean_lines(docs.select("doc_id", "text"))
+    text, flags = F.col("text"), F.col("line_flags")
+    return found.select(
+        "doc_id", F.when(text.isNull(), 0).otherwise(F.size(F.split(text, "\n", -1))).cast("bigint").alias("n_lines"),
+        F.coalesce(F.size(F.filter(flags, lambda x: x)), F.lit(0)).cast("bigint").alias("n_dropped"),
+        F.sha2(F.coalesce(kept_text(text, flags), F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+    )

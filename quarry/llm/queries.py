@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import bpe, decontaminate, quality, simhash
+from . import bpe, decontaminate, lines, pii, quality, simhash
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -44,3 +44,13 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_quality_rules")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op6_line_templates")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_digest(table(spark, sf_dir, "documents"))
+
+
+@query("op5_personal_data")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_digest(table(spark, sf_dir, "documents"))
