@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .texts import alnum_spans, alnum_words, chunks, free_name, utf8
+from .texts import alnum_spans, alnum_words, chunks, free_name, small_batches, utf8
 
 WINDOW = 10
 #: Benchmark words in one broadcast block (about 80 bytes of index a word).
@@ -188,6 +188,7 @@ def find_contamination(
 ) -> DataFrame:
     """``docs`` with a struct column: ``n_words``, ``n_hit``, hit word ranges
     ``spans`` (disjoint, sorted) and ``items`` (ids as sorted strings)."""
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     out = None
     for block in _blocks(benchmark, item_id, item_text, window, block_words):

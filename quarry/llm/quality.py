@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .texts import free_name, space_words, utf8
+from .texts import free_name, small_batches, space_words, utf8
 
 #: Bound of the labelled rows that the list is fitted on.
 FIT_ROWS = 20_000
@@ -214,6 +214,7 @@ def learn_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
 
 def judged(docs: DataFrame, rules: DecisionList, text_col: str = "text", out_col: str = "quality_counts") -> DataFrame:
     """``docs`` with a struct of the counts, ``base_failed`` and ``kept``."""
+    small_batches(docs.sparkSession)
     with_counts = docs.withColumn(out_col, quality_counts(text_col))
     c = F.col(out_col)
     failed = base_failed(c)

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components, written
-from .texts import free_name, utf8
+from .texts import free_name, small_batches, utf8
 
 SHINGLE = 3
 DISTANCE = 3
@@ -159,6 +159,7 @@ def near_duplicates(
 ) -> DataFrame:
     """``(id_col, fp, component_id)`` for every row: the smallest id reachable
     through fingerprints that differ in at most ``r`` bits."""
+    small_batches(docs.sparkSession)
     marked = written(docs.select(F.col(id_col).alias("id"), fingerprint(text_col, shingle).alias("fp")), "fingerprints")
     least = written(marked.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
     roots = connected_components(link_fingerprints(least.select("fp"), r, dense))

@@ -10,6 +10,8 @@ import pyarrow as pa
 #: Bytes of text handled at once inside a task: bounds the numpy scratch space
 #: whatever the size of the Arrow batch.
 CHUNK_BYTES = 4 << 20
+#: Rows of an Arrow batch of texts.
+BATCH_ROWS = 1000
 
 _ALNUM = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
@@ -61,6 +63,13 @@ def lengths(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(len, words), np.int64, len(words))
 
 
+def small_batches(spark) -> None:
+    """Texts go to Python workers at most ``BATCH_ROWS`` at a time, which
+    bounds a worker's memory; the setting stays with the session."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def free_name(df, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}
