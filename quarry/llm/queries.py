@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import bpe, decontaminate, lines, pii, quality, simhash
+from . import bpe, decontaminate, lines, pii, quality, simhash, token_files, warc
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -54,3 +54,27 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_personal_data")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(table(spark, sf_dir, "documents"))
+
+
+@query("op8_token_files")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_digest(table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"))
+
+
+#: A page is a response if it is small or the first of its payload, else a revisit of that.
+ORACLES["op1_warc"] = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first_id FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first_id IS NULL OR page_id IS NULL OR first_id = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM f
+"""
+
+
+@query("op1_warc")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc_digest(table(spark, sf_dir, "pages"))
