@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import bpe, decontaminate, lines, pii, quality, simhash, token_files, warc
+from . import bpe, decontaminate, licenses, lines, pii, quality, simhash, token_files, warc
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -78,3 +78,8 @@ FROM f
 @query("op1_warc")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_digest(table(spark, sf_dir, "pages"))
+
+
+@query("op10_license_scan")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_digest(table(spark, sf_dir, "documents"))
