@@ -42,7 +42,6 @@ MISS = 1e-3
 BLOCK = 4
 #: Bound of the templates' words, which every task holds.
 MAX_TEMPLATE_WORDS = 2_000_000
-_EMPTY = np.uint64(2**64 - 1)
 
 
 @dataclass
@@ -60,10 +59,11 @@ def window_size(m: int) -> int:
 
 def least_similarity(m: int, containment: float) -> float:
     """Smallest Jaccard similarity of a template of ``m`` shingles and a window that holds that share of it."""
-    return containment * m / (window_size(m) + (1 - containment) * m)
+    shared = ceil(containment * m - 1e-9)
+    return shared / (window_size(m) + m - shared)
 
 
-def choose_bands(similarity: float, miss: float, max_rows: int = 4, max_hashes: int = 128) -> tuple[int, int]:
+def choose_bands(similarity: float, miss: float, max_rows: int = 4, max_hashes: int = 64) -> tuple[int, int]:
     """Rows and bands with ``(1 - s^rows)^bands <= miss``: the most rows that ``max_hashes`` allow."""
     for rows in range(max_rows, 0, -1):
         bands = ceil(log(miss) / log(1 - similarity**rows)) if similarity < 1 else 1
@@ -126,7 +126,7 @@ class Scanner:
             keys = _keys(rows * bands)
             for i in ids:
                 h = np.unique(shingle_hashes(_word_hashes(templates[i].words), group[0]))
-                sig = np.array([_mix(h * a + b).min() for a, b in keys], np.uint64)
+                sig = np.array([(h * a + b).min() for a, b in keys], np.uint64)
                 for k in range(bands):
                     tables[k].setdefault(sig[k * rows : (k + 1) * rows].tobytes(), []).append(i)
             self.groups[group] = (rows, bands, tables)
@@ -144,19 +144,18 @@ class Scanner:
             total = int(first[-1])
             if not total:
                 continue
-            padded = np.full(total * BLOCK, _EMPTY, np.uint64)
-            there = np.zeros(total * BLOCK, bool)
+            padded = np.empty(total * BLOCK, np.uint64)
             h = shingle_hashes(words, width)
             for d in range(len(docs)):
                 if n[d]:
                     start, at = int(ends[d]) - len(docs[d]), int(first[d]) * BLOCK
                     padded[at : at + n[d]] = h[start : start + n[d]]
-                    there[at : at + n[d]] = True
+                    padded[at + n[d] : int(first[d + 1]) * BLOCK] = h[start + n[d] - 1]  # a repeat changes no minimum
             owner = np.repeat(np.arange(len(docs)), blocks)
             windows = sorted(w for k, w in self.groups if k == width)
             hits: dict[int, dict[int, list[np.ndarray]]] = {w: {} for w in windows}
             for k, (a, b) in enumerate(_keys(self.hashes[width])):
-                values = np.where(there, _mix(padded * a + b), _EMPTY).reshape(-1, BLOCK).min(axis=1)
+                values = (padded * a + b).reshape(-1, BLOCK).min(axis=1)
                 size, level = BLOCK, values  # minima of `size` shingles from each block on
                 for w in windows:
                     while size < w:
