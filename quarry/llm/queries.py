@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import bpe, decontaminate, licenses, lines, pii, quality, simhash, token_files, warc
+from . import bpe, decontaminate, licenses, lines, pii, quality, simhash, substrings, token_files, warc
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -83,3 +83,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_license_scan")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_digest(table(spark, sf_dir, "documents"))
+
+
+@query("op9_substring_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.substring_digest(table(spark, sf_dir, "documents"))
