@@ -8,8 +8,6 @@ enter as literal arrays: their size is fixed by the model, not the data.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -66,32 +64,3 @@ def logsumexp(z: Column | str) -> Column:
     m = F.array_max(arr)
     shifted = F.zip_with(arr, F.array_repeat(m, F.size(arr)), lambda x, mm: F.exp(x - mm))
     return m + F.log(F.aggregate(shifted, F.lit(0.0).cast("double"), lambda acc, x: acc + x))
-
-
-def literal_array(values: Sequence[float]) -> Column:
-    """A constant ``array<double>``: one foldable expression that the
-    optimizer turns into a single literal (exact round trip through repr)."""
-    text = ",".join(repr(float(v)) for v in values)
-    return F.split(F.lit(text), ",").cast("array<double>")
-
-
-def affine_scores(x: Column | str, weights: Sequence[Sequence[float]], bias: Sequence[float]) -> Column:
-    """Dense layer ``x · W + b`` as an array of ``k`` class scores.
-
-    ``weights[c]`` is the weight vector of class ``c`` (length = features).
-    The whole matrix is one literal, sliced per class.
-    """
-    k = len(bias)
-    d = len(weights[0])
-    flat = literal_array([v for row in weights for v in row])
-    b = literal_array(bias)
-    xd = _c(x)
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(k - 1)),
-        lambda c: F.aggregate(
-            F.zip_with(xd, F.slice(flat, c * d + 1, d), lambda a, w: a.cast("double") * w),
-            F.lit(0.0).cast("double"),
-            lambda acc, v: acc + v,
-        )
-        + F.element_at(b, c + 1),
-    )

@@ -2,8 +2,8 @@
 
 ``rand()`` and ``randomSplit`` depend on partitioning, and ``hash()`` has no
 counterpart outside Spark, so every data-derived bucket here comes from MD5
-of ``seed ‖ ':' ‖ key``: the first 7 hex digits (28 bits) read as an integer.
-The same value is ``('0x' || substr(md5(k), 1, 7))::bigint`` in DuckDB, which
+of ``seed ‖ ':' ‖ key``: the first 15 hex digits (60 bits) read as an integer.
+The same value is ``('0x' || substr(md5(k), 1, 15))::bigint`` in DuckDB, which
 is what the oracle queries use.
 """
 
@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 
 def stable_key(key: Column | str, seed: int | str = 0) -> Column:
-    """28-bit repeatable pseudo-random integer of ``key`` under ``seed``."""
+    """60-bit repeatable pseudo-random integer of ``key`` under ``seed``."""
     k = F.col(key) if isinstance(key, str) else key
     text = F.concat(F.lit(f"{seed}:"), k.cast("string"))
-    return F.conv(F.substring(F.md5(text), 1, 7), 16, 10).cast("bigint")
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 
 def stable_bucket(key: Column | str, n: int | Column, seed: int | str = 0) -> Column:
@@ -33,4 +33,4 @@ def stable_percent(key: Column | str, seed: int | str = 0) -> Column:
 
 def sql_stable_key(key_sql: str, seed: int | str = 0) -> str:
     """DuckDB text of :func:`stable_key` for oracle queries and tests."""
-    return f"('0x' || substr(md5('{seed}:' || CAST({key_sql} AS VARCHAR)), 1, 7))::BIGINT"
+    return f"('0x' || substr(md5('{seed}:' || CAST({key_sql} AS VARCHAR)), 1, 15))::BIGINT"

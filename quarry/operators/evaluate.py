@@ -71,9 +71,6 @@ class LinearModel:
                 W[r["class"], r["feature"]] = r["weight"]
         return cls(W, b)
 
-    def scores(self, features: str = "features"):
-        return arrays.affine_scores(features, self.W.tolist(), self.b.tolist())
-
 
 def _arrow_scores(
     df: DataFrame, model: LinearModel, features: str, label: str | None, outputs: dict, drop_features: bool = False
@@ -114,7 +111,7 @@ def _arrow_scores(
                 elif k == "pred":
                     pdf[n] = Z.argmax(axis=1).astype(np.int32)
                 elif k == "loss":
-                    y = pdf[label].to_numpy().astype(np.int64)
+                    y = _checked_labels(pdf[label], Z.shape[1])
                     pdf[n] = (m[:, 0] + np.log(s[:, 0])) - Z[np.arange(len(y)), y]
                 elif k == "ok":
                     y = pdf[label].to_numpy().astype(np.int64)
@@ -124,6 +121,16 @@ def _arrow_scores(
     return df.mapInPandas(fn, schema)
 
 
+def _checked_labels(labels, k: int) -> np.ndarray:
+    """Integer labels of a loss; one that is missing or not in ``0..k-1`` is an error."""
+    if labels.isna().any():
+        raise ValueError("a label is missing")
+    y = labels.to_numpy().astype(np.int64)
+    if len(y) and not (0 <= y.min() and y.max() < k):
+        raise ValueError(f"labels must be in 0..{k - 1}; found {y.min()}..{y.max()}")
+    return y
+
+
 def with_scores(df: DataFrame, model: LinearModel, features: str = "features", out: str = "z") -> DataFrame:
     """Add class scores ``z = x·W + b`` (array of k doubles)."""
     return _arrow_scores(df, model, features, None, {out: "z"})
@@ -141,12 +148,6 @@ def batch_score(
     return _arrow_scores(df, model, features, None, {out: "pred"}, drop_features)
 
 
-def with_scores_expr(df: DataFrame, model: LinearModel, features: str = "features", out: str = "z") -> DataFrame:
-    """JVM-only form of :func:`with_scores` (higher-order functions, model as
-    one literal array): no Python worker, slower on dense features."""
-    return df.withColumn(out, model.scores(features))
-
-
 def _row_losses(df: DataFrame, model: LinearModel, features: str, label: str, onehot: str | None, keep=()):
     """Per-row ``_loss`` and ``_ok``. The integer-label form computes the loss
     in numpy; the one-hot form evaluates ``lse(z) − Σ y·z`` on the score

@@ -3,36 +3,37 @@
 Synchronous data-parallel SGD (the reference's replicated workers with a
 gradient aggregator): every step reads the ``replicas`` batches it needs,
 each Spark task turns its Arrow batches into partial gradient sums with
-numpy, Spark adds the partials up (partial + final aggregate keyed by
-``(batch, index)``), and the driver applies one small update. Step
+numpy and emits them once, Spark adds the partials up and averages over the
+replicas, and the driver applies one small update. Step
 ``s`` uses batches ``(s·R + r) mod nb`` for ``r < R``; its gradient is the
 mean over replicas of each batch's mean gradient, as a synchronous replica
 aggregator computes it.
 
 The driver only ever holds model-sized arrays (``k × (d + 1)`` weights,
-Adam moments, one gradient per replica); examples never leave the
+Adam moments, one gradient); examples never leave the
 executors. Prepared batches are written once, partitioned by ``batch``,
 under the shared checkpoint folder, so each step's filter prunes to the
 files of its own batches instead of scanning the whole set.
 
 Shard-local SGD with weight averaging (re-aim of the reference's
 independent workers): each shard runs plain SGD over its own batches in
-one streaming pass (rows sorted by ``(shard, batch)``; only the current
-mini-batch is buffered), then the per-shard weights are averaged.
+one streaming pass (rows sorted by ``(shard, batch)``), then the per-shard
+weights are averaged and the next epoch starts from them.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import stable_bucket
-from ..session import scoped_conf, scratch_path
+from ..session import drop_path, scoped_conf, scratch_path
 from ..sources import files
 from .evaluate import BIAS, LinearModel
 
@@ -54,41 +55,84 @@ def _softmax_rows(Z: np.ndarray) -> np.ndarray:
     return E / E.sum(axis=1, keepdims=True)
 
 
-def _partial_gradients(W: np.ndarray, b: np.ndarray, features: str, label: str):
-    """mapInPandas body: per Arrow batch, per mini-batch id, the summed
-    gradient of the mean cross-entropy plus count, loss and hits."""
+def dense_rows(column, d: int) -> np.ndarray:
+    """An Arrow list column as an ``n x d`` matrix: one reshape of its flat values."""
+    sizes = column.value_lengths()
+    if column.null_count or sizes.null_count or set(sizes.unique().to_pylist()) - {d}:
+        raise ValueError(f"every feature vector needs {d} values")
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, d)
+
+
+def class_labels(column, k: int) -> np.ndarray:
+    """Integer labels; one that is missing or not in ``0..k-1`` is an error."""
+    if column.null_count:
+        raise ValueError("a label is missing")
+    y = column.to_numpy(zero_copy_only=False).astype(np.int64)
+    if len(y) and not (0 <= y.min() and y.max() < k):
+        raise ValueError(f"labels must be in 0..{k - 1}; found {y.min()}..{y.max()}")
+    return y
+
+
+def _partial_gradients(W: np.ndarray, b: np.ndarray):
+    """mapInArrow body over ``(features, label, batch)``: the task's summed
+    gradients of the cross-entropy with counts, losses and hits, emitted once
+    per mini-batch at the end of the task."""
     k, d = W.shape
+    idx = np.concatenate([np.arange(k * (d + 1)), [_COUNT, _LOSS, _OK]]).astype(np.int32)
 
-    def fn(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            if pdf.empty:
+    def fn(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for part in it:
+            if not part.num_rows:
                 continue
-            X = np.stack(pdf[features].to_numpy()).astype(np.float64)
-            y = pdf[label].to_numpy().astype(np.int64)
+            X, y = dense_rows(part.column(0), d), class_labels(part.column(1), k)
             Z = X @ W.T + b
-            P = _softmax_rows(Z)
             m = Z.max(axis=1)
             lse = m + np.log(np.exp(Z - m[:, None]).sum(axis=1))
-            loss = lse - Z[np.arange(len(y)), y]
-            ok = (Z.argmax(axis=1) == y).astype(np.float64)
-            D = P
-            D[np.arange(len(y)), y] -= 1.0
-            batches = pdf["batch"].to_numpy()
-            for bid in np.unique(batches):
+            rows = np.arange(len(y))
+            loss = lse - Z[rows, y]
+            ok = Z.argmax(axis=1) == y
+            D = _softmax_rows(Z)
+            D[rows, y] -= 1.0
+            batches = part.column(2).to_numpy(zero_copy_only=False)
+            for bid in np.unique(batches).tolist():
                 sel = batches == bid
-                G = D[sel].T @ X[sel]  # k × d
-                gb = D[sel].sum(axis=0)
-                full = np.concatenate([G, gb[:, None]], axis=1).ravel()  # index c*(d+1)+j, j=d is bias
-                extra = np.array([sel.sum(), loss[sel].sum(), ok[sel].sum()], dtype=np.float64)
-                idx = np.concatenate([np.arange(full.size), [_COUNT, _LOSS, _OK]])
-                yield pd.DataFrame(
-                    {"batch": np.full(idx.size, int(bid), dtype=np.int32), "idx": idx.astype(np.int32),
-                     "g": np.concatenate([full, extra])}
-                )
+                # index c*(d+1)+j, j=d is the bias
+                full = np.concatenate([D[sel].T @ X[sel], D[sel].sum(axis=0)[:, None]], axis=1).ravel()
+                found = np.concatenate([full, [sel.sum(), loss[sel].sum(), ok[sel].sum()]])
+                sums[bid] = sums[bid] + found if bid in sums else found
+        for bid, found in sums.items():
+            n = np.full(len(idx), found[-3])
+            yield pa.record_batch(
+                [pa.array(np.full(len(idx), bid, np.int32)), pa.array(idx), pa.array(found), pa.array(n)],
+                names=["batch", "idx", "g", "n"],
+            )
 
     return fn
 
 
+@dataclass(frozen=True)
+class BatchSet:
+    """A prepared training set: its rows, number of batches, and how many
+    batches a folder holds (read back from the table itself)."""
+
+    rows: DataFrame
+    n_batches: int
+    per_block: int
+    path: str
+
+    def part(self, ids: Sequence[int]) -> DataFrame:
+        """The rows of some batches, reading their folders only."""
+        blocks = sorted({i // self.per_block for i in ids})
+        return self.rows.where(F.col("block").isin(blocks) & F.col("batch").isin(sorted(set(ids))))
+
+    def delete(self) -> None:
+        drop_path(self.rows.sparkSession, self.path)
+
+
+_BATCH_META = "n_batches int, per_block int"
+
+
 def prepare_batches(
     df: DataFrame,
     id_col: str,
@@ -96,27 +140,40 @@ def prepare_batches(
     seed: int | str = 0,
     path: str | None = None,
     max_dirs: int = 1024,
-) -> DataFrame:
+) -> BatchSet:
     """Assign repeatable hash batches and write the set once under the shared
-    folder, partitioned by ``block = batch // per_block`` (at most
-    ``max_dirs`` folders) and sorted by ``batch`` inside each file, so a step
-    reads one block folder and row groups outside its batches are skipped by
-    their min/max statistics."""
+    folder, in folders of neighbouring batches (at most ``max_dirs``) and
+    sorted by ``batch`` inside each file, so a step reads one or two folders
+    and skips row groups by their statistics. Rows are range-partitioned by
+    ``(batch, hash of id)``: a batch larger than a task is split over several.
+    The layout is stored beside the rows (:func:`open_batches`)."""
     spark = df.sparkSession
     out = path or scratch_path(spark, "batches")
-    per_block = blocks_per_dir(n_batches, max_dirs)
-    batch = stable_bucket(id_col, n_batches, seed).cast("int")
+    per_block = max(1, math.ceil(n_batches / max_dirs))
+    spread = _free_name(df, "spread")
     prepared = (
-        df.withColumn("batch", batch)
+        df.withColumn("batch", stable_bucket(id_col, n_batches, seed).cast("int"))
         .withColumn("block", (F.col("batch") / F.lit(per_block)).cast("int"))
-        # contiguous batch ranges per task: balanced tasks, each writing files
-        # into one or two block folders (a hash on block would give one task
-        # a whole folder's rows)
-        .repartitionByRange("batch")
+        .withColumn(spread, F.xxhash64(id_col))
+        .repartitionByRange("batch", spread)
         .sortWithinPartitions("batch")
+        .drop(spread)
     )
-    files.write_table(prepared, out, partition_by=["block"])
-    return spark.read.parquet(out)
+    files.write_table(prepared, out + "/rows", partition_by=["block"])
+    files.write_table(spark.createDataFrame([(n_batches, per_block)], _BATCH_META), out + "/layout")
+    return open_batches(spark, out)
+
+
+def open_batches(spark: SparkSession, path: str) -> BatchSet:
+    """A set written by :func:`prepare_batches`, with the layout it was written in."""
+    layout = spark.read.schema(_BATCH_META).parquet(path + "/layout").first()
+    return BatchSet(spark.read.parquet(path + "/rows"), layout["n_batches"], layout["per_block"], path)
+
+
+def _free_name(df: DataFrame, name: str) -> str:
+    while name in df.columns:
+        name += "_"
+    return name
 
 
 def step_batches(step: int, replicas: int, n_batches: int) -> list[int]:
@@ -129,227 +186,243 @@ def step_limit(n_rows: int, batch_size: int, epochs: int) -> int:
     return (n_rows // batch_size) * epochs
 
 
-def blocks_per_dir(n_batches: int, max_dirs: int = 1024) -> int:
-    """Batches per block folder written by :func:`prepare_batches`."""
-    return max(1, math.ceil(n_batches / max_dirs))
-
-
-def _step_gradient(
-    batched: DataFrame, model: LinearModel, ids: list[int], features: str, label: str, per_block: int = 1
-):
-    """Mean-over-replicas gradient of one step plus batch metrics."""
+def _step_gradient(batched: BatchSet, model: LinearModel, ids: list[int], features: str, label: str):
+    """Mean over the replicas of each batch's mean gradient, with the batches'
+    metrics. Spark averages; ``k·(d+1) + 3`` rows reach the driver, whatever
+    the number of replicas. A batch without rows is an error."""
     k, d = model.W.shape
-    part = batched
-    if "block" in batched.columns:
-        # partition pruning: only the folders holding this step's batches
-        part = part.where(F.col("block").isin(sorted({i // per_block for i in ids})))
-    part = part.where(F.col("batch").isin(ids)).select(features, label, "batch")
-    sums = (
-        part.mapInPandas(_partial_gradients(model.W, model.b, features, label), "batch int, idx int, g double")
-        .groupBy("batch", "idx")
-        .agg(F.sum("g").alias("g"))
-        .collect()  # at most replicas × (k·(d+1) + 3) rows: model-sized
+    part = batched.part(ids).select(F.col(features).cast("array<double>"), F.col(label).cast("int"), "batch")
+    partial = part.mapInArrow(_partial_gradients(model.W, model.b), "batch int, idx int, g double, n double")
+    per_batch = partial.groupBy("batch", "idx").agg(F.sum("g").alias("g"), F.sum("n").alias("n"))
+    rows = (
+        per_batch.groupBy("idx")
+        .agg(F.avg(F.col("g") / F.col("n")).alias("mean"), F.sum("g").alias("total"), F.count("*").alias("batches"))
+        .collect()
     )
-    per = {}
-    for r in sums:
-        per.setdefault(r["batch"], {})[r["idx"]] = r["g"]
-    grads = []
-    n_tot = loss_tot = ok_tot = 0.0
-    for bid in ids:
-        vals = per.get(bid)
-        if not vals or vals.get(_COUNT, 0) == 0:
-            continue
-        n = vals[_COUNT]
-        full = np.array([vals.get(i, 0.0) for i in range(k * (d + 1))]).reshape(k, d + 1) / n
-        grads.append(full)
-        n_tot += n
-        loss_tot += vals[_LOSS]
-        ok_tot += vals[_OK]
-    if not grads:
-        return None, {}
-    g = sum(grads) / len(grads)
-    metrics = {"loss": loss_tot / n_tot, "accuracy": ok_tot / n_tot, "examples": n_tot}
-    return g, metrics
+    found = {r["idx"]: r for r in rows}
+    if not found or found[_COUNT]["batches"] != len(set(ids)):
+        raise ValueError(f"of batches {sorted(set(ids))} only {found[_COUNT]['batches'] if found else 0} have rows")
+    grad = np.array([found[i]["mean"] for i in range(k * (d + 1))]).reshape(k, d + 1)
+    n = found[_COUNT]["total"]
+    return grad, {"loss": found[_LOSS]["total"] / n, "accuracy": found[_OK]["total"] / n, "examples": n}
+
+
+@dataclass
+class _Optimizer:
+    """Plain SGD or Adam on a weight matrix; keeps its moments and step count."""
+
+    kind: str
+    lr: float
+    beta1: float = ADAM_BETA1
+    beta2: float = ADAM_BETA2
+    epsilon: float = ADAM_EPSILON
+    steps: int = 0
+    m: np.ndarray | float = 0.0
+    v: np.ndarray | float = 0.0
+
+    def update(self, theta: np.ndarray, g: np.ndarray) -> np.ndarray:
+        self.steps += 1
+        if self.kind == "sgd":
+            return theta - self.lr * g
+        if self.kind != "adam":
+            raise ValueError(f"unknown optimizer {self.kind!r}")
+        self.m = self.beta1 * self.m + (1 - self.beta1) * g
+        self.v = self.beta2 * self.v + (1 - self.beta2) * g * g
+        rate = self.lr * math.sqrt(1 - self.beta2**self.steps) / (1 - self.beta1**self.steps)
+        return theta - rate * self.m / (np.sqrt(self.v) + self.epsilon)
+
+
+def _run_steps(batched, theta, optimizer, first, steps, replicas, features, label, log_every, log):
+    """Steps ``first .. first + steps`` on one prepared set; the new weights."""
+    k, d = theta.shape[0], theta.shape[1] - 1
+    if replicas > batched.n_batches:
+        raise ValueError(f"{replicas} replicas need as many batches; there are {batched.n_batches}")
+    spark = batched.rows.sparkSession
+    # The per-step aggregate is model-sized (replicas × (k·(d+1) + 3) rows
+    # after map-side combine), so a few reducers suffice, and there is
+    # nothing for adaptive execution to re-plan; both are scoped to the loop.
+    reducers = max(1, min(spark.sparkContext.defaultParallelism, math.ceil(replicas * (k * (d + 1) + 3) / 50_000)))
+    with scoped_conf(spark, "spark.sql.shuffle.partitions", str(reducers), spark__sql__adaptive__enabled="false"):
+        for s in range(steps):
+            model = LinearModel(theta[:, :d], theta[:, d])
+            g, metrics = _step_gradient(batched, model, step_batches(s, replicas, batched.n_batches), features, label)
+            if log_every and (first + s) % log_every == 0:
+                log += [(first + s, "loss", metrics["loss"]), (first + s, "accuracy", metrics["accuracy"])]
+            theta = optimizer.update(theta, g)
+    return theta
 
 
 def sgd_sync(
-    batched: DataFrame,
+    batched: BatchSet,
     k: int,
     d: int,
-    n_batches: int,
     steps: int,
     replicas: int = 1,
     lr: float = LEARNING_RATE,
     optimizer: str = "sgd",
-    beta1: float = ADAM_BETA1,
-    beta2: float = ADAM_BETA2,
-    epsilon: float = ADAM_EPSILON,
     features: str = "features",
     label: str = "label",
     init: LinearModel | None = None,
     log_every: int = 0,
-    max_dirs: int = 1024,
 ) -> tuple[LinearModel, list[tuple[int, str, float]]]:
-    """Synchronous SGD (or Adam) for ``steps`` steps from ``init`` (zeros).
+    """Synchronous SGD (or Adam) for ``steps`` steps from ``init`` (zeros) on
+    one prepared set, whose batches are visited in turn.
 
-    ``batched`` carries a ``batch`` column in ``[0, n_batches)`` (see
-    :func:`prepare_batches`). Returns the model and metric rows
-    ``(step, metric, value)`` logged every ``log_every`` steps, measured on
-    the step's batches before its update.
+    Returns the model and metric rows ``(step, metric, value)`` logged every
+    ``log_every`` steps, measured on the step's batches before its update.
     """
     model = init or LinearModel.zeros(k, d)
     theta = np.concatenate([model.W, model.b[:, None]], axis=1)
-    m = np.zeros_like(theta)
-    v = np.zeros_like(theta)
     log: list[tuple[int, str, float]] = []
-    spark = batched.sparkSession
-    # The per-step aggregate is model-sized (replicas × (k·(d+1) + 3) rows
-    # after map-side combine), so a few reducers suffice, and there is
-    # nothing for adaptive execution to re-plan; both are scoped to the loop.
-    reducers = max(1, min(spark.sparkContext.defaultParallelism, math.ceil(replicas * (k * (d + 1) + 3) / 50_000)))
-    with scoped_conf(spark, "spark.sql.shuffle.partitions", str(reducers), spark__sql__adaptive__enabled="false"):
-        for s in range(steps):
-            theta, m, v = _sgd_step(
-                s, batched, theta, m, v, replicas, n_batches, d, features, label, max_dirs, log_every,
-                optimizer, lr, beta1, beta2, epsilon, log,
-            )
+    theta = _run_steps(batched, theta, _Optimizer(optimizer, lr), 0, steps, replicas, features, label, log_every, log)
     return LinearModel(theta[:, :d], theta[:, d]), log
 
 
-def _sgd_step(s, batched, theta, m, v, replicas, n_batches, d, features, label, max_dirs, log_every,
-              optimizer, lr, beta1, beta2, epsilon, log):
-    """One synchronous step: returns the updated ``(theta, m, v)``."""
-    ids = step_batches(s, replicas, n_batches)
-    g, metrics = _step_gradient(
-        batched, LinearModel(theta[:, :d], theta[:, d]), ids, features, label, blocks_per_dir(n_batches, max_dirs)
-    )
-    if g is None:
-        return theta, m, v
-    if log_every and s % log_every == 0:
-        log.append((s, "loss", metrics["loss"]))
-        log.append((s, "accuracy", metrics["accuracy"]))
-    if optimizer == "sgd":
-        theta = theta - lr * g
-    elif optimizer == "adam":
-        t = s + 1
-        m = beta1 * m + (1 - beta1) * g
-        v = beta2 * v + (1 - beta2) * g * g
-        lr_t = lr * math.sqrt(1 - beta2**t) / (1 - beta1**t)
-        theta = theta - lr_t * m / (np.sqrt(v) + epsilon)
-    else:
-        raise ValueError(f"unknown optimizer {optimizer!r}")
-    return theta, m, v
-
-
-def _local_sgd(k: int, d: int, lr: float, features: str, label: str, max_steps: int | None):
-    """mapInPandas body for shard-local SGD over rows sorted by
-    (shard, batch): one update per completed mini-batch."""
-
-    def fn(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        theta = None
-        cur_shard = None
-        cur_batch = None
-        buf_x: list[np.ndarray] = []
-        buf_y: list[np.ndarray] = []
-        steps = 0
-        out = []
-
-        def flush():
-            nonlocal theta, steps
-            if not buf_x or (max_steps is not None and steps >= max_steps):
-                buf_x.clear()
-                buf_y.clear()
-                return
-            X = np.concatenate(buf_x)
-            y = np.concatenate(buf_y)
-            Xb = np.concatenate([X, np.ones((len(y), 1))], axis=1)
-            P = _softmax_rows(Xb @ theta.T)
-            P[np.arange(len(y)), y] -= 1.0
-            theta = theta - lr * (P.T @ Xb) / len(y)
-            steps += 1
-            buf_x.clear()
-            buf_y.clear()
-
-        def emit():
-            if theta is None:
-                return
+def train_sync(
+    df: DataFrame,
+    id_col: str,
+    k: int,
+    d: int,
+    batch_size: int,
+    epochs: int,
+    replicas: int = 1,
+    lr: float = LEARNING_RATE,
+    optimizer: str = "sgd",
+    seed: int | str = 0,
+    n_batches: int | None = None,
+    features: str = "features",
+    label: str = "label",
+    init: LinearModel | None = None,
+    log_every: int = 0,
+) -> tuple[LinearModel, list[tuple[int, str, float]]]:
+    """Whole synchronous training: :func:`step_limit` steps in ``epochs``
+    epochs, each on batches dealt anew from ``(seed, epoch)``. An epoch's
+    prepared rows are deleted when it ends."""
+    n = df.count()
+    limit = step_limit(n, batch_size, epochs)
+    per_epoch = limit // epochs if epochs else 0
+    model = init or LinearModel.zeros(k, d)
+    theta = np.concatenate([model.W, model.b[:, None]], axis=1)
+    state = _Optimizer(optimizer, lr)
+    log: list[tuple[int, str, float]] = []
+    for epoch in range(epochs if per_epoch else 0):
+        batched = prepare_batches(df, id_col, n_batches or max(1, math.ceil(n / batch_size)), f"{seed}/{epoch}")
+        try:
+            theta = _run_steps(batched, theta, state, epoch * per_epoch, per_epoch, replicas, features, label, log_every, log)
+        finally:
+            batched.delete()
+    return LinearModel(theta[:, :d], theta[:, d]), log
+
+
+def _local_sgd(start: np.ndarray, lr: float, max_steps: int | None):
+    """mapInArrow body for shard-local SGD over ``(features, label, shard,
+    batch)`` rows sorted by shard and batch: one update per completed
+    mini-batch, whose gradient is summed as its rows arrive."""
+    k, d = start.shape[0], start.shape[1] - 1
+
+    def fn(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        theta = shard = batch = None
+        steps, grad, count = 0, np.zeros_like(start), 0
+
+        def finish():
+            nonlocal theta, steps, grad, count
+            if count and (max_steps is None or steps < max_steps):
+                theta = theta - lr * grad / count
+                steps += 1
+            grad, count = np.zeros_like(start), 0
+
+        def weights():
             c, j = np.meshgrid(np.arange(k), np.arange(d + 1), indexing="ij")
-            feat = np.where(j == d, BIAS, j)
-            out.append(pd.DataFrame({
-                "shard": np.full(c.size, cur_shard, dtype=np.int32),
-                "class": c.ravel().astype(np.int32),
-                "feature": feat.ravel().astype(np.int32),
-                "weight": theta.ravel(),
-            }))
-
-        for pdf in it:
-            if pdf.empty:
+            columns = (np.full(c.size, shard), c.ravel(), np.where(j == d, BIAS, j).ravel())
+            return pa.record_batch(
+                [*[pa.array(x.astype(np.int32)) for x in columns], pa.array(theta.ravel())],
+                names=["shard", "class", "feature", "weight"],
+            )
+
+        for part in it:
+            if not part.num_rows:
                 continue
-            shards = pdf["shard"].to_numpy()
-            batches = pdf["batch"].to_numpy()
-            X = np.stack(pdf[features].to_numpy()).astype(np.float64)
-            y = pdf[label].to_numpy().astype(np.int64)
-            # split the Arrow batch into runs of equal (shard, batch)
+            X, y = dense_rows(part.column(0), d), class_labels(part.column(1), k)
+            shards, batches = (part.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
             change = np.flatnonzero((shards[1:] != shards[:-1]) | (batches[1:] != batches[:-1])) + 1
-            starts = np.concatenate([[0], change])
-            ends = np.concatenate([change, [len(y)]])
-            for a, z in zip(starts, ends):
-                sh, bt = int(shards[a]), int(batches[a])
-                if sh != cur_shard:
-                    flush()
-                    emit()
-                    cur_shard, cur_batch, steps = sh, bt, 0
-                    theta = np.zeros((k, d + 1))
-                elif bt != cur_batch:
-                    flush()
-                    cur_batch = bt
-                buf_x.append(X[a:z])
-                buf_y.append(y[a:z])
-            while out:
-                yield out.pop(0)
-        flush()
-        emit()
-        while out:
-            yield out.pop(0)
+            for a, z in zip([0, *change.tolist()], [*change.tolist(), len(y)]):
+                if shards[a] != shard:
+                    if shard is not None:
+                        finish()
+                        yield weights()
+                    shard, batch, steps, theta = int(shards[a]), int(batches[a]), 0, start
+                elif batches[a] != batch:
+                    finish()
+                    batch = int(batches[a])
+                Xb = np.concatenate([X[a:z], np.ones((z - a, 1))], axis=1)
+                P = _softmax_rows(Xb @ theta.T)
+                P[np.arange(z - a), y[a:z]] -= 1.0
+                grad += P.T @ Xb
+                count += z - a
+        if shard is not None:
+            finish()
+            yield weights()
 
     return fn
 
 
+#: Default sizes from which shards and their batches are counted.
+SHARD_ROWS = 1_000_000
+BATCH_ROWS = 10_000
+
+
 def sgd_averaged(
     df: DataFrame,
     id_col: str,
     k: int,
     d: int,
-    n_shards: int,
-    n_batches: int,
+    n_shards: int | None = None,
+    n_batches: int | None = None,
     lr: float = LEARNING_RATE,
     seed: int | str = 0,
     features: str = "features",
     label: str = "label",
+    epochs: int = 1,
+    init: LinearModel | None = None,
     max_steps: int | None = None,
 ) -> DataFrame:
-    """Shard-local SGD with weight averaging → weight table
-    ``(class, feature, weight)``. Shard ``= bucket(id, n_shards, seed)``,
-    batch within shard ``= bucket(id, n_batches, seed + 1)``; each shard
-    visits its batches in increasing order.
-
-    Each shard is one sequential pass in one task (that is the algorithm),
-    streamed with one mini-batch in memory; choose ``n_shards`` so a shard
-    is task-sized (it grows with the data, like the worker count would)."""
-    shard = stable_bucket(id_col, n_shards, seed).cast("int")
-    batch = stable_bucket(id_col, n_batches, f"{seed}+1").cast("int")
-    prepared = (
-        df.select(features, label, shard.alias("shard"), batch.alias("batch"))
-        # range partitioning on the shard id: one shard per task (hash
-        # partitioning would let shard ids collide into one task)
-        .repartitionByRange(int(n_shards), "shard")
-        .sortWithinPartitions("shard", "batch")
-    )
-    per_shard = prepared.mapInPandas(
-        _local_sgd(k, d, lr, features, label, max_steps),
-        "shard int, class int, feature int, weight double",
-    )
-    return per_shard.groupBy("class", "feature").agg(F.avg("weight").alias("weight"))
+    """Shard-local SGD with weight averaging → weight table ``(class, feature,
+    weight)``. Shard ``= bucket(id, n_shards, seed)``; in epoch ``e`` the batch
+    within the shard is ``bucket(id, n_batches, seed + e + 1)``, and a shard
+    visits its batches in increasing order. After each epoch the weights are
+    averaged and every shard starts the next one from them. Without given
+    counts, shards have about ``SHARD_ROWS`` rows and batches ``BATCH_ROWS``.
+    ``max_steps`` stops each shard after so many updates in all.
+
+    A shard is one sequential pass in one task (that is the algorithm); a
+    mini-batch's gradient is summed as it streams by, so nothing is buffered.
+    """
+    if n_shards is None or n_batches is None:
+        n = df.count()
+        n_shards = n_shards or max(1, math.ceil(n / SHARD_ROWS))
+        n_batches = n_batches or max(1, math.ceil(n / n_shards / BATCH_ROWS))
+    model = init or LinearModel.zeros(k, d)
+    out = model.to_frame(df.sparkSession)
+    for epoch in range(epochs):
+        left = None if max_steps is None else max_steps - epoch * n_batches
+        if left is not None and left <= 0:
+            break
+        if epoch:
+            model = LinearModel.from_frame(out)  # model-sized
+        theta = np.concatenate([model.W, model.b[:, None]], axis=1)
+        shard = stable_bucket(id_col, n_shards, seed).cast("int")
+        batch = stable_bucket(id_col, n_batches, f"{seed}+{epoch + 1}").cast("int")
+        prepared = (
+            df.select(
+                F.col(features).cast("array<double>").alias("x"), F.col(label).cast("int").alias("y"),
+                shard.alias("shard"), batch.alias("batch"),
+            )
+            .repartitionById(int(n_shards), F.col("shard"))  # a shard's id is its task
+            .sortWithinPartitions("shard", "batch")
+        )
+        per_shard = prepared.mapInArrow(_local_sgd(theta, lr, left), "shard int, class int, feature int, weight double")
+        out = per_shard.groupBy("class", "feature").agg(F.avg("weight").alias("weight"))
+    return out
 
 
 # -- model persistence -------------------------------------------------------
@@ -360,13 +433,17 @@ def save_weights(model: LinearModel, spark: SparkSession, path: str, mode: str =
 
 
 def load_or_init(spark: SparkSession, path: str, k: int, d: int) -> LinearModel:
-    """Restore a saved weight table if ``path`` exists, else zeros. Any
-    failure other than a missing path is raised, never swallowed."""
+    """Restore a saved weight table if ``path`` exists, else zeros. A table of
+    another shape than ``k x d``, and any failure other than a missing path,
+    is an error."""
     jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(jvm_path):
         return LinearModel.zeros(k, d)
-    return LinearModel.from_frame(spark.read.parquet(path))
+    model = LinearModel.from_frame(spark.read.parquet(path))
+    if (model.k, model.d) != (k, d):
+        raise ValueError(f"{path} holds a {model.k} x {model.d} model; {k} x {d} was asked for")
+    return model
 
 
 def append_metrics(spark: SparkSession, rows: list[tuple[int, str, float]], path: str) -> DataFrame:

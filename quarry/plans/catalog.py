@@ -322,10 +322,12 @@ def train_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sync_model(spark, sf_dir, optimizer="sgd", lr=learn.LEARNING_RATE, log_every=0):
     batched = learn.prepare_batches(train_rows(spark, sf_dir), "vec_id", SGD_BATCHES, seed=0)
-    return learn.sgd_sync(
-        batched, 10, 64, SGD_BATCHES, SGD_STEPS, replicas=SGD_REPLICAS, lr=lr, optimizer=optimizer,
-        log_every=log_every,
-    )
+    try:
+        return learn.sgd_sync(
+            batched, 10, 64, SGD_STEPS, replicas=SGD_REPLICAS, lr=lr, optimizer=optimizer, log_every=log_every
+        )
+    finally:
+        batched.delete()
 
 
 def _weights_frame(spark, model):
@@ -367,6 +369,50 @@ def q_softmax_sgd_averaged(spark, sf_dir):
     return w.select("class", "feature", r6("weight"))
 
 
+@query("softmax_sgd_averaged_epochs")
+def q_softmax_sgd_averaged_epochs(spark, sf_dir):
+    w = learn.sgd_averaged(train_rows(spark, sf_dir), "vec_id", 10, 64, n_shards=3, n_batches=2, seed=0, epochs=3)
+    return w.select("class", "feature", r6("weight"))
+
+
+@query("softmax_sgd_step_limit")
+def q_softmax_sgd_step_limit(spark, sf_dir):
+    """Three epochs on batches dealt anew, stopped by the step rule."""
+    rows = train_rows(spark, sf_dir)
+    size = rows.count() // SGD_BATCHES
+    model, _ = learn.train_sync(rows, "vec_id", 10, 64, size, 3, replicas=SGD_REPLICAS, n_batches=SGD_BATCHES)
+    return _weights_frame(spark, model)
+
+
+@query("train_then_evaluate")
+def q_train_then_evaluate(spark, sf_dir):
+    """Train on scaled features, store, restore, score, evaluate on both splits."""
+    df = features.train_test_split(features.scale_features(labelled(spark, sf_dir), "features", 4.0), "vec_id")
+    train = df.where(F.col("split") == "train").select("vec_id", "features", "label")
+    batched = learn.prepare_batches(train, "vec_id", SGD_BATCHES, seed=0)
+    model, _ = learn.sgd_sync(batched, 10, 64, SGD_STEPS, replicas=SGD_REPLICAS)
+    batched.delete()
+    path = scratch_path(spark, "trained")
+    learn.save_weights(model, spark, path)
+    restored = learn.load_or_init(spark, path, 10, 64)
+    return evaluate.evaluate_model(df, restored).select("split", "n", r6("loss"), r6("accuracy"))
+
+
+@query("softmax_regression_check")
+def q_softmax_regression_check(spark, sf_dir):
+    """Summed class probabilities of the converged softmax regression on its training rows."""
+    df = features.train_test_split(labelled(spark, sf_dir), "vec_id").where(F.col("split") == "train")
+    mass = ml.class_mass(ml.softmax_regression(df, tol=1e-9, max_iter=500, keep_probability=True))
+    return mass.select("class", F.round("mass", 3).alias("mass"))
+
+
+@query("mlp_classifier_check")
+def q_mlp_classifier_check(spark, sf_dir):
+    """Whether the network beats always naming the most frequent class, on its training rows."""
+    df = features.train_test_split(labelled(spark, sf_dir), "vec_id").where(F.col("split") == "train")
+    return ml.beats_prior(ml.mlp_classifier(df, hidden=(120, 84)))
+
+
 @query("softmax_regression_ml")
 def q_softmax_regression_ml(spark, sf_dir):
     df = features.train_test_split(labelled(spark, sf_dir), "vec_id")

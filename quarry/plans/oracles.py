@@ -183,7 +183,7 @@ FROM customer""",
 
 # -- labelled examples ----------------------------------------------------------
 
-KEY = "('0x' || substr(md5({text}), 1, 7))::BIGINT"
+KEY = "('0x' || substr(md5({text}), 1, 15))::BIGINT"
 
 
 def _key(text: str) -> str:
@@ -311,28 +311,29 @@ register("batch_score", "WITH " + SCORES + "\nSELECT vec_id, pred FROM pred")
 TRAIN_KEY_SPLIT = SPLIT
 
 
-def _sgd_base(n_batches: int, extra_cols: str = "") -> list[str]:
-    return [
-        f"""tr AS MATERIALIZED (
-  SELECT vec_id, label, CAST({VEC_KEY} % {n_batches} AS INTEGER) AS batch{extra_cols}
-  FROM embeddings WHERE {SPLIT} = 'train'
-)""",
-        """xl AS MATERIALIZED (
-  SELECT t.vec_id, t.label, t.batch, x.j, x.x FROM tr t JOIN (
+def _sgd_base(n_batches: int, seeds=("0",), x: str = "x.x") -> list[str]:
+    """Training rows with one batch column ``b<i>`` per seed, their long form and batch sizes."""
+    batches = ", ".join(f"CAST({_key(f"'{v}:' || CAST(vec_id AS VARCHAR)")} % {n_batches} AS INTEGER) AS b{i}" for i, v in enumerate(seeds))
+    names = ", ".join(f"t.b{i}" for i in range(len(seeds)))
+    own = ", ".join(f"b{i}" for i in range(len(seeds)))
+    ctes = [
+        f"tr AS MATERIALIZED (SELECT vec_id, label, {batches} FROM embeddings WHERE {SPLIT} = 'train')",
+        f"""xl AS MATERIALIZED (
+  SELECT t.vec_id, t.label, {names}, x.j, {x} AS x FROM tr t JOIN (
     SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS j,
            CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings
   ) x ON x.vec_id = t.vec_id
   UNION ALL
-  SELECT vec_id, label, batch, -1, CAST(1.0 AS DOUBLE) FROM tr
+  SELECT vec_id, label, {own}, -1, CAST(1.0 AS DOUBLE) FROM tr
 )""",
-        "nb AS MATERIALIZED (SELECT batch, count(*) AS n FROM tr GROUP BY batch)",
     ]
+    return ctes + [f"nb{i} AS MATERIALIZED (SELECT b{i} AS batch, count(*) AS n FROM tr GROUP BY b{i})" for i in range(len(seeds))]
 
 
-def _step_ctes(s: int, where: str) -> list[str]:
+def _step_ctes(s: int, where: str, batch: str) -> list[str]:
     return [
         f"""z{s} AS MATERIALIZED (
-  SELECT xl.vec_id, any_value(xl.label) AS label, any_value(xl.batch) AS batch, w.c, sum(xl.x * w.w) AS z
+  SELECT xl.vec_id, any_value(xl.label) AS label, any_value(xl.{batch}) AS batch, w.c, sum(xl.x * w.w) AS z
   FROM xl JOIN w{s} w ON xl.j = w.j WHERE {where} GROUP BY xl.vec_id, w.c
 )""",
         f"zm{s} AS (SELECT *, max(z) OVER (PARTITION BY vec_id) AS m FROM z{s})",
@@ -344,25 +345,27 @@ def _step_ctes(s: int, where: str) -> list[str]:
     ]
 
 
-def sgd_sql(steps: int, replicas: int, n_batches: int, lr: float, optimizer: str = "sgd",
-            log_every: int = 0, beta1: float = 0.9, beta2: float = 0.999, eps: float = 1e-8) -> str:
+def sgd_ctes(steps: int, replicas: int, n_batches: int, lr: float, optimizer: str = "sgd", log_every: int = 0,
+             beta1: float = 0.9, beta2: float = 0.999, eps: float = 1e-8, seeds=("0",), x: str = "x.x") -> tuple[list[str], list[str]]:
+    """CTEs of a synchronous run (weights ``w<steps>``) and its metric selects.
+    With several seeds the steps are divided evenly among them."""
     import math
 
-    ctes = _sgd_base(n_batches)
+    ctes = _sgd_base(n_batches, seeds, x)
     ctes.append(
         "w0 AS MATERIALIZED (SELECT CAST(c AS INTEGER) AS c, CAST(j AS INTEGER) AS j, CAST(0 AS DOUBLE) AS w, "
         "CAST(0 AS DOUBLE) AS m, CAST(0 AS DOUBLE) AS v FROM range(10) t(c), range(-1, 64) u(j))"
     )
     metrics = []
     for s in range(steps):
-        ids = sorted({(s * replicas + r) % n_batches for r in range(replicas)})
-        where = f"xl.batch IN ({', '.join(map(str, ids))})"
-        ctes += _step_ctes(s, where)
+        epoch, local = divmod(s, steps // len(seeds))
+        ids = sorted({(local * replicas + r) % n_batches for r in range(replicas)})
+        ctes += _step_ctes(s, f"xl.b{epoch} IN ({', '.join(map(str, ids))})", f"b{epoch}")
         ctes.append(
             f"""g{s} AS MATERIALIZED (
   SELECT c, j, sum(gb) / count(*) AS g FROM (
     SELECT d.c, xl.j, d.batch, sum(d.d * xl.x) / any_value(n.n) AS gb
-    FROM d{s} d JOIN xl ON xl.vec_id = d.vec_id JOIN nb n ON n.batch = d.batch
+    FROM d{s} d JOIN xl ON xl.vec_id = d.vec_id JOIN nb{epoch} n ON n.batch = d.batch
     GROUP BY d.c, xl.j, d.batch
   ) GROUP BY c, j
 )"""
@@ -389,39 +392,70 @@ UNION ALL
 SELECT CAST({s} AS BIGINT), 'accuracy', round(avg(CASE WHEN p.pred = z.label THEN 1.0 ELSE 0.0 END), 6)
 FROM p{s} p JOIN (SELECT DISTINCT vec_id, label FROM z{s}) z ON z.vec_id = p.vec_id"""
             )
+    return ctes, metrics
+
+
+def sgd_sql(steps: int, *args, **more) -> str:
+    ctes, metrics = sgd_ctes(steps, *args, **more)
     head = "WITH " + ",\n".join(ctes) + "\n"
-    if log_every:
+    if metrics:
         return head + "\nUNION ALL\n".join(metrics)
     return head + f"SELECT c AS class, j AS feature, round(w, 6) + 0.0 AS weight FROM w{steps}"
 
 
-def averaged_sql(n_shards: int, n_batches: int, lr: float) -> str:
+def train_evaluate_sql(steps: int, replicas: int, n_batches: int, lr: float, divisor: float) -> str:
+    """A synchronous run on scaled features, then loss and accuracy of its weights on both splits."""
+    ctes, _ = sgd_ctes(steps, replicas, n_batches, lr, x=f"x.x / {divisor!r}")
+    ctes += [
+        f"""ax AS (
+  SELECT vec_id, label, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS j,
+         CAST(unnest(embedding) AS DOUBLE) / {divisor!r} AS x FROM embeddings
+  UNION ALL SELECT vec_id, label, -1, CAST(1.0 AS DOUBLE) FROM embeddings
+)""",
+        f"az AS MATERIALIZED (SELECT ax.vec_id, any_value(ax.label) AS label, w.c, sum(ax.x * w.w) AS z FROM ax JOIN w{steps} w ON w.j = ax.j GROUP BY ax.vec_id, w.c)",
+        "am AS (SELECT *, max(z) OVER (PARTITION BY vec_id) AS m FROM az)",
+        """ar AS (
+  SELECT vec_id, any_value(m) + ln(sum(exp(z - m))) - max(CASE WHEN c = label THEN z END) AS loss,
+         CAST(min(CASE WHEN z = m THEN c END) = any_value(label) AS INTEGER) AS ok
+  FROM am GROUP BY vec_id
+)""",
+    ]
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT s.split, count(*) AS n, round(avg(loss), 6) AS loss, round(avg(ok), 6) AS accuracy
+FROM ar JOIN (SELECT vec_id, {SPLIT} AS split FROM embeddings) s ON s.vec_id = ar.vec_id GROUP BY s.split"""
+
+
+def averaged_sql(n_shards: int, n_batches: int, lr: float, epochs: int = 1) -> str:
     shard_key = _key("'0:' || CAST(vec_id AS VARCHAR)")
-    batch_key = _key("'0+1:' || CAST(vec_id AS VARCHAR)")
+    batches = ", ".join(f"CAST({_key(f"'0+{e + 1}:' || CAST(vec_id AS VARCHAR)")} % {n_batches} AS INTEGER) AS b{e}" for e in range(epochs))
+    own = ", ".join(f"b{e}" for e in range(epochs))
     ctes = [
         f"""tr AS MATERIALIZED (
-  SELECT vec_id, label, CAST({shard_key} % {n_shards} AS INTEGER) AS shard,
-         CAST({batch_key} % {n_batches} AS INTEGER) AS batch
+  SELECT vec_id, label, CAST({shard_key} % {n_shards} AS INTEGER) AS shard, {batches}
   FROM embeddings WHERE {SPLIT} = 'train'
 )""",
-        """xl AS MATERIALIZED (
-  SELECT t.vec_id, t.label, t.shard, t.batch, x.j, x.x FROM tr t JOIN (
-    SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS j,
+        f"""xl AS MATERIALIZED (
+  SELECT t.*, x.j, x.x FROM tr t JOIN (
+    SELECT vec_id AS id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS j,
            CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings
-  ) x ON x.vec_id = t.vec_id
+  ) x ON x.id = t.vec_id
   UNION ALL
-  SELECT vec_id, label, shard, batch, -1, CAST(1.0 AS DOUBLE) FROM tr
+  SELECT vec_id, label, shard, {own}, -1, CAST(1.0 AS DOUBLE) FROM tr
 )""",
-        "nb AS MATERIALIZED (SELECT shard, batch, count(*) AS n FROM tr GROUP BY shard, batch)",
         "shards AS (SELECT DISTINCT shard FROM tr)",
         "w0 AS MATERIALIZED (SELECT shard, CAST(c AS INTEGER) AS c, CAST(j AS INTEGER) AS j, CAST(0 AS DOUBLE) AS w "
         "FROM shards, range(10) t(c), range(-1, 64) u(j))",
     ]
-    for s in range(n_batches):
+    for s in range(n_batches * epochs):
+        epoch, batch = divmod(s, n_batches)
+        if epoch and not batch:  # every shard goes on from the average
+            mean = f"(SELECT c, j, avg(w) AS w FROM w{s}_ GROUP BY c, j)"
+            ctes.append(f"w{s} AS MATERIALIZED (SELECT shard, m.c, m.j, m.w FROM shards, {mean} m)")
+        after = f"w{s + 1}" + "_" * (batch == n_batches - 1)
         ctes += [
             f"""z{s} AS MATERIALIZED (
   SELECT xl.vec_id, any_value(xl.label) AS label, xl.shard, w.c, sum(xl.x * w.w) AS z
-  FROM xl JOIN w{s} w ON xl.j = w.j AND xl.shard = w.shard WHERE xl.batch = {s}
+  FROM xl JOIN w{s} w ON xl.j = w.j AND xl.shard = w.shard WHERE xl.b{epoch} = {batch}
   GROUP BY xl.vec_id, xl.shard, w.c
 )""",
             f"zm{s} AS (SELECT *, max(z) OVER (PARTITION BY vec_id) AS m FROM z{s})",
@@ -431,18 +465,17 @@ def averaged_sql(n_shards: int, n_batches: int, lr: float) -> str:
   FROM z{s} z JOIN l{s} l ON l.vec_id = z.vec_id
 )""",
             f"""g{s} AS MATERIALIZED (
-  SELECT d.shard, d.c, xl.j, sum(d.d * xl.x) / any_value(n.n) AS g
-  FROM d{s} d JOIN xl ON xl.vec_id = d.vec_id JOIN nb n ON n.shard = d.shard AND n.batch = {s}
-  GROUP BY d.shard, d.c, xl.j
+  SELECT d.shard, d.c, xl.j, sum(d.d * xl.x) / count(DISTINCT d.vec_id) AS g
+  FROM d{s} d JOIN xl ON xl.vec_id = d.vec_id GROUP BY d.shard, d.c, xl.j
 )""",
-            f"""w{s + 1} AS MATERIALIZED (
+            f"""{after} AS MATERIALIZED (
   SELECT w.shard, w.c, w.j, w.w - {lr!r} * coalesce(g.g, 0.0) AS w
   FROM w{s} w LEFT JOIN g{s} g ON g.shard = w.shard AND g.c = w.c AND g.j = w.j
 )""",
         ]
     return (
         "WITH " + ",\n".join(ctes)
-        + f"\nSELECT c AS class, j AS feature, round(avg(w), 6) + 0.0 AS weight FROM w{n_batches} GROUP BY c, j"
+        + f"\nSELECT c AS class, j AS feature, round(avg(w), 6) + 0.0 AS weight FROM w{n_batches * epochs}_ GROUP BY c, j"
     )
 
 
@@ -451,6 +484,22 @@ register("weights_roundtrip", sgd_sql(8, 2, 4, 0.025))
 register("softmax_sgd_adam", sgd_sql(8, 2, 4, 1e-3, optimizer="adam"))
 register("training_metrics", sgd_sql(8, 2, 4, 0.025, log_every=2))
 register("softmax_sgd_averaged", averaged_sql(3, 4, 0.025))
+register("softmax_sgd_averaged_epochs", averaged_sql(3, 2, 0.025, epochs=3))
+register("softmax_sgd_step_limit", sgd_sql(12, 2, 4, 0.025, seeds=("0/0", "0/1", "0/2")))
+register("train_then_evaluate", train_evaluate_sql(8, 2, 4, 0.025, 4.0))
+
+# -- converged estimators -----------------------------------------------------------
+
+#: At the optimum of an unpenalised softmax regression, the probabilities of a
+#: class add up to its number of training rows.
+register(
+    "softmax_regression_check",
+    f"SELECT CAST(label AS INTEGER) AS class, round(CAST(count(*) AS DOUBLE), 3) AS mass FROM embeddings WHERE {SPLIT} = 'train' GROUP BY label",
+)
+register(
+    "mlp_classifier_check",
+    f"SELECT 'train' AS split, count(*) AS n, true AS beats_prior FROM embeddings WHERE {SPLIT} = 'train'",
+)
 
 
 # -- experiment sheets -------------------------------------------------------------

@@ -53,6 +53,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder through the file system of its scheme."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint (survives executor loss), never a local one."""
     checkpoint_dir(df.sparkSession)

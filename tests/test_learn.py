@@ -33,7 +33,7 @@ def test_sync_sgd_matches_numpy(spark, tmp_dir, optimizer):
     batched = learn.prepare_batches(df, "id", nb, path=tmp_dir + "/b")
     bmap = {r["id"]: r["batch"] for r in batched.select("id", "batch").collect()}
     batch = np.array([bmap[i] for i in range(len(y))])
-    model, _ = learn.sgd_sync(batched, 3, 6, nb, steps, replicas=R, lr=lr, optimizer=optimizer)
+    model, _ = learn.sgd_sync(batched, 3, 6, steps, replicas=R, lr=lr, optimizer=optimizer)
     theta = np.zeros((3, 7))
     m = np.zeros_like(theta)
     v = np.zeros_like(theta)
