@@ -49,12 +49,6 @@ def py_strip(col: Column | str) -> Column:
     return F.trim(c, F.lit(PY_SPACE_CHARS))
 
 
-def py_strip_regex(col: Column | str) -> Column:
-    """Regex form of :func:`py_strip`."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.regexp_replace(c, PY_STRIP_PATTERN, "")
-
-
 def split_keep_empty(col: Column, sep: str = "\t") -> Column:
     """``str.split(sep)``: empty fields count, no trailing-field dropping."""
     return F.split(col, sep, -1)

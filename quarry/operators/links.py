@@ -23,9 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.keys import stable_key
-from ..session import join_small
 from ..functions.text import py_strip, split_keep_empty
+from .ordering import with_position
 
 # Fixed values that must equal the reference job's behaviour.
 COMMENT_PREFIX = "#"
@@ -38,16 +37,6 @@ def link_fields(line: Column) -> Column:
     return split_keep_empty(py_strip(line), "\t")
 
 
-def is_link_line(line: Column) -> Column:
-    """Predicate of a usable link line (comment, arity and namespace rules)."""
-    parts = link_fields(line)
-    namespace_ok = F.forall(
-        parts,
-        lambda p: p.startswith(ALLOWED_NAMESPACE) | ~p.contains(NAMESPACE_MARK),
-    )
-    return ~line.startswith(COMMENT_PREFIX) & (F.size(parts) == 2) & namespace_ok
-
-
 def clean_links(lines: DataFrame, column: str = "value") -> DataFrame:
     """Raw lines → ``(src, dst)`` rows, duplicates kept.
 
@@ -75,23 +64,23 @@ def out_degree(edges: DataFrame) -> DataFrame:
     return edges.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
 
 
-def adjacency_lists(edges: DataFrame, max_len: int = 100_000) -> DataFrame:
-    """User-facing ``(src, chunk, dsts)``: sorted neighbour arrays.
+def adjacency_lists(edges: DataFrame, chunk_len: int) -> DataFrame:
+    """User-facing ``(src, chunk, dsts)``: each source's sorted targets, cut
+    in chunks of ``chunk_len`` (the last one may be shorter); the chunks in
+    order are the whole list. The same rule holds for every source.
 
     A report form, not an input to ranking (which stays in edge-list form).
-    A source with more than ``max_len`` neighbours is split into
-    ``ceil(deg / max_len)`` chunks by a repeatable hash of the target, so no
-    single row or task holds a hub's whole list. The hot-source table has
-    at most ``E / max_len`` rows; it is broadcast only after that size is
-    checked (:func:`~quarry.session.join_small`).
+    Distinct edges are numbered in ``(src, dst)`` order by a range sort; a
+    target's place in its list is its number less that of the source's first
+    edge, so a hub's list is cut without ever standing in one task.
     """
-    deg = out_degree(edges)
-    hot = deg.where(F.col("deg") > max_len).select(
-        "src", F.ceil(F.col("deg") / F.lit(max_len)).cast("bigint").alias("nchunk")
-    )
-    chunk = F.pmod(stable_key("dst"), F.coalesce(F.col("nchunk"), F.lit(1).cast("bigint"))).cast("int")
+    if chunk_len < 1:
+        raise ValueError("chunk_len must be positive")
+    numbered = with_position(edges, ["src", "dst"])
+    first = numbered.groupBy("src").agg(F.min("pos").alias("first"))
+    chunk = F.floor((F.col("pos") - F.col("first")) / F.lit(int(chunk_len))).cast("bigint")
     return (
-        join_small(edges, hot, "src", "left")
+        numbered.join(first, "src")
         .select("src", "dst", chunk.alias("chunk"))
         .groupBy("src", "chunk")
         .agg(F.sort_array(F.collect_list("dst")).alias("dsts"))

@@ -19,18 +19,17 @@ Physical plan, designed for a skewed web-scale graph:
 * A *hot* source (more out-links than an average partition holds) would put
   a third of all edges into one join task. Its edges are spread over
   ``ceil(deg / T)`` salt values and its send row is replicated once per
-  salt. The hot table has at most ``E / T <= partitions`` rows: a proven
-  bound, so broadcasting it is safe.
+  salt. The hot table is broadcast only after its size is checked.
 * The node table ``(node, deg, nsalt)`` is hash-partitioned on ``node``
   exactly like the ``groupBy(dst)`` output, so the new ranks pick up
   ``deg``/``nsalt`` *before* the lineage cut with no exchange, and the
   checkpointed rows are exactly what the next round sends. The only
   per-round shuffles are the send rows (one per node, plus salts) and the
   pre-aggregated sums by ``dst`` (partial aggregation absorbs hot targets).
-* Lineage is cut every ``cut_every`` rounds (default: every round) with a
-  reliable checkpoint: the plan stays one round deep (planning a chain of
-  rounds costs more than writing the node-sized rank set) and a lost
-  executor costs at most one round.
+* Lineage is cut every ``cut_every`` rounds (default: every round) and at
+  the end by writing the node-sized rank set to the shared scratch folder: the
+  plan stays one round deep and a lost executor costs at most one round. An
+  older cut is deleted as soon as the next is written.
 """
 
 from __future__ import annotations
@@ -40,7 +39,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, persist, scoped_conf
+from ..session import drop_path, join_small, persist, scoped_conf, scratch_path
 from .links import edge_set, out_degree
 
 # Fixed values of the reference job.
@@ -108,8 +107,7 @@ def rank_step(edges: DataFrame, ranks: DataFrame, damping: float = DAMPING) -> D
 def _hot_sources(deg: DataFrame, threshold: int) -> DataFrame:
     """Sources with more than ``threshold`` out-links and their salt count.
 
-    Row count is at most ``E / threshold`` (a bound fixed by the caller's
-    choice of threshold), which is what makes the broadcast below safe.
+    At most ``E / threshold`` rows.
     """
     return deg.where(F.col("deg") > threshold).select(
         "src", F.ceil(F.col("deg") / F.lit(threshold)).cast("int").alias("nsalt")
@@ -136,16 +134,16 @@ def prepare_graph(
     n_part = partitions or graph_partitions(spark, n_edges)
     threshold = hot_threshold or max(1, math.ceil(n_edges / n_part))
     deg = persist(out_degree(distinct_edges))  # node-sized, read three times below
-    # Proven bound: sum(deg) = E, so at most E / threshold <= n_part sources
-    # exceed the threshold; broadcasting the hot table is therefore safe.
-    hot_b = F.broadcast(_hot_sources(deg, threshold))
+    # sum(deg) = E, so at most E / threshold sources exceed the threshold; the
+    # threshold may be the caller's, so the table's size is checked as well.
+    hot = persist(_hot_sources(deg, threshold))
     nodes = persist(
-        deg.join(hot_b, "src", "left")
+        join_small(deg, hot, "src", "left")
         .select(F.col("src").alias("node"), "deg", F.coalesce(F.col("nsalt"), F.lit(1)).alias("nsalt"))
         .repartition(n_part, "node")
     )
     salted = persist(
-        distinct_edges.join(hot_b, "src", "left")
+        join_small(distinct_edges, hot, "src", "left")
         .select(
             "src",
             F.pmod(F.xxhash64("dst"), F.coalesce(F.col("nsalt"), F.lit(1))).cast("int").alias("salt"),
@@ -157,6 +155,7 @@ def prepare_graph(
     nodes.count()
     distinct_edges.unpersist()
     deg.unpersist()
+    hot.unpersist()
     return salted, nodes
 
 
@@ -200,14 +199,14 @@ def pagerank(
 
     ``edges`` needs ``src`` and ``dst`` columns; duplicates are removed
     first. Per round only the send rows (one per node with out-links, plus
-    salts) and the partial sums by ``dst`` are shuffled. The result is
-    checkpointed (reliable) and the inputs are released.
+    salts) and the partial sums by ``dst`` are shuffled. The result lies in the
+    shared scratch folder and the inputs are released.
     """
     spark = edges.sparkSession
     salted, nodes = prepare_graph(edges, partitions, hot_threshold)
     n_part = salted.rdd.getNumPartitions()
     ranks = nodes.select("node", F.lit(1.0).alias("rank"), "deg", "nsalt")
-    prev_cut: DataFrame | None = None
+    cuts: list[str] = []
     # Spark keeps an existing partitioning for a join only when it has at
     # least spark.sql.shuffle.partitions parts; the rounds therefore run
     # with that setting equal to the graph's partition count, so the
@@ -221,11 +220,13 @@ def pagerank(
     ):
         for i in range(1, rounds + 1):
             ranks = pagerank_round(salted, nodes, ranks, damping)
-            if cut_every and (i % cut_every == 0 or i == rounds):
-                ranks = cut_lineage(ranks)
-                if prev_cut is not None:
-                    prev_cut.unpersist()
-                prev_cut = ranks
+            if i == rounds or cut_every and i % cut_every == 0:
+                path = scratch_path(spark, "ranks")
+                ranks.write.parquet(path)
+                ranks = spark.read.schema(ranks.schema).parquet(path)
+                for old in cuts:  # the cut before this one has been read for the last time
+                    drop_path(spark, old)
+                cuts = [path]
     salted.unpersist()
     nodes.unpersist()
     return ranks.select("node", "rank")

@@ -50,6 +50,14 @@ def q_pagerank_one_way(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranks.select("node", r6("rank"))
 
 
+@query("pagerank_mixed")
+def q_pagerank_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources that never receive, sinks that never send, and a core that
+    goes round: ranks of ten rounds."""
+    ranks = rank.pagerank(graphs.graph_mixed(spark, sf_dir))
+    return ranks.select("node", r6("rank"))
+
+
 @query("pagerank_users")
 def q_pagerank_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = rank.pagerank(graphs.graph_users(spark, sf_dir))
@@ -76,7 +84,7 @@ def q_out_degree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("adjacency_lists")
 def q_adjacency_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    adj = links.adjacency_lists(links.edge_set(graphs.graph_two_way(spark, sf_dir)))
+    adj = links.adjacency_lists(links.edge_set(graphs.graph_two_way(spark, sf_dir)), chunk_len=7)
     return adj.select(
         "src", "chunk", F.size("dsts").cast("bigint").alias("n"), F.array_join("dsts", ",").alias("dsts")
     )
@@ -104,11 +112,20 @@ def q_rank_step(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("rank_export_text")
 def q_rank_export_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranks = rank.pagerank(graphs.graph_two_way(spark, sf_dir), rounds=1)
+    ranks = rank.pagerank(graphs.graph_two_way(spark, sf_dir))
     path = scratch_path(spark, "rank_export")
-    files.write_ranks(ranks.select("node", F.round("rank", 6).alias("rank")), path + "/csv", fmt="csv")
-    files.write_lines(files.rank_lines(ranks, digits=6), path + "/text")
-    return files.read_lines(spark, path + "/text")
+    files.write_lines(files.rank_lines(ranks, digits=6), path)
+    return files.read_lines(spark, path)
+
+
+@query("rank_export_csv")
+def q_rank_export_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The CSV form, read back as strings; node names keep their padding."""
+    ranks = rank.pagerank(graphs.graph_mixed(spark, sf_dir))
+    padded = F.concat(F.lit("  "), F.col("node"), F.lit(" "))
+    path = scratch_path(spark, "rank_export")
+    files.write_ranks(ranks.select(padded.alias("node"), r6("rank")), path, fmt="csv")
+    return files.read_csv_strings(spark, path).select("node", F.round(F.col("rank").cast("double"), 6).alias("rank"))
 
 
 # -- sources, sinks, ordered exports --------------------------------------------------
@@ -472,6 +489,16 @@ def q_sweep_pivot(spark, sf_dir):
     return wide.select("experiment", "series", *[r6(c) for c in cols])
 
 
+@query("sweep_two_sheets")
+def q_sweep_two_sheets(spark, sf_dir):
+    """Two sheets with equal titles; the second has a cell that isn't a
+    number, a series without any value and twice the first one's values."""
+    first, second = sheets.write_two_sheets(spark, sf_dir)
+    t = sweeps.speedup(sweeps.read_sweeps(spark, [first, second]))
+    sheet = F.when(F.col("file").contains("sheet_b"), 2).otherwise(1)
+    return t.select(sheet.alias("sheet"), "experiment", "series", "setting", r6("value"), "value_text", r6("speedup"))
+
+
 # -- streaming ingestion ------------------------------------------------------------
 
 
@@ -502,7 +529,7 @@ def q_export_sort_job(spark, sf_dir):
     jobs.sort_job(spark, base + "/in", base + "/out")
     back = files.read_csv_strings(spark, base + "/out").select(
         "c_name",
-        F.col("_metadata.file_name").alias("_f"),
+        F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("bigint").alias("_f"),
         F.col("_metadata.file_block_start").alias("_b"),
         F.monotonically_increasing_id().alias("_m"),
     )

@@ -4,6 +4,8 @@
   ↔ ``'s'‖suppkey``; every node has in- and out-links.
 * Graph O: the one-way half ``p → s`` (sources never receive rank, targets
   never send: the dangling case).
+* Graph M: ``p → s`` for every line, back only for first lines, so some
+  parts only send, some suppliers only receive and a core goes round.
 * Graph U: user transitions in ``events`` — each event's user links to the
   user of the next event by time (``ts`` is unique per row).
 * Link lines: text lines in link-file syntax built from ``lineitem`` so the
@@ -33,10 +35,21 @@ def graph_one_way(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def graph_two_way(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey")
-    fwd = li.select(_part("l_partkey").alias("src"), _supp("l_suppkey").alias("dst"))
-    back = li.select(_supp("l_suppkey").alias("src"), _part("l_partkey").alias("dst"))
-    return fwd.unionByName(back)
+    return _both_ways(spark, sf_dir, F.lit(True))
+
+
+def graph_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``p -> s`` for every line, ``s -> p`` for first lines only."""
+    return _both_ways(spark, sf_dir, F.col("l_linenumber") == 1)
+
+
+def _both_ways(spark: SparkSession, sf_dir: str, back) -> DataFrame:
+    """Forward edges, and backward ones where ``back`` holds, from one scan."""
+    p, s = _part("l_partkey"), _supp("l_suppkey")
+    forth = F.struct(p.alias("src"), s.alias("dst"))
+    pair = F.array(forth, F.struct(s.alias("src"), p.alias("dst")))
+    edges = F.when(back, pair).otherwise(F.array(forth))
+    return table(spark, sf_dir, "lineitem").select(F.explode(edges).alias("e")).select("e.src", "e.dst")
 
 
 def graph_users(spark: SparkSession, sf_dir: str) -> DataFrame:

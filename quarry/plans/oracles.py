@@ -24,6 +24,13 @@ edges AS MATERIALIZED (
   FROM lineitem
 )"""
 
+EDGES_M = """
+edges AS MATERIALIZED (
+  SELECT 'p' || CAST(l_partkey AS VARCHAR) AS src, 's' || CAST(l_suppkey AS VARCHAR) AS dst FROM lineitem
+  UNION
+  SELECT 's' || CAST(l_suppkey AS VARCHAR), 'p' || CAST(l_partkey AS VARCHAR) FROM lineitem WHERE l_linenumber = 1
+)"""
+
 EDGES_U = """
 edges AS MATERIALIZED (
   SELECT DISTINCT src, dst FROM (
@@ -58,6 +65,7 @@ def register(name: str, sql: str) -> None:
 
 
 register("pagerank_10", pagerank_sql(EDGES_T))
+register("pagerank_mixed", pagerank_sql(EDGES_M))
 register("pagerank_users", pagerank_sql(EDGES_U))
 register("pagerank_one_way", pagerank_sql(EDGES_O, rounds=2))
 
@@ -108,15 +116,9 @@ register(
 register(
     "adjacency_lists",
     "WITH " + EDGES_T + """,
-deg AS (SELECT src, count(*) AS deg FROM edges GROUP BY src),
-chunked AS (
-  SELECT e.src, e.dst,
-         CAST((('0x' || substr(md5('0:' || e.dst), 1, 7))::BIGINT
-               % CASE WHEN d.deg > 100000 THEN CAST(ceil(d.deg / 100000) AS BIGINT) ELSE 1 END) AS INTEGER) AS chunk
-  FROM edges e JOIN deg d ON e.src = d.src
-)
-SELECT src, chunk, count(*) AS n, string_agg(dst, ',' ORDER BY dst) AS dsts
-FROM chunked GROUP BY src, chunk""",
+placed AS (SELECT src, dst, (row_number() OVER (PARTITION BY src ORDER BY dst) - 1) // 7 AS chunk FROM edges)
+SELECT src, CAST(chunk AS BIGINT) AS chunk, count(*) AS n, string_agg(dst, ',' ORDER BY dst) AS dsts
+FROM placed GROUP BY src, chunk""",
 )
 
 # -- PageRank single steps ------------------------------------------------------
@@ -141,8 +143,11 @@ FROM edges e JOIN deg d ON e.src = d.src GROUP BY e.dst""",
 )
 register(
     "rank_export_text",
-    "WITH " + pagerank_sql(EDGES_T, rounds=1).removeprefix("WITH ").rsplit("\nSELECT", 1)[0]
-    + "\nSELECT node || chr(9) || printf('%.6f', rank) AS value FROM r1",
+    pagerank_sql(EDGES_T).rsplit("\nSELECT", 1)[0] + "\nSELECT node || chr(9) || printf('%.6f', rank) AS value FROM r10",
+)
+register(
+    "rank_export_csv",
+    pagerank_sql(EDGES_M).rsplit("\nSELECT", 1)[0] + "\nSELECT '  ' || node || ' ' AS node, round(rank, 6) AS rank FROM r10",
 )
 
 # -- sources, sinks, ordered exports ------------------------------------------
@@ -552,3 +557,18 @@ def _pivot_sql(settings=range(1, 8)) -> str:
 
 
 register("sweep_pivot", _pivot_sql())
+
+register(
+    "sweep_two_sheets",
+    """WITH q AS (
+  SELECT l_linestatus AS st, l_linenumber AS ln, CAST(sum(l_quantity) AS BIGINT) AS v FROM lineitem GROUP BY ALL
+), cells AS (
+  SELECT 1 AS sheet, st, ln, CAST(v AS DOUBLE) AS value, CAST(v AS VARCHAR) || 's' AS value_text FROM q
+  UNION ALL
+  SELECT 2, st, ln, CASE WHEN ln > least THEN CAST(2 * v AS DOUBLE) END, CASE WHEN ln > least THEN CAST(2 * v AS VARCHAR) || 's' ELSE 'n/a' END
+  FROM q, (SELECT min(l_linenumber) AS least FROM lineitem)
+)
+SELECT sheet, 'Quantities, by "line"' AS experiment, st || ' (sum)' AS series, CAST(ln AS DOUBLE) AS setting, value, value_text,
+       round(first_value(value IGNORE NULLS) OVER (PARTITION BY sheet, st ORDER BY ln ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) / value, 6) AS speedup
+FROM cells""",
+)

@@ -18,7 +18,7 @@ from ..sources import files
 from ..sources.tables import table
 
 
-def sheet_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[int], str]:
+def sheet_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[int], str, DataFrame]:
     li = table(spark, sf_dir, "lineitem")
     # One row per (flag, status, line number): aggregate-sized, reused by
     # every block below, so it is cached rather than recomputed per branch.
@@ -59,14 +59,14 @@ def sheet_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[int],
     qty = series("qty", F.col("qty").cast("string"))
     lines = title.unionByName(header).unionByName(price).unionByName(qty).unionByName(blank)
     first_flag = agg.agg(F.min("l_returnflag")).first()[0]
-    return lines, settings, first_flag
+    return lines, settings, first_flag, agg
 
 
 def write_sheet(spark: SparkSession, sf_dir: str) -> tuple[str, list[int]]:
     """Write the sheet as one ordered text file; returns its folder. The
     sheet has one line per (flag, status, measure): aggregate-sized, so a
     single ordered output file is cheap."""
-    lines, settings, first_flag = sheet_lines(spark, sf_dir)
+    lines, settings, first_flag, agg = sheet_lines(spark, sf_dir)
     bom_first = (F.col("flag") == F.lit(first_flag)) & (F.col("ord") == 0)
     text = lines.select(
         "flag", "ord", "sub",
@@ -74,4 +74,29 @@ def write_sheet(spark: SparkSession, sf_dir: str) -> tuple[str, list[int]]:
     ).orderBy("flag", "ord", "sub").coalesce(1)
     path = scratch_path(spark, "sheet")
     files.write_lines(text, path)
+    agg.unpersist()
     return path, settings
+
+
+def write_two_sheets(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Two sheets of one block with the same title: quantities summed per
+    line number and status, the second sheet with twice the values, ``n/a`` at
+    the first setting and a series of empty cells."""
+    li = table(spark, sf_dir, "lineitem")
+    sums = {
+        (r[0], r[1]): int(r[2])
+        for r in li.groupBy("l_linestatus", "l_linenumber").agg(F.sum("l_quantity").cast("bigint")).collect()  # a handful
+    }
+    statuses, numbers = sorted({s for s, _ in sums}), sorted({n for _, n in sums})
+    paths = []
+    for name, factor in (("sheet_a", 1), ("sheet_b", 2)):
+        rows = ['"Quantities, by ""line"""', ",".join(["", *map(str, numbers)])]
+        for s in statuses:
+            cells = [str(factor * sums[s, n]) + "s" if (s, n) in sums else "" for n in numbers]
+            rows.append(",".join([f"{s} (sum)", *(["n/a", *cells[1:]] if factor == 2 else cells)]))
+        if factor == 2:
+            rows.insert(3, ",".join(["none (sum)", *[""] * len(numbers)]))
+        path = scratch_path(spark, name)
+        files.write_lines(spark.createDataFrame([(i, x) for i, x in enumerate(rows)], "i int, value string").coalesce(1).sortWithinPartitions("i"), path)
+        paths.append(path)
+    return paths[0], paths[1]

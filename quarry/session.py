@@ -122,15 +122,17 @@ def local_session(
     return spark
 
 
-#: Row bound under which a small side is broadcast after its size is checked.
-BROADCAST_MAX_ROWS = 1_000_000
+#: Bytes up to which a small side is broadcast after its size is checked.
+BROADCAST_MAX_BYTES = 32 << 20
 
 
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = BROADCAST_MAX_ROWS):
-    """Join with a side whose size is *checked*: broadcast when it has at most
-    ``max_rows`` rows (one cheap count), otherwise a shuffle join, where AQE's
-    skew handling splits oversized partitions of the big side."""
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", max_bytes: int = BROADCAST_MAX_BYTES):
+    """Join with a side whose size is *checked*: broadcast when its rows take
+    at most ``max_bytes`` (one cheap aggregate over it), otherwise a shuffle
+    join, where AQE's skew handling splits oversized partitions of the big side.
+    A row counts as its text form and 16 bytes a column."""
     from pyspark.sql import functions as F
 
-    n = small.count()
-    return big.join(F.broadcast(small) if n <= max_rows else small, on, how)
+    text = F.coalesce(F.octet_length(F.to_json(F.struct("*"))), F.lit(0)) + 16 * len(small.columns)
+    size = small.agg(F.sum(text)).first()[0] or 0
+    return big.join(F.broadcast(small) if size <= max_bytes else small, on, how)

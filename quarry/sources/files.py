@@ -54,7 +54,9 @@ def rank_lines(ranks: DataFrame, digits: int | None = None) -> DataFrame:
 def write_ranks(ranks: DataFrame, path: str, fmt: str = "csv", mode: str = "errorifexists") -> None:
     """Rank export: ``csv`` (``node,rank`` with header) or ``text``."""
     if fmt == "csv":
-        write_csv(ranks.select("node", "rank"), path, mode)
+        # node names keep their padding (the sort job's CSV trims, as the reference's does)
+        keep = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+        ranks.select("node", "rank").write.mode(mode).options(header="true", **keep).csv(path)
     elif fmt == "text":
         write_lines(rank_lines(ranks), path, mode=mode)
     else:
@@ -67,7 +69,3 @@ def write_table(df: DataFrame, path: str, mode: str = "errorifexists", partition
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)

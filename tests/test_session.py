@@ -37,3 +37,13 @@ def test_pagerank_restores_session_settings(spark):
     rank.pagerank(df, rounds=2).collect()
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+
+
+def test_stable_key_uses_sixty_bits(spark):
+    from pyspark.sql import functions as F
+
+    from quarry.functions.keys import stable_bucket, stable_key
+
+    df = spark.range(20_000)
+    assert df.select(F.max(stable_bucket("id", 1 << 29))).first()[0] > 1 << 28
+    assert df.select(stable_key("id")).distinct().count() == 20_000
