@@ -30,6 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import join_small
 from .components import written
 from .texts import free_name
 
@@ -41,17 +42,22 @@ MIN_DOCS = 10
 MIN_DIVERSITY = 0.5
 
 
+
+def _normal(line: Column) -> Column:
+    """A line trimmed, blanks squeezed, tokens with a digit as ``<*>`` (the costly patterns run only where needed)."""
+    odd = line.contains("\t") | line.contains("\r") | line.contains("  ") | line.contains("\x0b") | line.contains("\f")
+    even = F.trim(F.when(odd, F.regexp_replace(line, r"[ \t\x0B\f\r]++", " ")).otherwise(line))
+    return F.when(line.rlike("[0-9]"), F.regexp_replace(even, r"(?<!\S)[^\s0-9]*+[0-9]\S*+", "<*>")).otherwise(even)
+
+
 def masked_lines(text: Column) -> Column:
-    """The text's lines, trimmed, blanks squeezed, tokens with a digit as ``<*>``."""
-    digits = F.regexp_replace(text, r"(?<!\S)[^\s0-9]*+[0-9]\S*+", "<*>")
-    masked = F.when(text.rlike("[0-9]"), digits).otherwise(text)
-    squeezed = F.when(masked.rlike(r"[\t\x0B\f\r]|  "), F.regexp_replace(masked, r"[ \t\x0B\f\r]++", " ")).otherwise(masked)
-    return F.transform(F.split(squeezed, "\n", -1), F.trim)
+    """The normalised lines of a text."""
+    return F.transform(F.split(text, "\n", -1), _normal)
 
 
 def _place(line: Column, depth: int) -> Column:
-    """Token count and leaf of a line (null leaf: no token)."""
-    n = F.length(line) - F.length(F.replace(line, F.lit(" "))) + 1
+    """Token count, leaf and hash of a normalised line (null leaf and hash: no token)."""
+    n = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1
     blank = line == ""
     return F.struct(
         F.when(blank, 0).otherwise(n).alias("n"),
@@ -63,10 +69,12 @@ def _place(line: Column, depth: int) -> Column:
 def line_table(docs: DataFrame, id_col: str, text_col: str, depth: int = DEPTH) -> DataFrame:
     """One row per line: document ``(id, h)``, line ``no``, token count ``n``,
     ``leaf``, masked line ``key`` and the line's ``company``."""
-    one = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), masked_lines(F.col(text_col)).alias("lines")).where("lines IS NOT NULL")
+    there = docs.where(F.col(text_col).isNotNull())
+    one = there.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), masked_lines(F.col(text_col)).alias("lines"))
     placed = one.select("id", "h", F.transform("lines", lambda x: _place(x, depth)).alias("p"))
-    keys = F.array_sort(F.array_distinct(F.filter(F.col("p")["key"], lambda k: k.isNotNull())))
-    two = placed.select("id", "h", "p", F.get(keys, F.lit(0)).alias("k1"), F.get(keys, F.lit(1)).alias("k2"))
+    keys = F.array_compact(F.col("p")["key"])
+    k1 = F.array_min(keys)
+    two = placed.select("id", "h", "p", k1.alias("k1"), F.array_min(F.array_remove(keys, k1)).alias("k2"))
     rows = two.select("id", "h", "k1", "k2", F.posexplode("p").alias("no", "x"))
     company = F.when(F.col("x.key") == F.col("k1"), F.coalesce("k2", F.lit(0))).otherwise(F.col("k1"))
     return rows.select("id", "h", "no", "x.n", "x.leaf", "x.key", company.alias("company"))
@@ -75,13 +83,11 @@ def line_table(docs: DataFrame, id_col: str, text_col: str, depth: int = DEPTH)
 def generalised(docs: DataFrame, lines: DataFrame, text_col: str, depth: int, children: int, constant: float) -> DataFrame:
     """``(key, template)`` of the masked lines whose leaf has variable fields."""
     crowded = lines.where(F.col("n") >= MIN_TOKENS).select("leaf", "key").distinct().groupBy("leaf").count().where(F.col("count") >= children).select("leaf")
-    members = (
-        docs.select(F.explode(masked_lines(F.col(text_col))).alias("line")).where("line <> ''")
-        .select("line", _place(F.col("line"), depth).alias("x")).select("line", "x.n", "x.leaf", "x.key")
-        .where(F.col("n") >= MIN_TOKENS).join(crowded, "leaf", "left_semi")
-        .groupBy("leaf", "key", "n").agg(F.min("line").alias("line"))
-    )
-    members = written(members, "leaf_lines")
+    crowded = written(crowded, "crowded")
+    every = docs.select(F.explode(masked_lines(F.col(text_col))).alias("line"))
+    placed = every.select("line", F.inline(F.array(_place(F.col("line"), depth))))
+    members = join_small(placed, crowded, "leaf", "left_semi")
+    members = written(members.groupBy("leaf", "key", "n").agg(F.min("line").alias("line")), "leaf_lines")
     tokens = members.select("leaf", "n", F.posexplode(F.split("line", " ")).alias("at", "token"))
     varying = tokens.select("leaf", "n", "at", F.xxhash64("token").alias("t")).distinct().groupBy("leaf", "n", "at").count().where(F.col("count") >= children)
     shapes = varying.groupBy("leaf", "n").agg(F.collect_list("at").alias("fields")).where(F.col("n") - F.size("fields") >= constant * F.col("n"))
