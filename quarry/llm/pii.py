@@ -56,7 +56,8 @@ CUES = {
     "phone": "phone|tel|call|fax|mobile|telefon|tél|teléfono|cell|dial",
 }
 COUNTER_CUES = r"version|isbn|issn|order|invoice|token|serial|id|no\.|nr\.|#|v"
-THRESHOLD = 0.5
+#: Probability from which a candidate that fails its kind's check is added.
+THRESHOLD = 0.9
 _BLOCK = 64  # offsets are summed in blocks, so a text with many matches stays cheap
 
 
@@ -158,6 +159,9 @@ def find_candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     found = written(_matches(texts, "text"), "pii_matches")
     spans = written(found.select("id", F.concat(*[_spans(n) for n in SOURCES]).alias("spans")), "pii_spans")
+    # a looser match within or across one of the kind's own pattern is no candidate of its own
+    lone = lambda x: ~F.exists("spans", lambda b: b["base"] & (b["k"] == x["k"]) & (b["s"] < x["e"]) & (x["s"] < b["e"]))
+    spans = spans.withColumn("spans", F.filter("spans", lambda x: x["base"] | lone(x)))
     voted = F.transform(
         "spans",
         lambda x: F.struct(
