@@ -26,10 +26,10 @@ get a row; an empty table gives no rows; other columns aren't looked at.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -91,32 +91,56 @@ def _balls(radius: int) -> list[int]:
     return [sum(1 << b for b in c) for d in range(radius + 1) for c in combinations(range(32), d)]
 
 
-def _spanning(r: int):
-    """Within one group: links that connect whatever the table rows link to."""
-
-    def link(group: pd.DataFrame) -> pd.DataFrame:
-        fps = group["fp"].to_numpy().astype(np.uint64)
-        table = np.unique(fps[group["entry"].to_numpy()])
-        looks = np.unique(fps)
-        parent = {int(x): int(x) for x in looks}
-
-        def find(x):
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
-        out = []
-        for t in table:
-            near = looks[np.bitwise_count(looks ^ t) <= r]
-            a = int(t)
-            for b in near.tolist():
-                x, y = find(a), find(b)
-                if x != y:
-                    parent[max(x, y)] = min(x, y)
-                    out.append((a, b))
-        pairs = np.array(out, np.uint64).reshape(-1, 2).view(np.int64)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+def spanning_links(fps: np.ndarray, entry: np.ndarray, r: int) -> list[tuple[int, int]]:
+    """Within one group of unsigned fingerprints: links that connect whatever
+    the entries link to, at most one for each fingerprint."""
+    table, looks = np.unique(fps[entry]), np.unique(fps)
+    parent = {x: x for x in looks.tolist()}
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    out = []
+    for a in table.tolist():
+        for b in looks[np.bitwise_count(looks ^ np.uint64(a)) <= r].tolist():
+            x, y = find(a), find(b)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                out.append((a, b))
+    return out
+
+
+def _group_links(r: int):
+    """Rows ``(s, v, mask, part, fp, entry)`` sorted by their first four
+    columns to the spanning links of each group; a group is held until it ends."""
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None
+
+        def links(cols, starts, ends):
+            out = []
+            for lo, hi in zip(starts, ends):
+                if hi - lo > 1 and cols[5][lo:hi].any():
+                    out += spanning_links(cols[4][lo:hi].view(np.uint64), cols[5][lo:hi], r)
+            pairs = np.array(out, np.uint64).reshape(-1, 2).view(np.int64)
+            return pa.record_batch([pa.array(np.ascontiguousarray(pairs[:, k])) for k in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            cols = [c.astype(bool) if k == 5 else np.ascontiguousarray(c, np.int64) for k, c in enumerate(cols)]
+            if held is not None:
+                cols = [np.concatenate(x) for x in zip(held, cols)]
+            if not len(cols[0]):
+                continue
+            change = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in cols[:4]])) + 1
+            starts = [0, *change.tolist()]
+            yield links(cols, starts[:-1], starts[1:])
+            held = [c[starts[-1] :] for c in cols]
+        if held is not None:
+            yield links(held, [0], [len(held[0])])
 
     return link
 
@@ -150,7 +174,8 @@ def link_fingerprints(fps: DataFrame, r: int = DISTANCE, dense: int = DENSE) ->
         "s", "v", "fp", (F.col("flip") == 0).alias("entry"), other.alias("o"),
         F.explode(F.array(*[F.lit(m).cast("bigint") for m in masks])).alias("mask"),
     ).select("s", "v", "mask", F.col("o").bitwiseAND(F.col("mask")).alias("part"), "fp", "entry")
-    spans = dealt.groupBy("s", "v", "mask", "part").applyInPandas(_spanning(r), "a bigint, b bigint")
+    group = ["s", "v", "mask", "part"]
+    spans = dealt.select(*group, "fp", "entry").repartition(*group).sortWithinPartitions(*group).mapInArrow(_group_links(r), "a bigint, b bigint")
     return pairs.union(spans)
 
 

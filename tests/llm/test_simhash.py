@@ -43,9 +43,9 @@ def test_fingerprint():
 def test_links_close_to_all_pairs(spark, dense):
     rng = random.Random(3)
     fps = {0}
-    for _ in range(12):  # clouds of close fingerprints, and loose ones
+    for _ in range(5):  # clouds of close fingerprints, and loose ones
         centre = rng.getrandbits(64)
-        for _ in range(30):
+        for _ in range(20):
             fps.add(centre ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 4))))
     fps = sorted(fps)
     signed = [f - (1 << 64) if f >> 63 else f for f in fps]
