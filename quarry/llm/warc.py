@@ -53,6 +53,8 @@ SALTS = 32
 ARCHIVE_BYTES = 1 << 30
 #: Bytes read at once where records lie side by side.
 READ_BYTES = 4 << 20
+#: Compressed bytes of records that one task reads.
+TASK_BYTES = 64 << 20
 DATE = "2000-01-01T00:00:00Z"
 CAPTURES = "key string, page_id bigint, path string, offset bigint, length bigint"
 _NONE = -(1 << 63)  # stands for a missing page id in the index, and sorts first
@@ -295,8 +297,10 @@ def look_up(queries: DataFrame, index: list[IndexFile]) -> DataFrame:
     return queries.select("key", "page_id").repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(find, "page_id bigint, path string, offset bigint, length bigint")
 
 
-def read_records(captures: DataFrame) -> DataFrame:
-    """The records at ``(path, offset, length)``: page id, record type, payload digest and length, referred page, payload."""
+def read_records(captures: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """The records at ``(path, offset, length)``: page id, record type, payload
+    digest and length, referred page, payload. Tasks are counted by the bytes
+    they read, not by the size of the capture rows."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path, file, held, lo = None, None, b"", 0
@@ -319,7 +323,9 @@ def read_records(captures: DataFrame) -> DataFrame:
             types = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.binary())
             yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, types)], names=["page_id", "record_type", "payload_digest", "payload_bytes", "refers_to", "payload"])
 
-    placed = captures.select("path", "offset", "length").repartitionByRange("path", "offset").sortWithinPartitions("path", "offset")
+    captures = written(captures.select("path", "offset", "length"), "found")
+    tasks = max(captures.sparkSession.sparkContext.defaultParallelism, -(-(captures.agg(F.sum("length")).first()[0] or 0) // task_bytes))
+    placed = captures.repartitionByRange(tasks, "path", "offset").sortWithinPartitions("path", "offset")
     return placed.mapInArrow(read, "page_id bigint, record_type string, payload_digest string, payload_bytes bigint, refers_to bigint, payload binary")
 
 

@@ -15,12 +15,12 @@ def corpus(spark):
     bench = [(i, prose(14)) for i in range(5)]
     rows, labels = [], []
     for i in range(80):
-        rows.append((i, "\n".join(prose(40) for _ in range(3)) + ("\nShare this page" if i % 2 else "")))
+        rows.append((i, "\n".join(prose(40) for _ in range(2 + i % 4)) + ("\nShare this page" if i % 2 else "")))
         labels.append((i, 1))
     for i in range(100, 140):
-        rows.append((i, " ".join(w + "$$$" for w in prose(80).split())))
+        rows.append((i, " ".join(w + "$$$" for w in prose(60 + 3 * (i - 100)).split())))
         labels.append((i, 0))
-    rows += [(200, rows[3][1]), (201, rows[3][1].replace(rows[3][1].split()[7], "edited"))]
+    rows += [(200, rows[4][1]), (201, rows[4][1].upper())]
     rows += [(300, prose(60) + " " + bench[2][1] + " " + prose(30)), (301, "too short"), (302, None), (None, prose(70))]
     docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     folder = scratch_path(spark, "corpus")
