@@ -88,3 +88,46 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_substring_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.substring_digest(table(spark, sf_dir, "documents"))
+
+
+#: Windows of ten words (or a whole shorter item) looked up in every document.
+ORACLES["op2_decontaminate"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), bw AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i : i + least(10, len(w)) - 1], ' ') AS k
+  FROM b, unnest(range(1, len(w) - least(10, len(w)) + 2)) t(i) WHERE len(w) > 0
+), sizes AS (SELECT DISTINCT n FROM bw), keys AS (SELECT DISTINCT n, k FROM bw
+), dw AS (
+  SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS k FROM d, sizes, unnest(range(1, len(w) - n + 2)) t(i)
+), hits AS (SELECT dw.doc_id, dw.n, dw.i, dw.k FROM dw JOIN keys ON keys.n = dw.n AND keys.k = dw.k
+), words AS (SELECT doc_id, count(DISTINCT i + o) AS n_hit FROM hits, unnest(range(0, n)) t(o) GROUP BY doc_id
+), found AS (
+  SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS items FROM hits JOIN bw ON bw.n = hits.n AND bw.k = hits.k GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(words.n_hit, 0) AS n_hit, CAST(coalesce(len(found.items), 0) AS BIGINT) AS n_items,
+       sha256(coalesce(array_to_string(found.items, ','), '')) AS items_sha256, coalesce(words.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words ON words.doc_id = d.doc_id LEFT JOIN found ON found.doc_id = d.doc_id
+"""
+
+#: Every window of twenty words, its first place, and the words that later ones cover.
+ORACLES["op9_substring_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 19], ' ') AS k FROM d, unnest(range(1, len(w) - 18)) t(i) WHERE len(w) >= 20
+), placed AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS r FROM win
+), gone AS (
+  SELECT DISTINCT doc_id, i + o AS i FROM placed, unnest(range(0, 20)) t(o) WHERE r > 1
+), words AS (
+  SELECT doc_id, i, w[i] AS x FROM d, unnest(range(1, len(w) + 1)) t(i)
+), kept AS (
+  SELECT words.doc_id, array_to_string(list(x ORDER BY words.i), ' ') AS text, count(*) AS n
+  FROM words ANTI JOIN gone ON gone.doc_id = words.doc_id AND gone.i = words.i GROUP BY words.doc_id
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(len(d.w) - coalesce(kept.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id
+"""
