@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    master = spark.sparkContext.master
+    return master.startswith("local") and not master.startswith("local-cluster")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
