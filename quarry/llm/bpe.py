@@ -1,17 +1,19 @@
 """Byte-level BPE encoding and decoding over a prefix trie (operator 3).
 
 A text is cut into pieces by the vocabulary's split pattern. The distinct
-pieces of a batch are inserted into a trie, which is walked depth first. Every
-node holds one state: the *last token* of the encoding of the prefix that ends
-there. Two facts about BPE make that state enough:
+pieces of a batch are inserted into a trie in depth-first order. Every node
+holds one state: the *last token* of the encoding of the prefix that ends there. Two facts about BPE make that state enough:
 
 * the tokens before the last one are the encoding of the shorter prefix, so a
   whole encoding is read off by walking back from node to node;
 * token ``t`` is the last token of a prefix iff it is a suffix of it and
   merging the bytes of (last token of the rest, ``t``) gives that pair again.
 
-So the encoding of a shared prefix is computed once for all pieces below it.
-Pieces already met by the worker come from a bounded memo.
+So the encoding of a shared prefix is computed once for all pieces below it, in
+this batch and the worker's next ones. Words already met come from a memo. Trie
+and memo are bounded: they start anew when full, which costs time only. The
+token ids are packed in the machine's order, little-endian on all platforms
+that Spark's Arrow exchange supports.
 
 Defined cases: null and empty texts have no tokens and decode to an empty
 text; special tokens found in a text are taken whole, as the vocabulary file's
@@ -22,6 +24,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,17 +33,21 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .texts import utf8
+from .texts import small_batches
 
 #: Fixed value: the split pattern of the byte-level vocabularies.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Pieces that a worker remembers (about 200 bytes each), and of which lengths.
-MEMO_PIECES = 800_000
+#: Words (about 200 bytes each) at which a worker's memo ages, and of which lengths.
+MEMO_PIECES = 60_000
 MEMO_BYTES = 64
 #: Token pairs whose border is remembered.
-MEMO_PAIRS = 300_000
-#: Bytes of distinct pieces in one trie: bounds its nodes.
-TRIE_BYTES = 400_000
+MEMO_PAIRS = 100_000
+#: Nodes (about 150 bytes each) at which a worker starts a new trie.
+TRIE_NODES = 150_000
+#: Bytes of a piece beyond which its states are found from the front.
+DEEP = 200
+_MARKS = ".,;:!?"
+_MODIFIERS = "\u02b0"  # below it, Python's letters are the pattern's letters
 _NEVER = 1 << 60
 _NONE = (_NEVER, -1)
 
@@ -57,33 +65,41 @@ class TrieBPE:
         spec = json.loads(content)
         to_byte = byte_alphabet()
         raw = lambda token: bytes(to_byte[c] for c in token)
-        self.bytes_of: dict[int, bytes] = {}
-        self.ids: dict[bytes, int] = {}
         vocab = spec["model"]["vocab"]
-        for token, i in vocab.items():
-            self.bytes_of[i] = raw(token)
-            self.ids[self.bytes_of[i]] = i
+        ids = {raw(token): i for token, i in vocab.items()}
+        bytes_of = {i: t for t, i in ids.items()}
         self.merges: dict[tuple[int, int], tuple[int, int]] = {}
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             self.merges[vocab[a], vocab[b]] = (rank, vocab[a + b])
         self.special = {x["content"]: x["id"] for x in spec.get("added_tokens", [])}
         for text, i in self.special.items():
-            self.bytes_of[i] = text.encode()
+            bytes_of[i] = text.encode()
         by_length = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, by_length)) + ")") if by_length else None
         self.pattern = regex.compile(SPLIT)
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}
         self.spines: tuple[dict, dict] = ({}, {})
         self.parts = {made: (a, b, rank) for (a, b), (rank, made) in reversed(self.merges.items())}
-        self.backward: dict = {}  # the tokens that text can encode to, read from their ends
-        for t, i in self.ids.items():
-            if self._merged([self.ids[t[k : k + 1]] for k in range(len(t))]) == [i]:
-                node = self.backward
+        # the tokens that text can encode to, read from their ends: (node, byte) -> node, node -> token
+        self.backward: dict[int, int] = {}
+        self.ends = array("i", [-1])
+        for t, i in ids.items():
+            if self._merged([ids[t[k : k + 1]] for k in range(len(t))]) == [i]:
+                node = 0
                 for b in reversed(t):
-                    node = node.setdefault(b, {})
-                node[-1] = i
-        self.memo: dict[str, bytes] = {}
+                    key = node << 8 | b
+                    node = self.backward.get(key)
+                    if node is None:
+                        node = self.backward[key] = len(self.ends)
+                        self.ends.append(-1)
+                self.ends[node] = i
+        self.memo: dict[str, bytes] = {}  # words met lately, and ...
+        self.older: dict[str, bytes] = {}  # ... before that
+        self.child: dict[int, int] = {}  # trie: (node, byte) -> node
+        self.states: list[int | None] = [-1]  # trie: node -> last token, where known
+        self.text_of = [bytes_of.get(i, b"") for i in range(max(bytes_of) + 1)]
+        self.width = array("i", map(len, self.text_of))
 
     def _merged(self, tokens: list[int]) -> list[int]:
         """Merge the best-ranked pair until none is left (short inputs)."""
@@ -124,9 +140,6 @@ class TrieBPE:
         """Whether the bytes of ``a`` and ``b`` together encode to just ``[a, b]``:
         no pair that meets at the border is merged before one of it is used up.
         At equal ranks the left pair is merged first."""
-        known = self.fits.get((a, b))
-        if known is not None:
-            return known
         if len(self.fits) > MEMO_PAIRS:
             self.fits.clear()
         left, right = self._spine(a, 1), self._spine(b, 0)
@@ -144,77 +157,90 @@ class TrieBPE:
                 i += 1
             else:
                 j += 1
-        self.fits[a, b] = known
+        self.fits[a << 32 | b] = known
         return known
 
-    def _last(self, path: bytes, last: list[int]) -> int:
-        """The last token of ``path``; ``last[k]``: that of its prefix of ``k`` bytes."""
-        node, at, ends = self.backward, len(path), []
-        while at:
-            at -= 1
-            node = node.get(path[at])
+    def _last(self, piece: bytes, at: int, nodes: list[int]) -> int:
+        """The last token of ``piece[:at]``, whose trie nodes are ``nodes``. States
+        of shorter prefixes that it asks for are found first and kept."""
+        back, ends_at = self.backward.get, self.ends
+        node, k, ends = 0, at, []
+        while k:
+            k -= 1
+            node = back(node << 8 | piece[k])
             if node is None:
                 break
-            if -1 in node:
-                ends.append((node[-1], at))
-        for t, start in reversed(ends):
-            if start == 0 or self._fit(last[start], t):
-                return t
-        raise ValueError("a byte is missing from the vocabulary")
-
-    def encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
-        """Encodings of distinct non-empty pieces through one trie."""
-        root: dict = {}
-        for k, piece in enumerate(pieces):
-            node = root
+            t = ends_at[node]
+            if t >= 0:
+                ends.append((t, k))
+        fits, states = self.fits, self.states
+        while ends:
+            t, start = ends.pop()
+            if not start:
+                break
+            a = states[nodes[start]]
+            if a is None:
+                a = states[nodes[start]] = self._last(piece, start, nodes)
+            fit = fits.get(a << 32 | t)
+            if fit is None:
+                fit = self._fit(a, t)
+            if fit:
+                break
+        else:
+            raise ValueError("a byte is missing from the vocabulary")
+        return t
+
+    def encode_pieces(self, pieces: list[bytes]) -> list[array]:
+        """Encodings of non-empty pieces through the trie. Sorted pieces enter
+        it in depth-first order; a node's state is found from the states on its
+        path when a piece first needs it, and serves every piece that passes through."""
+        child, states, width = self.child, self.states, self.width
+        get = child.get
+        out = []
+        for piece in pieces:
+            if len(states) > TRIE_NODES:
+                child.clear()
+                del states[1:]
+            node, nodes, size = 0, [0], len(states)
             for b in piece:
-                node = node.setdefault(b, {})
-            node[-1] = k
-        out: list[list[int]] = [[] for _ in pieces]
-        path, last = bytearray(), [-1]
-        stack = [(root, 0, 0)]
-        while stack:
-            node, depth, byte = stack.pop()
-            if depth:
-                del path[depth - 1 :], last[depth:]
-                path.append(byte)
-                last.append(self._last(path, last))
-            for b, child in node.items():
-                if b >= 0:
-                    stack.append((child, depth + 1, b))
-                    continue
-                at, ids = depth, out[child]
-                while at:
-                    ids.append(last[at])
-                    at -= len(self.bytes_of[last[at]])
-                ids.reverse()
+                key = node << 8 | b
+                node = get(key)
+                if node is None:
+                    node = child[key] = size
+                    size += 1
+                    states.append(None)
+                nodes.append(node)
+            at = len(piece)
+            if at > DEEP:  # from the front, so that no state asks for many unknown ones
+                for k in range(1, at):
+                    if states[nodes[k]] is None:
+                        states[nodes[k]] = self._last(piece, k, nodes)
+            ids = []
+            while at:
+                t = states[nodes[at]]
+                if t is None:
+                    t = states[nodes[at]] = self._last(piece, at, nodes)
+                ids.append(t)
+                at -= width[t]
+            ids.reverse()
+            out.append(array("I", ids))
         return out
 
     def _learn(self, pieces: set[str]) -> dict[str, bytes]:
         """Packed ids of pieces, by trie unless the memo has them."""
         found: dict[str, bytes] = {}
-        run: list[str] = []
-        size = 0
-
-        def flush():
-            for p, ids in zip(run, self.encode_pieces([x.encode() for x in run])):
-                found[p] = np.array(ids, "<u4").tobytes()
-
-        for p in sorted(pieces):
-            if p in self.special:
-                found[p] = np.array([self.special[p]], "<u4").tobytes()
-                continue
+        new = []
+        for p in pieces:
             known = self.memo.get(p[1:]) if p[0] == " " else None
-            if known is not None:
+            if p in self.special:
+                found[p] = array("I", [self.special[p]]).tobytes()
+            elif known is not None:
                 found[p] = known
-                continue
-            run.append(p)
-            size += len(p)
-            if size > TRIE_BYTES:
-                flush()
-                run, size = [], 0
-        if run:
-            flush()
+            else:
+                new.append(p.encode())
+        new.sort()
+        for p, ids in zip(new, self.encode_pieces(new)):
+            found[p.decode()] = ids.tobytes()
         return found
 
     def _pieces(self, text: str) -> list[str]:
@@ -222,6 +248,15 @@ class TrieBPE:
             return self.pattern.findall(text)
         return [p for part in self.cut.split(text) for p in ([part] if part in self.special else self.pattern.findall(part))]
 
+    def _cut_word(self, word: str) -> list[str]:
+        """The pieces of a blank-led word; letters, with or without a mark behind, need no pattern."""
+        if word.isalpha() and (word.isascii() or max(word) < _MODIFIERS):
+            return [" " + word]
+        stem = word[:-1]
+        if word[-1] in _MARKS and stem.isalpha() and (stem.isascii() or max(stem) < _MODIFIERS):
+            return [" " + stem, word[-1]]
+        return self.pattern.findall(" " + word)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers.
 
@@ -230,35 +265,47 @@ class TrieBPE:
         words, which the memo holds; any other text is cut by the pattern.
         """
         if len(self.memo) > MEMO_PIECES:
-            self.memo = {}
-        memo = self.memo
-        plans: list[tuple[list[str], list[str] | None]] = []  # pieces in front, blank-led words behind
+            self.memo, self.older = {}, self.memo
+        memo, older = self.memo, self.older
+        get = memo.get
+        plans: list[tuple[list[str], list[str], list]] = []  # pieces in front, words behind, their ids as far as known
         fresh: set[str] = set()
         for text in texts:
             first, *rest = text.split(" ")
-            new = {w for w in rest if w not in memo}
+            known = list(map(get, rest))
+            new = {w for w, ids in zip(rest, known) if ids is None} if None in known else ()
             odd = first[-1:].isspace() or any(not w or w[0].isspace() or w[-1].isspace() for w in new)
             if odd or any(s in text for s in self.special):
-                plans.append((self._pieces(text), None))
+                plans.append((self._pieces(text), [], []))
             else:
-                plans.append((self.pattern.findall(first), rest))
-                fresh |= new
-        cuts = {w: self.pattern.findall(" " + w) for w in fresh}
-        ids = self._learn({p for cut in cuts.values() for p in cut} | {p for front, _ in plans for p in front})
+                plans.append((self.pattern.findall(first), rest, known))
+                fresh.update(new)
+        seen = {w for w in fresh if w in older}
+        memo.update((w, older[w]) for w in seen)
+        fresh -= seen
+        plain = [w for w in fresh if w.isalpha() and len(w) <= MEMO_BYTES and (w.isascii() or max(w) < _MODIFIERS)]
+        plain.sort()
+        memo.update(zip(plain, [x.tobytes() for x in self.encode_pieces([b" " + w.encode() for w in plain])]))
+        cuts = {w: self._cut_word(w) for w in fresh.difference(plain)}
+        ids = self._learn({p for cut in cuts.values() for p in cut} | {p for front, _, _ in plans for p in front})
         long: dict[str, bytes] = {}
         for w, cut in cuts.items():
             (memo if len(w) <= MEMO_BYTES else long)[w] = b"".join([ids[p] for p in cut])
         out = []
-        for front, rest in plans:
-            coded = [ids[p] for p in front]
-            if rest:
-                coded += [memo[w] if w in memo else long[w] for w in rest] if long else map(memo.__getitem__, rest)
-            out.append(b"".join(coded))
+        for front, rest, known in plans:
+            if None in known:
+                known = [get(w) or long[w] if x is None else x for w, x in zip(rest, known)]
+            out.append(b"".join([*[ids[p] for p in front], *known]))
         return out
 
+    def forget(self) -> None:
+        """Drop memo and trie, but not the vocabulary."""
+        self.memo, self.older = {}, {}
+        self.child, self.states, self.fits, self.spines = {}, [-1], {}, ({}, {})
+
     def decode(self, packed: bytes) -> bytes:
         """The UTF-8 text of packed ids (broken sequences become U+FFFD)."""
-        data = b"".join(map(self.bytes_of.__getitem__, np.frombuffer(packed, "<u4").tolist()))
+        data = b"".join(map(self.text_of.__getitem__, np.frombuffer(packed, "<u4").tolist()))
         return data.decode("utf-8", "replace").encode()
 
 
@@ -286,15 +333,8 @@ def encoder(vocabulary, text: Column) -> Column:
     def encode(texts: pa.Array) -> pa.Array:
         coder = _coder(vocabulary.value)
         out: list[bytes] = []
-        strings = [t if t is not None else "" for t in texts.to_pylist()]
-        at = 0
-        while at < len(strings):  # about a million characters at a time
-            end, size = at, 0
-            while end < len(strings) and (end == at or size + len(strings[end]) < 1_000_000):
-                size += len(strings[end])
-                end += 1
-            out += coder.encode(strings[at:end])
-            at = end
+        for at in range(0, len(texts), 64):
+            out += coder.encode([t if t is not None else "" for t in texts.slice(at, 64).to_pylist()])
         return pa.array(out, pa.binary())
 
     return encode(text)
@@ -313,15 +353,36 @@ def decoder(vocabulary, ids: Column) -> Column:
 
 def encode_documents(docs: DataFrame, vocab_path: str, text_col: str = "text", ids_col: str = "token_ids") -> DataFrame:
     """``docs`` with the packed ids of each whole text in ``ids_col``."""
+    small_batches(docs.sparkSession)
     return docs.withColumn(ids_col, encoder(load_vocabulary(docs.sparkSession, vocab_path), F.col(text_col)))
 
 
+def code_documents(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id_col, ids, decoded)``: each whole text's packed ids, and the text they decode to.
+    A task that ends gives its memory back, which an idle worker would keep."""
+    small_batches(docs.sparkSession)
+    vocabulary = load_vocabulary(docs.sparkSession, vocab_path)
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = _coder(vocabulary.value)
+        try:
+            for batch in batches:
+                ids: list[bytes] = []
+                for at in range(0, batch.num_rows, 32):
+                    ids += coder.encode([t if t is not None else "" for t in batch.column(1).slice(at, 32).to_pylist()])
+                decoded = pa.array(map(coder.decode, ids), pa.binary()).cast(pa.string())
+                yield pa.record_batch([batch.column(0), pa.array(ids, pa.binary()), decoded], names=[id_col, "ids", "decoded"])
+        finally:
+            coder.forget()
+
+    rows = docs.select(F.col(id_col), F.col(text_col))
+    return rows.mapInArrow(code, f"`{id_col}` {dict(docs.dtypes)[id_col]}, ids binary, decoded string")
+
+
 def bpe_digest(docs: DataFrame, vocab_path: str) -> DataFrame:
     """One row per document: token count, digest of the ids, digest of the decoded text."""
-    vocabulary = load_vocabulary(docs.sparkSession, vocab_path)
-    coded = docs.select("doc_id", encoder(vocabulary, F.col("text")).alias("ids"))
-    decoded = coded.select("doc_id", "ids", decoder(vocabulary, F.col("ids")).alias("decoded"))
-    return decoded.select(
+    coded = code_documents(docs.select("doc_id", "text"), vocab_path)
+    return coded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
