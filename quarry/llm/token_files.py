@@ -16,7 +16,8 @@ the whole corpus.
 
 Texts are cut at ASCII white space, which the vocabulary's normalisation and
 split pattern always drop and never merge across; each different word is
-encoded by the tokenizers library once per memo, as a text of its own.
+encoded by the tokenizers library once per memo: words of letters many to a
+text, told apart by the ids that end a word, the others as texts of their own.
 
 Defined cases: null texts count as empty and give the end id alone; documents
 without id come first, equal ids in order of their text; repeated rows are all
@@ -43,10 +44,21 @@ LENGTH = 2048
 BATCH = 256
 END_ID = 2
 #: Words (about 150 bytes each) at which a worker's memo ages, and of which lengths.
-MEMO_WORDS = 300_000
+MEMO_WORDS = 500_000
 MEMO_BYTES = 64
 
 
+_MARKS = frozenset(bytes([b]) for b in b".,;:!?")
+
+
+def _plain(word: bytes) -> bool:
+    """Letters only that are one word of the split pattern, in either case, as they stand."""
+    if word.isascii():
+        return word.isalpha() and len(word) <= MEMO_BYTES
+    text = word.decode()
+    return text.isalpha() and max(text) < "\u0130" and len(word) <= MEMO_BYTES
+
+
 class WordEncoder:
     """Ids of whole texts by the tokenizers library, through a memo of words."""
 
@@ -58,6 +70,9 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
         self.memo: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
@@ -66,18 +81,51 @@ class WordEncoder:
         if len(self.memo) > MEMO_WORDS:
             self.memo, self.older = {}, self.memo
         memo, older = self.memo, self.older
-        words = [t.split() if t else [] for t in texts]
-        fresh = {w for ws in words for w in ws if w not in memo}
+        # the vocabulary lower-cases, so ASCII capitals may go first where no special token can arise
+        words = [[] if not t else t.split() if b"<|" in t else t.lower().split() for t in texts]
+        known = [list(map(memo.get, ws)) for ws in words]
+        fresh = {w for ws, ids in zip(words, known) if None in ids for w, x in zip(ws, ids) if x is None}
         seen = {w for w in fresh if w in older}
         memo.update((w, older[w]) for w in seen)
-        new = sorted(fresh - seen)
-        coded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
+        fresh -= seen
+        # letters with one mark behind are two words of the split pattern
+        marked, single, others = {}, set(), set()
+        for w in fresh:
+            if w.isalpha() or w.isdigit():  # ASCII only
+                (single if w.isalpha() and len(w) <= MEMO_BYTES else others).add(w)
+            elif w[-1:] in _MARKS and _plain(w[:-1]):
+                marked[w] = (w[:-1], w[-1:])
+            else:
+                (single if _plain(w) else others).add(w)
+        for stem, mark in marked.values():
+            if stem not in memo:
+                single.add(stem)
+            if mark not in memo:
+                others.add(mark)
+        memo.update(self._together(list(single)))
+        others = list(others)
         long = {}
-        for w, e in zip(new, coded):
+        for w, e in zip(others, self.tokenizer.encode_batch_fast([w.decode() for w in others], add_special_tokens=False)):
             (memo if len(w) <= MEMO_BYTES else long)[w] = np.array(e.ids, self.dtype).tobytes()
-        if long:
-            return [b"".join([memo[w] if w in memo else long[w] for w in ws]) for ws in words]
-        return [b"".join(map(memo.__getitem__, ws)) for ws in words]
+        memo.update((w, memo[stem] + memo[mark]) for w, (stem, mark) in marked.items())
+        out = []
+        for ws, ids in zip(words, known):
+            if None in ids:
+                ids = [x if x is not None else memo[w] if w in memo else long[w] for w, x in zip(ws, ids)]
+            out.append(b"".join(ids))
+        return out
+
+    def _together(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Words of letters only, each of which the split pattern leaves whole,
+        encoded as one text: a word's ids end with the one id that ends a word."""
+        if not words:
+            return iter(())
+        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids, self.dtype)
+        ends = (np.flatnonzero(self.ends[ids]) + 1) * ids.itemsize
+        if len(ends) != len(words):
+            raise ValueError("the vocabulary does not end each word with an id of its own")
+        packed = ids.tobytes()
+        return zip(words, map(packed.__getitem__, map(slice, [0, *ends[:-1].tolist()], ends.tolist())))
 
 
 _ready: dict[int, WordEncoder] = {}
