@@ -42,6 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import join_small
 from .components import written
 from .texts import chunks, small_batches, space_words, utf8
 
@@ -294,12 +295,15 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     held = keyed.join(wanted, ["doc", "h"]).select("doc", "h", "text", "wanted")
     cut = written(held.mapInArrow(_cut, "seed bigint, doc bigint, h bigint, pos int, start int, words binary").distinct(), "passage_words")
 
-    hot = open_.groupBy("seed").count().where(F.col("count") > dense).select("seed")
-    few = cut.join(hot, "seed", "left_anti").repartition("seed").sortWithinPartitions("seed", "doc", "h", "pos")
+    # crowded seeds: at most one in ``dense`` rows; their table is broadcast if small enough
+    hot = written(open_.groupBy("seed").count().where(F.col("count") > dense).select("seed"), "hot_seeds")
+    few = join_small(cut, hot, "seed", "left_anti").repartition("seed").sortWithinPartitions("seed", "doc", "h", "pos")
     near = few.mapInArrow(_compare(window), "doc bigint, h bigint, start int, n int")
-    each = cut.join(hot, "seed", "left_semi").mapInArrow(_windows(window), "doc bigint, h bigint, start int, w binary")
+    each = join_small(cut, hot, "seed", "left_semi").mapInArrow(_windows(window), "doc bigint, h bigint, start int, w binary")
+    each = written(each, "hot_windows")
     first = each.groupBy("w").agg(F.min(F.struct("doc", "h", "start")).alias("first"), F.count("*").alias("times")).where("times > 1")
-    crowded = each.join(first, "w").where(F.struct("doc", "h", "start") > F.col("first")).select("doc", "h", "start", F.lit(window).alias("n"))
+    # both sides of the join come from tables, so a window met very often is split over tasks
+    crowded = each.join(written(first, "first_windows"), "w").where(F.struct("doc", "h", "start") > F.col("first")).select("doc", "h", "start", F.lit(window).alias("n"))
     return gone.union(near).union(crowded)
 
 
