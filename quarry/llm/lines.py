@@ -124,7 +124,7 @@ def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     one, two = free_name(docs, "line_id"), free_name(docs, "line_hash")
     drops = drops.select(F.col("id").alias(one), F.col("h").alias(two), F.col("drop").alias(out_col))
     same = docs[id_col].eqNullSafe(F.col(one)) & (F.xxhash64(docs[text_col]) == F.col(two))
-    return docs.join(drops, same, "left").select(*[docs[c] for c in docs.columns], out_col)
+    return join_small(docs, drops, same, "left").select(*[docs[c] for c in docs.columns], out_col)
 
 
 def kept_text(text: Column, flags: Column) -> Column:

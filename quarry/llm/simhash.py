@@ -35,6 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import join_small
 from .components import connected_components, written
 from .texts import free_name, small_batches, utf8
 
@@ -207,5 +208,5 @@ def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str
     found = near_duplicates(docs, id_col, text_col, shingle, r)
     name = free_name(docs, "kept_id")
     keep = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias(name)).distinct()
-    joined = docs.join(keep, docs[id_col] == F.col(name), "left")
+    joined = join_small(docs, written(keep, "kept"), docs[id_col] == F.col(name), "left")
     return joined.where(F.col(name).isNotNull() | docs[id_col].isNull()).select(*[docs[c] for c in docs.columns])
