@@ -8,12 +8,13 @@ If at least ``CONSTANT`` of the leaf's positions stay, its lines share the
 template of the remaining tokens; otherwise (prose that only starts alike) and
 in all other leaves a line's template is the line itself, digits masked.
 
-A template is *recurring* if it is found in at least ``MIN_DOCS`` documents and
-at least ``MIN_DIVERSITY`` of them are different company for it: a document's
-company for a line is the smallest hash among its other lines. Boilerplate
-stands in unlike documents; the lines of one much-copied document always stand
-together and stay for near-duplicate removal. Lines of recurring templates
-are dropped in every document.
+A template is *recurring* if it is found in at least ``MIN_DOCS`` different
+companies: a document's company for a line is the smallest hash among its other
+lines. Boilerplate stands in unlike documents; the lines of one much-copied
+document always stand together and stay for near-duplicate removal. Copies add
+no company and take none away, so a copy group of any size leaves the answer for
+all other documents as it is. Lines of recurring templates are dropped in every
+document.
 
 All counts cover every line of every document. Hot templates are counted from
 grouped partial sums; nothing gathers the lines of a template. The only arrays
@@ -39,8 +40,7 @@ CHILDREN = 8
 CONSTANT = 0.6
 MIN_TOKENS = 4
 MIN_DOCS = 10
-MIN_DIVERSITY = 0.5
-
+MIN_DIVERSITY = 0.5  # read by the tests' first brute force only: a share of documents can be lost to copies
 
 
 def _normal(line: Column) -> Column:
@@ -95,24 +95,22 @@ def generalised(docs: DataFrame, lines: DataFrame, text_col: str, depth: int, ch
     return members.join(shapes, ["leaf", "n"]).select("key", F.xxhash64(F.lit("template"), F.array_join(fields, " ")).alias("template"))
 
 
-def recurring(lines: DataFrame, min_docs: int, min_diversity: float) -> DataFrame:
-    """The templates that recur across documents, with their counts."""
+def recurring(lines: DataFrame, min_docs: int) -> DataFrame:
+    """The templates found in at least ``min_docs`` companies, with their count."""
     once = lines.where("template IS NOT NULL").groupBy("template", "id", "h").agg(F.min("company").alias("company"))
-    kinds = once.groupBy("template", "company").agg(F.count("*").alias("n"))
-    counts = kinds.groupBy("template").agg(F.sum("n").alias("docs"), F.count("*").alias("companies"))
-    return counts.where((F.col("docs") >= min_docs) & (F.col("companies") >= min_diversity * F.col("docs")))
+    return once.select("template", "company").distinct().groupBy("template").agg(F.count("*").alias("companies")).where(F.col("companies") >= min_docs)
 
 
 def dropped_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, children: int = CHILDREN,
-    constant: float = CONSTANT, min_docs: int = MIN_DOCS, min_diversity: float = MIN_DIVERSITY,
+    constant: float = CONSTANT, min_docs: int = MIN_DOCS,
 ) -> DataFrame:
     """``(id, h, drop)`` of the documents that hold recurring lines: ``drop`` has a boolean per line."""
     lines = written(line_table(docs, id_col, text_col, depth), "lines")
     shared = generalised(docs, lines, text_col, depth, children, constant)
     lines = lines.join(shared, "key", "left").withColumn("template", F.coalesce("template", "key"))
     lines = written(lines.select("id", "h", "no", "template", "company"), "templates")
-    often = written(recurring(lines, min_docs, min_diversity).select("template", F.lit(True).alias("often")), "recurring")
+    often = written(recurring(lines, min_docs).select("template", F.lit(True).alias("often")), "recurring")
     marked = lines.join(often, "template", "left").select("id", "h", F.struct("no", F.coalesce("often", F.lit(False)).alias("often")).alias("x"))
     flags = marked.groupBy("id", "h").agg(F.array_sort(F.collect_set("x")).alias("x"), F.max("x.often").alias("any")).where("any")
     return flags.select("id", "h", F.col("x")["often"].alias("drop"))

@@ -99,3 +99,26 @@ def test_digest_and_cleaned_documents(spark):
     ids = [r.doc_id for r in cleaned.collect()]
     assert 403 not in ids and {400, 401, 402} <= set(ids) and len([i for i in ids if i is not None and i >= 200]) == 84
     assert L.line_digest(df.where("false")).collect() == []
+
+
+def unlike(n, block, own, seed=5, length=9):
+    """``n`` documents of ``own(i)`` lines of their own and the lines of ``block``."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=6))
+    return ["\n".join([" ".join(word() for _ in range(length)) for _ in range(own(i))] + block) for i in range(n)]
+
+
+def dropped_of(spark, texts):
+    """Per document the lines that are dropped."""
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = L.clean_lines(df, out_col="flags").collect()
+    assert len(got) == len(texts)
+    return {r.doc_id: [x for x, f in zip(r.text.split("\n"), r.flags or []) if f] for r in got}
+
+
+def test_copies_do_not_save_a_footer(spark):
+    footer = "Subscribe to the weekly letter"
+    texts = unlike(30, [footer], lambda i: 4)
+    got = dropped_of(spark, texts + [texts[0]] * 100 + unlike(1, [], lambda i: 6, seed=6) * 100)
+    assert all(got[i] == [footer] for i in range(130))
+    assert not any(got[i] for i in range(130, 230))
