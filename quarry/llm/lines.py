@@ -9,21 +9,26 @@ template of the remaining tokens; otherwise (prose that only starts alike) and
 in all other leaves a line's template is the line itself, digits masked.
 
 A template is *recurring* if it is found in at least ``MIN_DOCS`` different
-companies: a document's company for a line is the smallest hash among its other
-lines. Boilerplate stands in unlike documents; the lines of one much-copied
-document always stand together and stay for near-duplicate removal. Copies add
-no company and take none away, so a copy group of any size leaves the answer for
-all other documents as it is. Lines of recurring templates are dropped in every
-document.
+companies. Equal texts are one company. A line (digits unmasked) is a text's own
+if fewer than ``MIN_DOCS`` texts hold it. The company of a text is
+
+* if every line has a masked or variable field (log and status pages): its hash;
+* if at least ``OWN`` of its tokens stand in own lines: their smallest hash;
+* else it is a near copy or has nothing to tell it from one: the least common of
+  its shared lines, so that near copies of one document are one company.
+
+Boilerplate stands in unlike documents, and neither its other lines nor copies
+of some of those documents change that; the lines of one much-copied document
+stay for near-duplicate removal. Lines of recurring templates are dropped in
+every document.
 
 All counts cover every line of every document. Hot templates are counted from
 grouped partial sums; nothing gathers the lines of a template. The only arrays
-built are those of one document's own lines.
+built are those of one document's lines.
 
 Defined cases: null texts have no lines and stay null; lines without a token
-never recur and are never dropped; rows equal in id and text count as one
-document and are cleaned alike; an empty table gives no rows; extra columns
-stay as they are.
+never recur and are never dropped; rows of equal text are cleaned alike; an
+empty table gives no rows; extra columns stay as they are.
 """
 
 from __future__ import annotations
@@ -40,19 +45,28 @@ CHILDREN = 8
 CONSTANT = 0.6
 MIN_TOKENS = 4
 MIN_DOCS = 10
+OWN = 0.25
 MIN_DIVERSITY = 0.5  # read by the tests' first brute force only: a share of documents can be lost to copies
 
 
-def _normal(line: Column) -> Column:
-    """A line trimmed, blanks squeezed, tokens with a digit as ``<*>`` (the costly patterns run only where needed)."""
+def _even(line: Column) -> Column:
+    """A line trimmed, blanks squeezed (the costly pattern runs only where needed)."""
     odd = line.contains("\t") | line.contains("\r") | line.contains("  ") | line.contains("\x0b") | line.contains("\f")
-    even = F.trim(F.when(odd, F.regexp_replace(line, r"[ \t\x0B\f\r]++", " ")).otherwise(line))
-    return F.when(line.rlike("[0-9]"), F.regexp_replace(even, r"(?<!\S)[^\s0-9]*+[0-9]\S*+", "<*>")).otherwise(even)
+    return F.trim(F.when(odd, F.regexp_replace(line, r"[ \t\x0B\f\r]++", " ")).otherwise(line))
+
+
+def _masked(even: Column) -> Column:
+    """An even line with its tokens with a digit as ``<*>``."""
+    return F.when(even.rlike("[0-9]"), F.regexp_replace(even, r"(?<!\S)[^\s0-9]*+[0-9]\S*+", "<*>")).otherwise(even)
+
+
+def even_lines(text: Column) -> Column:
+    return F.transform(F.split(text, "\n", -1), _even)
 
 
 def masked_lines(text: Column) -> Column:
     """The normalised lines of a text."""
-    return F.transform(F.split(text, "\n", -1), _normal)
+    return F.transform(even_lines(text), _masked)
 
 
 def _place(line: Column, depth: int) -> Column:
@@ -66,18 +80,19 @@ def _place(line: Column, depth: int) -> Column:
     )
 
 
-def line_table(docs: DataFrame, id_col: str, text_col: str, depth: int = DEPTH) -> DataFrame:
-    """One row per line: document ``(id, h)``, line ``no``, token count ``n``,
-    ``leaf``, masked line ``key`` and the line's ``company``."""
+def _hashes(text: Column) -> tuple[Column, Column]:
+    """Two hashes that stand for a text."""
+    return F.xxhash64(F.lit(1), text).alias("g"), F.xxhash64(text).alias("h")
+
+
+def line_table(docs: DataFrame, text_col: str, depth: int = DEPTH) -> DataFrame:
+    """One row per line of each different text: text ``(g, h)``, line ``no``,
+    hash of the line unmasked ``raw``, token count ``n``, ``leaf`` and masked line ``key``."""
     there = docs.where(F.col(text_col).isNotNull())
-    one = there.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), masked_lines(F.col(text_col)).alias("lines"))
-    placed = one.select("id", "h", F.transform("lines", lambda x: _place(x, depth)).alias("p"))
-    keys = F.array_compact(F.col("p")["key"])
-    k1 = F.array_min(keys)
-    two = placed.select("id", "h", "p", k1.alias("k1"), F.array_min(F.array_remove(keys, k1)).alias("k2"))
-    rows = two.select("id", "h", "k1", "k2", F.posexplode("p").alias("no", "x"))
-    company = F.when(F.col("x.key") == F.col("k1"), F.coalesce("k2", F.lit(0))).otherwise(F.col("k1"))
-    return rows.select("id", "h", "no", "x.n", "x.leaf", "x.key", company.alias("company"))
+    both = F.transform(even_lines(F.col(text_col)), lambda x: F.struct(x.alias("even"), _masked(x).alias("line")))
+    placed = F.transform(both, lambda x: F.struct(F.when(x["even"] != "", F.xxhash64(x["even"])).alias("raw"), _place(x["line"], depth).alias("place")))
+    texts = there.select(*_hashes(F.col(text_col)), placed.alias("p")).dropDuplicates(["g", "h"])
+    return texts.select("g", "h", F.posexplode("p").alias("no", "x")).select("g", "h", "no", "x.raw", "x.place.*")
 
 
 def generalised(docs: DataFrame, lines: DataFrame, text_col: str, depth: int, children: int, constant: float) -> DataFrame:
@@ -95,34 +110,55 @@ def generalised(docs: DataFrame, lines: DataFrame, text_col: str, depth: int, ch
     return members.join(shapes, ["leaf", "n"]).select("key", F.xxhash64(F.lit("template"), F.array_join(fields, " ")).alias("template"))
 
 
-def recurring(lines: DataFrame, min_docs: int) -> DataFrame:
+def shared_lines(lines: DataFrame, min_docs: int) -> DataFrame:
+    """``(raw, texts)`` of the lines that at least ``min_docs`` texts hold."""
+    once = lines.where("raw IS NOT NULL").select("raw", "g", "h").distinct()
+    return once.groupBy("raw").agg(F.count("*").alias("texts")).where(F.col("texts") >= min_docs)
+
+
+def companies(lines: DataFrame, shared: DataFrame, own: float) -> DataFrame:
+    """The ``company`` of each text ``(g, h)`` that has a token."""
+    met = join_small(lines.where("raw IS NOT NULL"), shared, "raw", "left")
+    mine = F.col("texts").isNull()
+    rank = F.shiftleft(F.least("texts", F.lit(2**31 - 1)).cast("bigint"), 32).bitwiseOR(F.col("raw").bitwiseAND(F.lit(2**32 - 1)))
+    texts = met.groupBy("g", "h").agg(
+        F.bool_and(F.col("raw") != F.col("template")).alias("fields"), F.sum("n").alias("n"),
+        F.sum(F.when(mine, F.col("n")).otherwise(0)).alias("own_n"), F.min(F.when(mine, F.col("raw"))).alias("own"), F.min(rank).alias("least"),
+    )
+    company = F.when(F.col("fields"), F.col("h")).when(F.col("own_n") >= own * F.col("n"), F.col("own")).otherwise(F.col("least"))
+    return texts.select("g", "h", company.alias("company"))
+
+
+def recurring(lines: DataFrame, bodies: DataFrame, min_docs: int) -> DataFrame:
     """The templates found in at least ``min_docs`` companies, with their count."""
-    once = lines.where("template IS NOT NULL").groupBy("template", "id", "h").agg(F.min("company").alias("company"))
+    once = lines.where("template IS NOT NULL").select("template", "g", "h").join(bodies, ["g", "h"])
     return once.select("template", "company").distinct().groupBy("template").agg(F.count("*").alias("companies")).where(F.col("companies") >= min_docs)
 
 
 def dropped_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, children: int = CHILDREN,
-    constant: float = CONSTANT, min_docs: int = MIN_DOCS,
+    docs: DataFrame, text_col: str = "text", depth: int = DEPTH, children: int = CHILDREN,
+    constant: float = CONSTANT, min_docs: int = MIN_DOCS, own: float = OWN,
 ) -> DataFrame:
-    """``(id, h, drop)`` of the documents that hold recurring lines: ``drop`` has a boolean per line."""
-    lines = written(line_table(docs, id_col, text_col, depth), "lines")
-    shared = generalised(docs, lines, text_col, depth, children, constant)
-    lines = lines.join(shared, "key", "left").withColumn("template", F.coalesce("template", "key"))
-    lines = written(lines.select("id", "h", "no", "template", "company"), "templates")
-    often = written(recurring(lines, min_docs).select("template", F.lit(True).alias("often")), "recurring")
-    marked = lines.join(often, "template", "left").select("id", "h", F.struct("no", F.coalesce("often", F.lit(False)).alias("often")).alias("x"))
-    flags = marked.groupBy("id", "h").agg(F.array_sort(F.collect_set("x")).alias("x"), F.max("x.often").alias("any")).where("any")
-    return flags.select("id", "h", F.col("x")["often"].alias("drop"))
-
-
-def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out_col: str = "line_flags", **more) -> DataFrame:
+    """``(g, h, drop)`` of the texts that hold recurring lines: ``drop`` has a boolean per line."""
+    lines = written(line_table(docs, text_col, depth), "lines")
+    fields = generalised(docs, lines, text_col, depth, children, constant)
+    lines = lines.join(fields, "key", "left").withColumn("template", F.coalesce("template", "key"))
+    lines = written(lines.select("g", "h", "no", "n", "raw", "template"), "templates")
+    shared = written(shared_lines(lines, min_docs), "shared")
+    bodies = companies(lines, shared, own)
+    often = written(recurring(lines, bodies, min_docs).select("template", F.lit(True).alias("often")), "recurring")
+    marked = lines.join(often, "template", "left").select("g", "h", F.struct("no", F.coalesce("often", F.lit(False)).alias("often")).alias("x"))
+    flags = marked.groupBy("g", "h").agg(F.array_sort(F.collect_set("x")).alias("x"), F.max("x.often").alias("any")).where("any")
+    return flags.select("g", "h", F.col("x")["often"].alias("drop"))
+
+
+def clean_lines(docs: DataFrame, text_col: str = "text", out_col: str = "line_flags", **more) -> DataFrame:
     """``docs`` with ``out_col``: per line whether it is dropped (null: none)."""
-    drops = written(dropped_lines(docs, id_col, text_col, **more), "drops")
+    drops = written(dropped_lines(docs, text_col, **more), "drops")
     one, two = free_name(docs, "line_id"), free_name(docs, "line_hash")
-    drops = drops.select(F.col("id").alias(one), F.col("h").alias(two), F.col("drop").alias(out_col))
-    same = docs[id_col].eqNullSafe(F.col(one)) & (F.xxhash64(docs[text_col]) == F.col(two))
-    return join_small(docs, drops, same, "left").select(*[docs[c] for c in docs.columns], out_col)
+    drops = drops.select(F.col("g").alias(one), F.col("h").alias(two), F.col("drop").alias(out_col))
+    g, h = _hashes(docs[text_col])
+    return join_small(docs, drops, (g == F.col(one)) & (h == F.col(two)), "left").select(*[docs[c] for c in docs.columns], out_col)
 
 
 def kept_text(text: Column, flags: Column) -> Column:
@@ -130,11 +166,11 @@ def kept_text(text: Column, flags: Column) -> Column:
     return F.when(flags.isNull(), text).otherwise(F.array_join(F.filter(pairs, lambda x: ~x["drop"])["line"], "\n"))
 
 
-def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
+def drop_recurring(docs: DataFrame, text_col: str = "text", **more) -> DataFrame:
     """``docs`` without the lines of recurring templates; a document of which
     nothing but blanks is left goes. Same columns."""
     name = free_name(docs, "line_flags")
-    found = clean_lines(docs, id_col, text_col, name, **more)
+    found = clean_lines(docs, text_col, name, **more)
     cleaned = found.withColumn(text_col, kept_text(F.col(text_col), F.col(name)))
     return cleaned.where(F.col(name).isNull() | F.col(text_col).rlike(r"[^ \t\n\x0B\f\r]")).select(docs.columns)
 

@@ -122,3 +122,29 @@ def test_copies_do_not_save_a_footer(spark):
     got = dropped_of(spark, texts + [texts[0]] * 100 + unlike(1, [], lambda i: 6, seed=6) * 100)
     assert all(got[i] == [footer] for i in range(130))
     assert not any(got[i] for i in range(130, 230))
+
+
+FOOTER = ["Subscribe to the weekly letter", "Follow the paper elsewhere too", "Terms of use apply here", "About the people behind this", "All rights are reserved by us"]
+
+
+def test_footer_does_not_hide_itself(spark):
+    texts = unlike(60, FOOTER, lambda i: 1 + i % 3)
+    got = dropped_of(spark, texts)
+    assert all(got[i] == FOOTER for i in range(60))
+
+
+def test_near_copies_of_a_page_do_not_save_its_footer(spark):
+    texts = unlike(30, FOOTER, lambda i: 1 + i % 3)
+    page = unlike(1, [], lambda i: 12, seed=7)[0]
+    near = [x + "\n" + page + "\n" + "\n".join(FOOTER) for x in unlike(100, [], lambda i: 1, seed=8)]
+    got = dropped_of(spark, texts + near)
+    assert all(got[i] == FOOTER for i in range(130))
+
+
+def test_pages_of_fields_only(spark):
+    status = [f"Host a{i % 40} is up since {i} days\nLoad of {i % 3} in the last minute" for i in range(60)]
+    lone = [f"Request {i} was answered in time" for i in range(40)]
+    once = [f"Copied line {i} of a page" for i in range(9)] * 20
+    got = dropped_of(spark, status + lone + once)
+    assert all(len(got[i]) == 2 for i in range(60)) and all(len(got[i]) == 1 for i in range(60, 100))
+    assert not any(got[i] for i in range(100, 280))
