@@ -8,7 +8,9 @@ of the rows, pruned on the last third, and kept if it is precise enough there;
 the rows it covers are taken out, and the next rule is grown on the rest. The
 list is emitted as one ordered Spark conditional expression.
 
-Fitting uses at most ``FIT_ROWS`` labelled rows (lowest hash of the id first);
+Fitting uses at most ``FIT_ROWS`` labelled rows (lowest hash of the id first).
+Documents that repeat a labelled id share the weight of its label, equal ones as
+one row, and at most ``FIT_ROWS`` rows (heaviest first) reach the driver;
 counting and judging cover every document.
 
 Defined cases: a null text has no words, so it fails the base rule; labels
@@ -29,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import join_small
+from .components import written
 from .texts import free_name, small_batches, space_words, utf8
 
 #: Bound of the labelled rows that the list is fitted on.
@@ -149,10 +153,12 @@ class DecisionList:
 
 def fit_decision_list(
     x: dict[str, np.ndarray], bad: np.ndarray, min_precision: float = 0.95, min_cover: int = 5,
-    max_conditions: int = 4, max_rules: int = 20, cuts: int = 64, seed: int = 7,
+    max_conditions: int = 4, max_rules: int = 20, cuts: int = 64, seed: int = 7, weight: np.ndarray | None = None,
 ) -> DecisionList:
     """Sequential covering of the ``bad`` rows. Deterministic for given rows."""
     n = len(bad)
+    weight = np.ones(n) if weight is None else weight
+    mass = lambda rows: float(weight[rows].sum())
     part = np.random.default_rng(seed).permutation(n) % 3 < 2  # grow on these, prune on the others
     left = np.ones(n, bool)
     rules: list[tuple[Condition, ...]] = []
@@ -163,14 +169,14 @@ def fit_decision_list(
 
     def worth(rule):
         got = cover(rule, left & ~part)
-        p, m = int((got & bad).sum()), int((got & ~bad).sum())
+        p, m = mass(got & bad), mass(got & ~bad)
         return (p - m) / (p + m) if p + m else -1.0
 
-    while len(rules) < max_rules and (left & bad).sum() >= min_cover:
+    while len(rules) < max_rules and mass(left & bad) >= min_cover:
         rule: list[Condition] = []
         rows = left & part
         while len(rule) < max_conditions and (rows & ~bad).any():
-            p0, n0 = int((rows & bad).sum()), int((rows & ~bad).sum())
+            p0, n0 = mass(rows & bad), mass(rows & ~bad)
             if not p0:
                 break
             best = None
@@ -178,7 +184,7 @@ def fit_decision_list(
                 for t in thresholds[k]:
                     for above in (True, False):
                         got = rows & (values > t if above else values <= t)
-                        p, m = int((got & bad).sum()), int((got & ~bad).sum())
+                        p, m = mass(got & bad), mass(got & ~bad)
                         if p >= min_cover // 2 + 1:
                             gain = p * (log2(p / (p + m)) - log2(p0 / (p0 + n0)))
                             if best is None or gain > best[0]:
@@ -193,23 +199,35 @@ def fit_decision_list(
             break
         got = cover(rule, left)
         held = cover(rule, left & ~part)
-        precise = (held & bad).sum() >= min_precision * max(1, held.sum()) and (got & bad).sum() >= min_precision * got.sum()
-        if not precise or (got & bad).sum() < min_cover:
+        precise = mass(held & bad) >= min_precision * max(1, mass(held)) and mass(got & bad) >= min_precision * mass(got)
+        if not precise or mass(got & bad) < min_cover:
             break
         rules.append(tuple(rule))
         left &= ~got
     return DecisionList(rules)
 
 
-def learn_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", fit_rows: int = FIT_ROWS) -> DecisionList:
-    """The decision list learned from at most ``fit_rows`` labelled documents."""
+def fit_table(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, fit_rows: int) -> DataFrame:
+    """At most ``fit_rows`` rows ``(id, label, features, weight)``; a label's weight is shared by the documents of its id."""
     chosen = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).where("id IS NOT NULL AND label IS NOT NULL")
     chosen = chosen.orderBy(F.xxhash64("id"), "id", "label").limit(fit_rows)  # bounded, so it may be broadcast
+    chosen = chosen.groupBy("id", "label").agg(F.count("*").alias("times"))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
-    counted = rows.select("id", "label", quality_counts("text").alias("c")).where(~base_failed(F.col("c")))
+    counted = rows.select("id", "label", "times", quality_counts("text").alias("c")).where(~base_failed(F.col("c")))
     f = features(F.col("c"))
-    table = counted.select("id", "label", *[v.alias(k) for k, v in f.items()]).orderBy("id", "label", *f).toPandas()
-    return fit_decision_list({k: table[k].to_numpy(float) for k in f}, table["label"].to_numpy() == 0)
+    each = counted.select("id", "label", "times", *[v.alias(k) for k, v in f.items()]).groupBy("id", "label", "times", *f).agg(F.count("*").alias("n"))
+    each = written(each, "labelled")
+    total = each.groupBy("id", "label").agg(F.sum("n").alias("total"))
+    weighed = join_small(each, total, ["id", "label"]).select("id", "label", *f, (F.col("times") * F.col("n") / F.col("total")).alias("weight"))
+    return weighed.orderBy(F.desc("weight"), F.xxhash64("id", "label", *f), "id", "label", *f).limit(fit_rows)
+
+
+def learn_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", fit_rows: int = FIT_ROWS) -> DecisionList:
+    """The decision list learned from at most ``fit_rows`` labelled documents."""
+    found = fit_table(docs, labels, id_col, text_col, label_col, fit_rows)
+    names = [x for x in found.columns if x not in ("id", "label", "weight")]
+    table = found.orderBy("id", "label", *names).toPandas()
+    return fit_decision_list({k: table[k].to_numpy(float) for k in names}, table["label"].to_numpy() == 0, weight=table["weight"].to_numpy(float))
 
 
 def judged(docs: DataFrame, rules: DecisionList, text_col: str = "text", out_col: str = "quality_counts") -> DataFrame:

@@ -61,3 +61,17 @@ def test_empty_tables(spark):
     labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
     assert Q.quality_digest(docs.where("false"), labels).collect() == []
     assert Q.quality_digest(docs, labels.where("false")).count() == 1
+
+
+def test_repeated_labelled_id_counts_as_one_label(spark):
+    good = " ".join(f"word{i}" for i in range(80))
+    noisy = " ".join(f"w{i}$$$" for i in range(80))
+    rows = [(i, good + f" x{i}") for i in range(60)] + [(100 + i, noisy + f" y{i}") for i in range(60)]
+    hot = [(0, noisy + " z")] * 300 + [(0, noisy + " z" * k) for k in range(2, 60)]  # a good label on noisy texts
+    docs = spark.createDataFrame(rows + hot, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, int(i < 100)) for i in [*range(60), *range(100, 160)]], "doc_id long, quality int")
+    found = Q.fit_table(docs, labels, "doc_id", "text", "quality", 120).toPandas()
+    assert len(found) == 120 and found["weight"][found["id"] != 0].tolist() == [1.0] * 119
+    assert 0 < found["weight"][found["id"] == 0].sum() <= 1
+    rejected = Q.quality_digest(docs, labels).where("doc_id >= 100 AND NOT kept").count()
+    assert rejected == 60
