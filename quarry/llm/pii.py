@@ -159,8 +159,10 @@ def find_candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     found = written(_matches(texts, "text"), "pii_matches")
     spans = written(found.select("id", F.concat(*[_spans(n) for n in SOURCES]).alias("spans")), "pii_spans")
-    # a looser match within or across one of the kind's own pattern is no candidate of its own
-    lone = lambda x: ~F.exists("spans", lambda b: b["base"] & (b["k"] == x["k"]) & (b["s"] < x["e"]) & (x["s"] < b["e"]))
+    # a looser match within or across one of the kind's own pattern that passes its check is no candidate of its own
+    own = F.transform(F.filter("spans", lambda b: b["base"] & passes(b["kind"], b["text"])), lambda b: F.struct(b["k"].alias("k"), b["s"].alias("s"), b["e"].alias("e")))
+    spans = written(spans.withColumn("own", own), "pii_own")
+    lone = lambda x: ~F.exists("own", lambda b: (b["k"] == x["k"]) & (b["s"] < x["e"]) & (x["s"] < b["e"]))
     spans = spans.withColumn("spans", F.filter("spans", lambda x: x["base"] | lone(x)))
     voted = F.transform(
         "spans",

@@ -105,3 +105,10 @@ def test_rows_without_id_repeated_rows_and_empty_tables(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(map(repr, ((r.doc_id, r.spans) for r in pii.pii_digest(df).collect()))) == sorted(map(repr, [(i, "email:0:5") for i, _ in rows]))
     assert pii.pii_digest(df.where("false")).collect() == []
+
+
+def test_numbers_in_a_match_that_fails_are_candidates(spark):
+    texts = ["Call +1 202-555-0100 202-555-0101 today", "Call +1 202-555-0100 today"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.id: {texts[r.id][x.s : x.e] for x in r.spans if x.kind == "phone" and not x.base} for r in pii.find_candidates(df).collect()}
+    assert any("202-555-0101" in x for x in got[0]) and got[1] == set()
