@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import bpe, decontaminate, licenses, lines, pii, quality, simhash, substrings, token_files, warc
+from . import bpe, decontaminate, languages, licenses, lines, negatives, pii, quality, simhash, substrings, token_files, warc, whitening
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -131,3 +131,39 @@ WITH d AS (
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(len(d.w) - coalesce(kept.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id
 """
+
+
+@query("op11_language_spans")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.language_digest(table(spark, sf_dir, "documents"))
+
+
+@query("op12_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitening_digest(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_hard_negatives")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.negatives_digest(table(spark, sf_dir, "embeddings"))
+
+
+#: Every score of an anchor, its first positives, and the first negatives within each one's bounds.
+ORACLES["op13_hard_negatives"] = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), scored AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, n.other_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same AND 50 * p.positive_score <= 100 * n.score AND 100 * n.score <= 95 * p.positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.other_id)
+QUALIFY rank <= 3
+"""
