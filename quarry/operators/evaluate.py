@@ -1,6 +1,7 @@
-"""Scoring and evaluation of a linear (softmax) classifier.
+"""Scoring and evaluation of a linear (softmax) classifier, or of any model
+that gives ``logits`` for a matrix of feature rows.
 
-A model is a small weight table ``(class int, feature int, weight double)``
+A linear model is a small weight table ``(class int, feature int, weight double)``
 with ``feature = -1`` for the bias. It is read once (model-sized, a few
 thousand rows at most) and shipped with the task closure. Scoring is a
 narrow per-partition step (one BLAS product per Arrow batch) and every
@@ -40,6 +41,10 @@ class LinearModel:
     def d(self) -> int:
         return self.W.shape[1]
 
+    def logits(self, X: np.ndarray) -> np.ndarray:
+        """Scores of feature rows, before the softmax."""
+        return X @ self.W.T + self.b
+
     @classmethod
     def zeros(cls, k: int, d: int) -> LinearModel:
         return cls(np.zeros((k, d)), np.zeros(k))
@@ -84,7 +89,6 @@ def _arrow_scores(
     ``loss`` (lse − z[label]) and ``ok`` (pred == label as int). With
     ``drop_features`` the feature arrays are not sent back to the JVM.
     """
-    W, b = model.W, model.b
     kinds = dict(outputs)
     types = {"z": T.ArrayType(T.DoubleType()), "p": T.ArrayType(T.DoubleType()), "pred": T.IntegerType(),
              "loss": T.DoubleType(), "ok": T.IntegerType()}
@@ -99,7 +103,7 @@ def _arrow_scores(
                 yield pdf.drop(columns=[features]) if drop_features else pdf
                 continue
             X = np.stack(pdf[features].to_numpy()).astype(np.float64)
-            Z = X @ W.T + b
+            Z = model.logits(X)
             m = Z.max(axis=1, keepdims=True)
             E = np.exp(Z - m)
             s = E.sum(axis=1, keepdims=True)

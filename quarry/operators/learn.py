@@ -15,6 +15,12 @@ executors. Prepared batches are written once, partitioned by ``batch``,
 under the shared checkpoint folder, so each step's filter prunes to the
 files of its own batches instead of scanning the whole set.
 
+What is fitted is an objective: a number of parameters in one flat vector, and
+the body that turns Arrow batches into partial gradients (:class:`Softmax` here,
+``FeedForward`` in :mod:`quarry.operators.network`). :func:`train` saves its state
+as it goes and goes on from the newest complete checkpoint; its metrics are
+written step by step.
+
 Shard-local SGD with weight averaging (re-aim of the reference's
 independent workers): each shard runs plain SGD over its own batches in
 one streaming pass (rows sorted by ``(shard, batch)``), then the per-shard
@@ -36,6 +42,7 @@ from ..functions.keys import stable_bucket
 from ..session import drop_path, scoped_conf, scratch_path
 from ..sources import files
 from .evaluate import BIAS, LinearModel
+from .progress import Checkpoints, MetricLog
 
 # Fixed values of the reference scripts.
 LEARNING_RATE = 0.025
@@ -55,6 +62,19 @@ def _softmax_rows(Z: np.ndarray) -> np.ndarray:
     return E / E.sum(axis=1, keepdims=True)
 
 
+def log_sum_exp(Z: np.ndarray) -> np.ndarray:
+    m = Z.max(axis=1)
+    return m + np.log(np.exp(Z - m[:, None]).sum(axis=1))
+
+
+def emitted_sums(sums: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Summed gradients of each mini-batch, followed by its count, loss and hits, as ``(batch, idx, g, n)`` rows."""
+    for batch, found in sums.items():
+        idx = np.concatenate([np.arange(len(found) - 3), [_COUNT, _LOSS, _OK]]).astype(np.int32)
+        columns = [np.full(len(idx), batch, np.int32), idx, found, np.full(len(idx), found[-3])]
+        yield pa.record_batch([pa.array(c) for c in columns], names=["batch", "idx", "g", "n"])
+
+
 def dense_rows(column, d: int) -> np.ndarray:
     """An Arrow list column as an ``n x d`` matrix: one reshape of its flat values."""
     sizes = column.value_lengths()
@@ -78,7 +98,6 @@ def _partial_gradients(W: np.ndarray, b: np.ndarray):
     gradients of the cross-entropy with counts, losses and hits, emitted once
     per mini-batch at the end of the task."""
     k, d = W.shape
-    idx = np.concatenate([np.arange(k * (d + 1)), [_COUNT, _LOSS, _OK]]).astype(np.int32)
 
     def fn(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -87,10 +106,8 @@ def _partial_gradients(W: np.ndarray, b: np.ndarray):
                 continue
             X, y = dense_rows(part.column(0), d), class_labels(part.column(1), k)
             Z = X @ W.T + b
-            m = Z.max(axis=1)
-            lse = m + np.log(np.exp(Z - m[:, None]).sum(axis=1))
             rows = np.arange(len(y))
-            loss = lse - Z[rows, y]
+            loss = log_sum_exp(Z) - Z[rows, y]
             ok = Z.argmax(axis=1) == y
             D = _softmax_rows(Z)
             D[rows, y] -= 1.0
@@ -101,16 +118,39 @@ def _partial_gradients(W: np.ndarray, b: np.ndarray):
                 full = np.concatenate([D[sel].T @ X[sel], D[sel].sum(axis=0)[:, None]], axis=1).ravel()
                 found = np.concatenate([full, [sel.sum(), loss[sel].sum(), ok[sel].sum()]])
                 sums[bid] = sums[bid] + found if bid in sums else found
-        for bid, found in sums.items():
-            n = np.full(len(idx), found[-3])
-            yield pa.record_batch(
-                [pa.array(np.full(len(idx), bid, np.int32)), pa.array(idx), pa.array(found), pa.array(n)],
-                names=["batch", "idx", "g", "n"],
-            )
+        yield from emitted_sums(sums)
 
     return fn
 
 
+@dataclass(frozen=True)
+class Softmax:
+    """Softmax regression: for each class its ``d`` weights, then its bias."""
+
+    k: int
+    d: int
+
+    @property
+    def size(self) -> int:
+        return self.k * (self.d + 1)
+
+    def start(self) -> np.ndarray:
+        return np.zeros(self.size)
+
+    def flat(self, model: LinearModel) -> np.ndarray:
+        if (model.k, model.d) != (self.k, self.d):
+            raise ValueError(f"a {model.k} x {model.d} model; {self.k} x {self.d} was asked for")
+        return np.concatenate([model.W, model.b[:, None]], axis=1).ravel()
+
+    def model(self, theta: np.ndarray) -> LinearModel:
+        full = theta.reshape(self.k, self.d + 1)
+        return LinearModel(full[:, : self.d], full[:, self.d])
+
+    def partials(self, theta: np.ndarray):
+        model = self.model(theta)
+        return _partial_gradients(model.W, model.b)
+
+
 @dataclass(frozen=True)
 class BatchSet:
     """A prepared training set: its rows, number of batches, and how many
@@ -186,30 +226,31 @@ def step_limit(n_rows: int, batch_size: int, epochs: int) -> int:
     return (n_rows // batch_size) * epochs
 
 
-def _step_gradient(batched: BatchSet, model: LinearModel, ids: list[int], features: str, label: str):
+def _step_gradient(batched: BatchSet, objective, theta: np.ndarray, ids: list[int], features: str, label: str):
     """Mean over the replicas of each batch's mean gradient, with the batches'
-    metrics. Spark averages; ``k·(d+1) + 3`` rows reach the driver, whatever
-    the number of replicas. A batch without rows is an error."""
-    k, d = model.W.shape
+    metrics. Spark averages; one row a parameter and 3 more reach the driver,
+    whatever the number of replicas. A batch without rows is an error."""
     part = batched.part(ids).select(F.col(features).cast("array<double>"), F.col(label).cast("int"), "batch")
-    partial = part.mapInArrow(_partial_gradients(model.W, model.b), "batch int, idx int, g double, n double")
+    partial = part.mapInArrow(objective.partials(theta), "batch int, idx int, g double, n double")
     per_batch = partial.groupBy("batch", "idx").agg(F.sum("g").alias("g"), F.sum("n").alias("n"))
     rows = (
         per_batch.groupBy("idx")
         .agg(F.avg(F.col("g") / F.col("n")).alias("mean"), F.sum("g").alias("total"), F.count("*").alias("batches"))
-        .collect()
+        .toArrow()
     )
-    found = {r["idx"]: r for r in rows}
-    if not found or found[_COUNT]["batches"] != len(set(ids)):
-        raise ValueError(f"of batches {sorted(set(ids))} only {found[_COUNT]['batches'] if found else 0} have rows")
-    grad = np.array([found[i]["mean"] for i in range(k * (d + 1))]).reshape(k, d + 1)
-    n = found[_COUNT]["total"]
-    return grad, {"loss": found[_LOSS]["total"] / n, "accuracy": found[_OK]["total"] / n, "examples": n}
+    idx, mean, total, batches = (rows.column(c).to_numpy() for c in ("idx", "mean", "total", "batches"))
+    own = {i: int(np.flatnonzero(idx == i)[0]) for i in (_COUNT, _LOSS, _OK) if (idx == i).any()}
+    if not own or batches[own[_COUNT]] != len(set(ids)):
+        raise ValueError(f"of batches {sorted(set(ids))} only {batches[own[_COUNT]] if own else 0} have rows")
+    grad = np.zeros(objective.size)
+    grad[idx[idx >= 0]] = mean[idx >= 0]
+    n = total[own[_COUNT]]
+    return grad, {"loss": float(total[own[_LOSS]] / n), "accuracy": float(total[own[_OK]] / n), "examples": float(n)}
 
 
 @dataclass
 class _Optimizer:
-    """Plain SGD or Adam on a weight matrix; keeps its moments and step count."""
+    """Plain SGD or Adam on the parameters; keeps its moments and step count."""
 
     kind: str
     lr: float
@@ -232,23 +273,22 @@ class _Optimizer:
         return theta - rate * self.m / (np.sqrt(self.v) + self.epsilon)
 
 
-def _run_steps(batched, theta, optimizer, first, steps, replicas, features, label, log_every, log):
-    """Steps ``first .. first + steps`` on one prepared set; the new weights."""
-    k, d = theta.shape[0], theta.shape[1] - 1
+def _run_steps(batched, objective, theta, optimizer, steps, replicas, features, label, after):
+    """The given steps of one prepared set, numbered from its first one; calls
+    ``after(step, theta, metrics)`` with the metrics of before the update.
+    Returns the new parameters."""
     if replicas > batched.n_batches:
         raise ValueError(f"{replicas} replicas need as many batches; there are {batched.n_batches}")
     spark = batched.rows.sparkSession
-    # The per-step aggregate is model-sized (replicas × (k·(d+1) + 3) rows
+    # The per-step aggregate is model-sized (replicas × (parameters + 3) rows
     # after map-side combine), so a few reducers suffice, and there is
     # nothing for adaptive execution to re-plan; both are scoped to the loop.
-    reducers = max(1, min(spark.sparkContext.defaultParallelism, math.ceil(replicas * (k * (d + 1) + 3) / 50_000)))
+    reducers = max(1, min(spark.sparkContext.defaultParallelism, math.ceil(replicas * (objective.size + 3) / 50_000)))
     with scoped_conf(spark, "spark.sql.shuffle.partitions", str(reducers), spark__sql__adaptive__enabled="false"):
-        for s in range(steps):
-            model = LinearModel(theta[:, :d], theta[:, d])
-            g, metrics = _step_gradient(batched, model, step_batches(s, replicas, batched.n_batches), features, label)
-            if log_every and (first + s) % log_every == 0:
-                log += [(first + s, "loss", metrics["loss"]), (first + s, "accuracy", metrics["accuracy"])]
+        for s in steps:
+            g, metrics = _step_gradient(batched, objective, theta, step_batches(s, replicas, batched.n_batches), features, label)
             theta = optimizer.update(theta, g)
+            after(s, theta, metrics)
     return theta
 
 
@@ -271,47 +311,107 @@ def sgd_sync(
     Returns the model and metric rows ``(step, metric, value)`` logged every
     ``log_every`` steps, measured on the step's batches before its update.
     """
-    model = init or LinearModel.zeros(k, d)
-    theta = np.concatenate([model.W, model.b[:, None]], axis=1)
+    objective = Softmax(k, d)
+    theta = objective.flat(init) if init else objective.start()
     log: list[tuple[int, str, float]] = []
-    theta = _run_steps(batched, theta, _Optimizer(optimizer, lr), 0, steps, replicas, features, label, log_every, log)
-    return LinearModel(theta[:, :d], theta[:, d]), log
 
+    def after(step, _, metrics):
+        if log_every and step % log_every == 0:
+            log.extend([(step, "loss", metrics["loss"]), (step, "accuracy", metrics["accuracy"])])
+
+    theta = _run_steps(batched, objective, theta, _Optimizer(optimizer, lr), range(steps), replicas, features, label, after)
+    return objective.model(theta), log
 
-def train_sync(
+
+def train(
     df: DataFrame,
     id_col: str,
-    k: int,
-    d: int,
+    objective,
     batch_size: int,
     epochs: int,
     replicas: int = 1,
     lr: float = LEARNING_RATE,
     optimizer: str = "sgd",
+    epsilon: float = ADAM_EPSILON,
     seed: int | str = 0,
     n_batches: int | None = None,
     features: str = "features",
     label: str = "label",
-    init: LinearModel | None = None,
+    init=None,
     log_every: int = 0,
-) -> tuple[LinearModel, list[tuple[int, str, float]]]:
-    """Whole synchronous training: :func:`step_limit` steps in ``epochs``
-    epochs, each on batches dealt anew from ``(seed, epoch)``. An epoch's
-    prepared rows are deleted when it ends."""
+    metrics: MetricLog | None = None,
+    checkpoints: Checkpoints | None = None,
+    checkpoint_every: int | None = None,
+    stop_after: int | None = None,
+):
+    """Whole synchronous training of an objective: :func:`step_limit` steps in
+    ``epochs`` epochs, each on batches dealt anew from ``(seed, epoch)``. An
+    epoch's prepared rows are deleted when it ends.
+
+    With ``checkpoints`` the state is saved at the end of each epoch, or every
+    ``checkpoint_every`` steps, and at the end; a run whose folder holds a
+    complete checkpoint goes on from the newest one. A checkpoint of other data
+    (by number of rows), settings or parameters is an error; more epochs than
+    before are not. ``stop_after`` ends the run after so many steps in all.
+
+    Returns the model and the metric rows ``(step, metric, value)`` of this
+    call's steps, logged every ``log_every`` steps; with ``metrics`` each is also
+    written as soon as its step is done, before the checkpoint that covers it.
+    """
     n = df.count()
     limit = step_limit(n, batch_size, epochs)
     per_epoch = limit // epochs if epochs else 0
-    model = init or LinearModel.zeros(k, d)
-    theta = np.concatenate([model.W, model.b[:, None]], axis=1)
-    state = _Optimizer(optimizer, lr)
+    batches = n_batches or max(1, math.ceil(n / batch_size))
+    state = _Optimizer(optimizer, lr, epsilon=epsilon)
+    theta, done = (objective.flat(init) if init else objective.start()), 0
+    about = {
+        "objective": repr(objective), "rows": n, "batch_size": batch_size, "n_batches": batches, "replicas": replicas,
+        "seed": str(seed), "optimizer": [optimizer, lr, state.beta1, state.beta2, epsilon],
+    }
+    found = checkpoints.load() if checkpoints else None
+    if found:
+        done, arrays, saved = found
+        if saved != about:
+            differ = sorted(c for c in {*saved, *about} if saved.get(c) != about.get(c))
+            raise ValueError(f"the checkpoint is of another run; it differs in {', '.join(differ)}")
+        theta, state.steps = arrays["theta"], done
+        state.m, state.v = arrays["m"], arrays["v"]
     log: list[tuple[int, str, float]] = []
-    for epoch in range(epochs if per_epoch else 0):
-        batched = prepare_batches(df, id_col, n_batches or max(1, math.ceil(n / batch_size)), f"{seed}/{epoch}")
+    last = limit if stop_after is None else min(limit, stop_after)
+
+    def save(step, theta):
+        moments = {name: np.broadcast_to(getattr(state, name), theta.shape) for name in ("m", "v")}
+        checkpoints.save(step, {"theta": theta, **moments}, about)
+
+    while done < last:
+        epoch = done // per_epoch
+        first, end = epoch * per_epoch, min(last, (epoch + 1) * per_epoch)
+
+        def after(s, theta, found, first=first):
+            step = first + s
+            if log_every and step % log_every == 0:
+                values = {name: found[name] for name in ("loss", "accuracy")}
+                log.extend((step, name, v) for name, v in values.items())
+                if metrics:
+                    metrics.write(step, values)
+            finished = step + 1
+            at_end = finished == limit or finished % per_epoch == 0
+            if checkpoints and (at_end or checkpoint_every and finished % checkpoint_every == 0):
+                save(finished, theta)
+
+        batched = prepare_batches(df, id_col, batches, f"{seed}/{epoch}")
         try:
-            theta = _run_steps(batched, theta, state, epoch * per_epoch, per_epoch, replicas, features, label, log_every, log)
+            steps = range(done - first, end - first)
+            theta = _run_steps(batched, objective, theta, state, steps, replicas, features, label, after)
         finally:
             batched.delete()
-    return LinearModel(theta[:, :d], theta[:, d]), log
+        done = end
+    return objective.model(theta), log
+
+
+def train_sync(df: DataFrame, id_col: str, k: int, d: int, batch_size: int, epochs: int, **more) -> tuple[LinearModel, list[tuple[int, str, float]]]:
+    """:func:`train` of a softmax regression of ``k`` classes on ``d`` features."""
+    return train(df, id_col, Softmax(k, d), batch_size, epochs, **more)
 
 
 def _local_sgd(start: np.ndarray, lr: float, max_steps: int | None):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import jobs
 from ..functions import arrays
-from ..operators import batching, evaluate, features, learn, links, ml, ordering, rank, sweeps
+from ..operators import batching, evaluate, features, learn, links, ml, network, ordering, progress, rank, sweeps
 from ..session import scratch_path
 from ..sources import files
 from ..sources.tables import table
@@ -415,6 +415,87 @@ def q_train_then_evaluate(spark, sf_dir):
     return evaluate.evaluate_model(df, restored).select("split", "n", r6("loss"), r6("accuracy"))
 
 
+# -- runs that stop and go on ---------------------------------------------------
+
+
+def _stopped_and_resumed(spark, sf_dir, optimizer, lr, stop_after, checkpoint_every=None, log_every=0):
+    """Three epochs of four steps, ended in the second one and called again:
+    the second call finds the newest checkpoint and takes the steps left."""
+    rows = train_rows(spark, sf_dir)
+    size = rows.count() // SGD_BATCHES
+    checkpoints = progress.Checkpoints(spark, scratch_path(spark, "checkpoints"))
+    metrics = progress.MetricLog(spark, scratch_path(spark, "metrics"), "resumed")
+    for stop in (stop_after, None):
+        model, _ = learn.train_sync(
+            rows, "vec_id", 10, 64, size, 3, replicas=SGD_REPLICAS, n_batches=SGD_BATCHES, optimizer=optimizer, lr=lr,
+            log_every=log_every, metrics=metrics, checkpoints=checkpoints, checkpoint_every=checkpoint_every, stop_after=stop,
+        )
+    return model, checkpoints, metrics
+
+
+@query("softmax_sgd_resumed")
+def q_softmax_sgd_resumed(spark, sf_dir):
+    """Stopped after step 6, with a checkpoint at the end of each epoch: steps 5 and 6 are taken again."""
+    model, _, _ = _stopped_and_resumed(spark, sf_dir, "sgd", learn.LEARNING_RATE, stop_after=6)
+    return _weights_frame(spark, model)
+
+
+@query("softmax_adam_resumed")
+def q_softmax_adam_resumed(spark, sf_dir):
+    """The same with Adam, whose moments the checkpoint of step 6 holds; the
+    weights are those of the last checkpoint."""
+    _, checkpoints, _ = _stopped_and_resumed(spark, sf_dir, "adam", learn.ADAM_RATE, stop_after=7, checkpoint_every=3)
+    step, arrays, _ = checkpoints.load()
+    model = learn.Softmax(10, 64).model(arrays["theta"])
+    return _weights_frame(spark, model).withColumn("step", F.lit(step).cast("bigint"))
+
+
+@query("training_metrics_resumed")
+def q_training_metrics_resumed(spark, sf_dir):
+    """The metric log of a run that stopped after step 7 and went on from step 4."""
+    _, _, metrics = _stopped_and_resumed(spark, sf_dir, "sgd", learn.LEARNING_RATE, stop_after=7, log_every=1)
+    return metrics.read().select("run", "step", "metric", r6("value"))
+
+
+# -- feed-forward network with ReLU layers -------------------------------------------
+
+
+# Fixed start of the demo network: unit u, input i (-1 is the bias) of layer l.
+def network_weight(layer: int, u: int, i: int) -> float:
+    return ((389 * u + 211 * i + 101 * layer + 557) % 997 - 498) / 5000
+
+
+NETWORK = network.FeedForward((64, *network.HIDDEN, 10))
+
+
+def _trained_network(spark, rows, epochs, steps_per_epoch):
+    start = network.Network.from_rule(NETWORK.sizes, network_weight)
+    size = rows.count() // steps_per_epoch
+    return learn.train(
+        rows, "vec_id", NETWORK, size, epochs, replicas=SGD_REPLICAS, lr=learn.ADAM_RATE, optimizer="adam",
+        epsilon=network.ADAM_EPSILON, n_batches=SGD_BATCHES, init=start,
+    )[0]
+
+
+@query("relu_network_adam")
+def q_relu_network_adam(spark, sf_dir):
+    """All weights of the 64-120-84-10 network after three Adam steps from a fixed start."""
+    model = _trained_network(spark, train_rows(spark, sf_dir), epochs=1, steps_per_epoch=3)
+    return model.to_frame(spark).select("layer", "unit", "input", r6("weight"))
+
+
+@query("relu_network_evaluate")
+def q_relu_network_evaluate(spark, sf_dir):
+    """Three epochs of two steps on batches dealt anew, then loss and accuracy of
+    the stored and restored network on both splits."""
+    df = features.train_test_split(labelled(spark, sf_dir), "vec_id")
+    model = _trained_network(spark, train_rows(spark, sf_dir), epochs=3, steps_per_epoch=2)
+    path = scratch_path(spark, "network")
+    learn.save_weights(model, spark, path)
+    restored = network.Network.from_frame(spark.read.parquet(path))
+    return evaluate.evaluate_model(df, restored).select("split", "n", r6("loss"), r6("accuracy"))
+
+
 @query("softmax_regression_check")
 def q_softmax_regression_check(spark, sf_dir):
     """Summed class probabilities of the converged softmax regression on its training rows."""

@@ -493,6 +493,119 @@ register("softmax_sgd_averaged_epochs", averaged_sql(3, 2, 0.025, epochs=3))
 register("softmax_sgd_step_limit", sgd_sql(12, 2, 4, 0.025, seeds=("0/0", "0/1", "0/2")))
 register("train_then_evaluate", train_evaluate_sql(8, 2, 4, 0.025, 4.0))
 
+#: A run that stopped and went on took the steps of one that never did.
+register("softmax_sgd_resumed", sgd_sql(12, 2, 4, 0.025, seeds=("0/0", "0/1", "0/2")))
+register(
+    "softmax_adam_resumed",
+    sgd_sql(12, 2, 4, 1e-3, optimizer="adam", seeds=("0/0", "0/1", "0/2")).replace("AS weight FROM", "AS weight, CAST(12 AS BIGINT) AS step FROM"),
+)
+_RESUMED = sgd_ctes(12, 2, 4, 0.025, log_every=1, seeds=("0/0", "0/1", "0/2"))
+register(
+    "training_metrics_resumed",
+    "WITH " + ",\n".join(_RESUMED[0]) + "\nSELECT 'resumed' AS run, * FROM (" + "\nUNION ALL\n".join(_RESUMED[1]) + ")",
+)
+
+
+# -- feed-forward network (chained CTEs: forward, back, Adam, for each step) -----------
+
+NETWORK_SIZES = (64, 120, 84, 10)
+
+
+def _network_start() -> list[str]:
+    ctes = []
+    for n, (i, u) in enumerate(zip(NETWORK_SIZES[:-1], NETWORK_SIZES[1:])):
+        ctes.append(
+            f"""w{n}_0 AS MATERIALIZED (
+  SELECT CAST(u AS INTEGER) AS u, CAST(i AS INTEGER) AS i, CAST((389 * u + 211 * i + {101 * n + 557}) % 997 - 498 AS DOUBLE) / 5000 AS w,
+         CAST(0 AS DOUBLE) AS m, CAST(0 AS DOUBLE) AS v FROM range({u}) t(u), range(-1, {i}) s(i)
+)"""
+        )
+    return ctes
+
+
+def _network_forward(tag: str, rows: str, step: int) -> list[str]:
+    """Activations ``a<layer><tag>`` (input -1 is constant) of the layers after the first, and the scores ``z<tag>``."""
+    ctes, last = [], len(NETWORK_SIZES) - 2
+    for n in range(last + 1):
+        total = f"SELECT a.vec_id, w.u AS i, sum(a.x * w.w) AS x FROM {rows if not n else f'a{n}{tag}'} a JOIN w{n}_{step} w ON w.i = a.i GROUP BY a.vec_id, w.u"
+        if n < last:
+            ctes.append(
+                f"a{n + 1}{tag} AS MATERIALIZED (SELECT vec_id, i, greatest(x, 0.0) AS x FROM ({total}) "
+                f"UNION ALL SELECT DISTINCT vec_id, -1, CAST(1.0 AS DOUBLE) FROM {rows})"
+            )
+        else:
+            ctes.append(f"z{tag} AS MATERIALIZED ({total})")
+    ctes.append(f"zm{tag} AS MATERIALIZED (SELECT *, max(x) OVER (PARTITION BY vec_id) AS top FROM z{tag})")
+    ctes.append(f"l{tag} AS MATERIALIZED (SELECT vec_id, any_value(top) + ln(sum(exp(x - top))) AS lse FROM zm{tag} GROUP BY vec_id)")
+    return ctes
+
+
+def network_ctes(steps: int, replicas: int, n_batches: int, lr: float, seeds, beta1=0.9, beta2=0.999, eps=1e-7) -> list[str]:
+    import math
+
+    ctes = _sgd_base(n_batches, seeds) + _network_start()
+    for s in range(steps):
+        epoch, local = divmod(s, steps // len(seeds))
+        ids = sorted({(local * replicas + r) % n_batches for r in range(replicas)})
+        ctes.append(f"r_{s} AS MATERIALIZED (SELECT vec_id, label, b{epoch} AS batch, j AS i, x FROM xl WHERE b{epoch} IN ({', '.join(map(str, ids))}))")
+        ctes += _network_forward(f"_{s}", f"r_{s}", s)
+        ctes.append(f"y_{s} AS MATERIALIZED (SELECT DISTINCT vec_id, label, batch FROM r_{s})")
+        top = len(NETWORK_SIZES) - 2
+        ctes.append(
+            f"""d{top}_{s} AS MATERIALIZED (
+  SELECT z.vec_id, z.i AS u, exp(z.x - l.lse) - CASE WHEN z.i = y.label THEN 1.0 ELSE 0.0 END AS d
+  FROM z_{s} z JOIN l_{s} l ON l.vec_id = z.vec_id JOIN y_{s} y ON y.vec_id = z.vec_id
+)"""
+        )
+        for n in range(top, 0, -1):
+            ctes.append(
+                f"""d{n - 1}_{s} AS MATERIALIZED (
+  SELECT b.vec_id, b.i AS u, CASE WHEN a.x > 0 THEN b.d ELSE 0.0 END AS d FROM (
+    SELECT d.vec_id, w.i, sum(d.d * w.w) AS d FROM d{n}_{s} d JOIN w{n}_{s} w ON w.u = d.u WHERE w.i >= 0 GROUP BY d.vec_id, w.i
+  ) b JOIN a{n}_{s} a ON a.vec_id = b.vec_id AND a.i = b.i
+)"""
+            )
+        t = s + 1
+        rate = lr * math.sqrt(1 - beta2**t) / (1 - beta1**t)
+        for n in range(top + 1):
+            m_new, v_new = f"({beta1!r} * w.m + {1 - beta1!r} * g.g)", f"({beta2!r} * w.v + {1 - beta2!r} * g.g * g.g)"
+            ctes.append(
+                f"""w{n}_{t} AS MATERIALIZED (
+  SELECT w.u, w.i, w.w - {rate!r} * {m_new} / (sqrt({v_new}) + {eps!r}) AS w, {m_new} AS m, {v_new} AS v FROM w{n}_{s} w JOIN (
+    SELECT u, i, avg(g) AS g FROM (
+      SELECT d.u, a.i, y.batch, sum(d.d * a.x) / any_value(nb.n) AS g
+      FROM d{n}_{s} d JOIN {f'a{n}_{s}' if n else f'r_{s}'} a ON a.vec_id = d.vec_id JOIN y_{s} y ON y.vec_id = d.vec_id JOIN nb{epoch} nb ON nb.batch = y.batch
+      GROUP BY d.u, a.i, y.batch
+    ) GROUP BY u, i
+  ) g ON g.u = w.u AND g.i = w.i
+)"""
+            )
+    return ctes
+
+
+register(
+    "relu_network_adam",
+    "WITH " + ",\n".join(network_ctes(3, 2, 4, 1e-3, ("0/0",))) + "\n"
+    + "\nUNION ALL\n".join(f"SELECT CAST({n} AS INTEGER) AS layer, u AS unit, i AS input, round(w, 6) + 0.0 AS weight FROM w{n}_3" for n in range(3)),
+)
+register(
+    "relu_network_evaluate",
+    "WITH " + ",\n".join(
+        network_ctes(6, 2, 4, 1e-3, ("0/0", "0/1", "0/2"))
+        + ["""ax AS MATERIALIZED (
+  SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS i, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings
+  UNION ALL SELECT vec_id, -1, CAST(1.0 AS DOUBLE) FROM embeddings
+)"""]
+        + _network_forward("_all", "ax", 6)
+    )
+    + f"""
+SELECT split, count(*) AS n, round(avg(lse - own), 6) AS loss, round(avg(CASE WHEN pred = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM (
+  SELECT e.vec_id, e.label, any_value(e.split) AS split, any_value(l.lse) AS lse, max(CASE WHEN z.i = e.label THEN z.x END) AS own,
+         min(CASE WHEN z.x = z.top THEN z.i END) AS pred
+  FROM (SELECT vec_id, label, {SPLIT} AS split FROM embeddings) e JOIN zm_all z ON z.vec_id = e.vec_id JOIN l_all l ON l.vec_id = e.vec_id GROUP BY e.vec_id, e.label
+) GROUP BY split""",
+)
+
 # -- converged estimators -----------------------------------------------------------
 
 #: At the optimum of an unpenalised softmax regression, the probabilities of a
