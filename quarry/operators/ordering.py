@@ -17,10 +17,12 @@ broadcast them (size bounded by the partition count).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..session import persist
 
@@ -68,16 +70,55 @@ def with_position(df: DataFrame, keys: Sequence[str | Column], name: str = "pos"
     )
 
 
+def _neighbours(kind: pa.DataType):
+    """mapInArrow body over ``(pid, value)`` of a sorted frame: every row with the
+    next one of its partition, and one row with the partition's first and last
+    value (``edge`` true), which meet their neighbours elsewhere."""
+    names = ["edge", "pid", "a", "b"]
+
+    def rows(edge, pid, a, b):
+        n = len(a)
+        return pa.record_batch([pa.array([edge] * n, pa.bool_()), pa.array([pid] * n, pa.int32()), a, b], names=names)
+
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = last = pid = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            values = batch.column(1).cast(kind)
+            if first is None:
+                first, pid = values[:1], batch.column(0)[0].as_py()
+                before = values[:-1]
+                after = values[1:]
+            else:
+                before, after = pa.concat_arrays([last, values[:-1]]), values
+            last = values[-1:]
+            yield rows(False, pid, before, after)
+        if first is not None:
+            yield rows(True, pid, first, last)
+
+    return fn
+
+
 def successor_pairs(
     df: DataFrame, keys: Sequence[str | Column], value: str, src: str = "src", dst: str = "dst"
 ) -> DataFrame:
     """``(value at position i, value at position i+1)`` in ``keys`` order:
-    a scale-safe ``lead()`` over a global order (an equi-join on position,
-    which spreads evenly, instead of a single-partition window)."""
-    pos = with_position(df.select(*_cols(keys), F.col(value).alias("_v")), keys).select("_v", "pos")
-    a = pos.select(F.col("_v").alias(src), F.col("pos"))
-    b = pos.select(F.col("_v").alias(dst), (F.col("pos") - 1).alias("pos"))
-    return a.join(b, "pos").select(src, dst)
+    a scale-safe ``lead()`` over a global order. One sort; neighbours are paired
+    as each sorted partition streams by, and the ends of the partitions, one row
+    each, are paired after that."""
+    order = [c.asc_nulls_first() for c in _cols(keys)]
+    kind = to_arrow_type(df.schema[value].dataType)
+    named = df.select(*_cols(keys), F.col(value).alias("_v"), F.monotonically_increasing_id().alias("_tie"))
+    each = named.orderBy(*order, F.col("_tie")).select(F.spark_partition_id().alias("pid"), F.col("_v"))
+    typ = df.schema[value].dataType.simpleString()
+    found = persist(each.mapInArrow(_neighbours(kind), f"edge boolean, pid int, a {typ}, b {typ}"))
+    # one row a partition, so its single-task window never grows with the data
+    after = F.lead("a").over(Window.orderBy("pid"))
+    ends = found.where("edge").select("pid", F.col("b").alias("from"), after.alias("to"), F.lead("pid").over(Window.orderBy("pid")).alias("next"))
+    return found.where("NOT edge").select(F.col("a").alias(src), F.col("b").alias(dst)).unionByName(
+        ends.where("next IS NOT NULL").select(F.col("from").alias(src), F.col("to").alias(dst))
+    )
 
 
 def head(df: DataFrame, keys: Sequence[str | Column], n: int) -> DataFrame:

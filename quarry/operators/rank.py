@@ -9,27 +9,17 @@ Semantics (un-normalised, as in the reference job):
   nodes that received a contribution (no floor row for the others);
 * no convergence test: exactly ``rounds`` rounds.
 
-Physical plan, designed for a skewed web-scale graph:
-
-* Edges stay in edge-list form (no per-node neighbour arrays) and are
-  persisted hash-partitioned on ``(src, salt)`` into ``P`` partitions sized
-  from the edge count; the rounds run with ``spark.sql.shuffle.partitions``
-  scoped to ``P``, so the per-round join moves only the small per-node
-  "send" side and never re-shuffles the edges.
-* A *hot* source (more out-links than an average partition holds) would put
-  a third of all edges into one join task. Its edges are spread over
-  ``ceil(deg / T)`` salt values and its send row is replicated once per
-  salt. The hot table is broadcast only after its size is checked.
-* The node table ``(node, deg, nsalt)`` is hash-partitioned on ``node``
-  exactly like the ``groupBy(dst)`` output, so the new ranks pick up
-  ``deg``/``nsalt`` *before* the lineage cut with no exchange, and the
-  checkpointed rows are exactly what the next round sends. The only
-  per-round shuffles are the send rows (one per node, plus salts) and the
-  pre-aggregated sums by ``dst`` (partial aggregation absorbs hot targets).
-* Lineage is cut every ``cut_every`` rounds (default: every round) and at
-  the end by writing the node-sized rank set to the shared scratch folder: the
-  plan stays one round deep and a lost executor costs at most one round. An
-  older cut is deleted as soon as the next is written.
+Physical plan, designed for a skewed web-scale graph (:mod:`quarry.operators.blocks`):
+
+* The distinct edges are counted, their nodes numbered, and the edges packed by
+  the block of their source into ``P`` or more parts, each of them one row of
+  arrays, persisted. A hub's block is spread over as many parts as its edges ask for.
+* A round is one cogroup of the parts with the sums sent to them, and one
+  exchange of such sums: packed arrays, one row for each pair of part and block,
+  a target's sum formed in the part first (which absorbs hot targets).
+* The rounds are chained in one plan and cut every ``cut_every`` rounds by writing
+  the sums in flight to the shared scratch folder; an older cut is deleted when the
+  next one is committed. A lost executor costs at most so many rounds.
 """
 
 from __future__ import annotations
@@ -39,18 +29,21 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import drop_path, join_small, persist, scoped_conf, scratch_path
+from ..session import drop_path, persist, scoped_conf, scratch_path
+from . import blocks
 from .links import edge_set, out_degree
 
 # Fixed values of the reference job.
 DAMPING = 0.85
 ROUNDS = 10
 
-# Sizing of the co-partitioned graph: about this many distinct edges per
-# partition, but never fewer partitions than the cluster's parallelism
-# while each would still hold at least MIN_EDGES_PER_PARTITION edges.
+# Sizing of the packed graph: about this many distinct edges per part, but
+# never fewer parts than the cluster's parallelism while each would still
+# hold at least MIN_EDGES_PER_PARTITION edges.
 EDGES_PER_PARTITION = 2_000_000
-MIN_EDGES_PER_PARTITION = 50_000
+MIN_EDGES_PER_PARTITION = 100_000
+#: Rounds chained in one plan before the sums are written.
+CUT_EVERY = 10
 
 
 def graph_partitions(spark, n_edges: int) -> int:
@@ -81,8 +74,8 @@ def rank_contribs(edges: DataFrame, ranks: DataFrame) -> DataFrame:
     Reference-shaped single step (degree joined on the node side, not per
     edge), used for inspection and the round-one report. Both joins are
     plain shuffle joins; a hub source's partition is split by AQE's skew
-    handling (the iterative :func:`pagerank` salts hubs explicitly instead,
-    because its persisted, co-partitioned edges are not re-shuffled).
+    handling (the iterative :func:`pagerank` spreads hubs over parts instead,
+    because its packed edges stay where they are).
     """
     deg = out_degree(edges)
     send = ranks.withColumnRenamed("node", "src").join(deg, "src").select(
@@ -104,129 +97,49 @@ def rank_step(edges: DataFrame, ranks: DataFrame, damping: float = DAMPING) -> D
     )
 
 
-def _hot_sources(deg: DataFrame, threshold: int) -> DataFrame:
-    """Sources with more than ``threshold`` out-links and their salt count.
-
-    At most ``E / threshold`` rows.
-    """
-    return deg.where(F.col("deg") > threshold).select(
-        "src", F.ceil(F.col("deg") / F.lit(threshold)).cast("int").alias("nsalt")
-    )
-
-
-def prepare_graph(
-    edges: DataFrame,
-    partitions: int | None = None,
-    hot_threshold: int | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Distinct, salted, co-partitioned edge table and the node table.
-
-    Returns ``(salted_edges[src, salt, dst], nodes[node, deg, nsalt])``,
-    both persisted: edges hash-partitioned on ``(src, salt)``, nodes on
-    ``node``, each with ``partitions`` parts (default: sized from the edge
-    count by :func:`graph_partitions`). Rounds must run with
-    ``spark.sql.shuffle.partitions`` equal to that count (see
-    :func:`pagerank`), or Spark re-shuffles the edges to match.
-    """
-    spark = edges.sparkSession
-    distinct_edges = persist(edge_set(edges))
-    n_edges = distinct_edges.count()
-    n_part = partitions or graph_partitions(spark, n_edges)
-    threshold = hot_threshold or max(1, math.ceil(n_edges / n_part))
-    deg = persist(out_degree(distinct_edges))  # node-sized, read three times below
-    # sum(deg) = E, so at most E / threshold sources exceed the threshold; the
-    # threshold may be the caller's, so the table's size is checked as well.
-    hot = persist(_hot_sources(deg, threshold))
-    nodes = persist(
-        join_small(deg, hot, "src", "left")
-        .select(F.col("src").alias("node"), "deg", F.coalesce(F.col("nsalt"), F.lit(1)).alias("nsalt"))
-        .repartition(n_part, "node")
-    )
-    salted = persist(
-        join_small(distinct_edges, hot, "src", "left")
-        .select(
-            "src",
-            F.pmod(F.xxhash64("dst"), F.coalesce(F.col("nsalt"), F.lit(1))).cast("int").alias("salt"),
-            "dst",
-        )
-        .repartition(n_part, "src", "salt")
-    )
-    salted.count()
-    nodes.count()
-    distinct_edges.unpersist()
-    deg.unpersist()
-    hot.unpersist()
-    return salted, nodes
-
-
-def pagerank_round(salted: DataFrame, nodes: DataFrame, ranks: DataFrame, damping: float = DAMPING) -> DataFrame:
-    """One round from enriched ranks ``(node, rank, deg, nsalt)`` to the next.
-
-    The aggregate by ``dst`` and the node table are hash-partitioned alike,
-    so attaching ``deg``/``nsalt`` to the new ranks moves nothing; the
-    enriched rows are what the next round sends (nodes without out-links
-    keep a null ``deg`` and send nothing, the reference's inner join).
-    """
-    send = ranks.where(F.col("deg").isNotNull()).select(
-        F.col("node").alias("src"),
-        (F.col("rank") / F.col("deg")).alias("share"),
-        F.explode(F.sequence(F.lit(0), F.col("nsalt") - 1)).alias("salt"),
-    )
-    # Build the hash table on the per-node send rows and stream the
-    # co-partitioned edges: the edge side is never shuffled, sorted or
-    # broadcast, whatever its cached size looks like to the planner.
-    sums = (
-        salted.join(send.hint("shuffle_hash"), ["src", "salt"])
-        .groupBy("dst")
-        .agg(F.sum("share").alias("s"))
-        .select(
-            F.col("dst").alias("node"),
-            (F.lit(_base(damping)) + F.lit(damping) * F.col("s")).alias("rank"),
-        )
-    )
-    return sums.join(nodes.hint("shuffle_hash"), "node", "left")
-
-
 def pagerank(
     edges: DataFrame,
     rounds: int = ROUNDS,
     damping: float = DAMPING,
-    cut_every: int = 1,
+    cut_every: int = CUT_EVERY,
     partitions: int | None = None,
-    hot_threshold: int | None = None,
+    edges_per_part: int | None = None,
 ) -> DataFrame:
     """``(node, rank)`` after exactly ``rounds`` rounds.
 
-    ``edges`` needs ``src`` and ``dst`` columns; duplicates are removed
-    first. Per round only the send rows (one per node with out-links, plus
-    salts) and the partial sums by ``dst`` are shuffled. The result lies in the
-    shared scratch folder and the inputs are released.
+    ``edges`` needs string columns ``src`` and ``dst``; duplicates and pairs with
+    a null are removed first. ``cut_every=0`` never cuts. The result lies in the
+    shared scratch folder and everything else is released.
     """
     spark = edges.sparkSession
-    salted, nodes = prepare_graph(edges, partitions, hot_threshold)
-    n_part = salted.rdd.getNumPartitions()
-    ranks = nodes.select("node", F.lit(1.0).alias("rank"), "deg", "nsalt")
-    cuts: list[str] = []
-    # Spark keeps an existing partitioning for a join only when it has at
-    # least spark.sql.shuffle.partitions parts; the rounds therefore run
-    # with that setting equal to the graph's partition count, so the
-    # persisted edges and nodes are never re-shuffled. Adaptive execution
-    # has nothing to re-plan inside a round (fixed co-partitioning, hinted
-    # join strategies, no join with shuffles on both sides to split), and
-    # submitting each stage as its own job cost ~30% of the round time, so
-    # it is switched off for the rounds only.
-    with scoped_conf(
-        spark, "spark.sql.shuffle.partitions", str(n_part), spark__sql__adaptive__enabled="false"
-    ):
-        for i in range(1, rounds + 1):
-            ranks = pagerank_round(salted, nodes, ranks, damping)
-            if i == rounds or cut_every and i % cut_every == 0:
-                path = scratch_path(spark, "ranks")
-                ranks.write.parquet(path)
-                ranks = spark.read.schema(ranks.schema).parquet(path)
-                for old in cuts:  # the cut before this one has been read for the last time
+    distinct = persist(edge_set(edges.where("src IS NOT NULL AND dst IS NOT NULL")))
+    if not rounds:
+        return rank_init(distinct)
+    parts = partitions or graph_partitions(spark, distinct.count())
+    graph = blocks.blocked(distinct, parts, edges_per_part)
+    base = _base(damping)
+
+    def update(sums):
+        return base + damping * sums
+
+    out, cuts = scratch_path(spark, "ranks"), []
+    # Parts and sums meet on keys dealt to exactly n_parts partitions, so the
+    # rounds run with that setting; adaptive execution has nothing to re-plan
+    # (one row a pair of part and block) and would submit every stage apart.
+    with scoped_conf(spark, "spark.sql.shuffle.partitions", str(graph.n_parts), spark__sql__adaptive__enabled="false"):
+        sums = blocks.first_sums(graph, last=rounds == 1)
+        for done in range(1, rounds):
+            if cut_every and done % cut_every == 0:
+                cuts.append(scratch_path(spark, "sums"))
+                sums.write.parquet(cuts[-1])
+                sums = spark.read.schema(blocks.SUMS).parquet(cuts[-1])
+                for old in cuts[:-1]:  # read for the last time by the cut just committed
                     drop_path(spark, old)
-                cuts = [path]
-    salted.unpersist()
-    nodes.unpersist()
-    return ranks.select("node", "rank")
+                cuts = cuts[-1:]
+            sums = blocks.next_sums(graph, sums, update, last=done == rounds - 1)
+        blocks.node_values(graph, sums, update, "rank").write.parquet(out)
+    graph.release()
+    distinct.unpersist()
+    for old in cuts:
+        drop_path(spark, old)
+    return spark.read.schema("node string, rank double").parquet(out)

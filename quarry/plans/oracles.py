@@ -67,7 +67,7 @@ def register(name: str, sql: str) -> None:
 register("pagerank_10", pagerank_sql(EDGES_T))
 register("pagerank_mixed", pagerank_sql(EDGES_M))
 register("pagerank_users", pagerank_sql(EDGES_U))
-register("pagerank_one_way", pagerank_sql(EDGES_O, rounds=2))
+register("pagerank_one_way", pagerank_sql(EDGES_O))
 
 
 # -- link files ---------------------------------------------------------------

@@ -95,14 +95,31 @@ def test_self_loop(spark):
     assert _ranks(spark, [("a", "a")]) == pytest.approx({"a": 1.0})
 
 
-def test_salting_hot_sources_gives_same_ranks(spark):
-    # hub 'h' links to everyone; threshold 2 forces salting of the hub
-    pairs = [("h", f"n{i}") for i in range(40)] + [(f"n{i}", "h") for i in range(40)] + [("n1", "n2")]
-    plain = _ranks(spark, pairs)
-    salted = _ranks(spark, pairs, hot_threshold=2)
-    assert plain.keys() == salted.keys()
+@pytest.mark.parametrize("partitions,per_part", [(1, None), (3, None), (3, 2), (7, 1)])
+def test_spread_hubs_and_any_parts_give_the_same_ranks(spark, partitions, per_part):
+    # hub 'h' links to everyone and back; few edges a part spread it over many
+    pairs = [("h", f"n{i}") for i in range(40)] + [(f"n{i}", "h") for i in range(40)] + [("n1", "n2"), ("x", "h"), ("n3", "sink")]
+    plain, spread = _ranks(spark, pairs), _ranks(spark, pairs, partitions=partitions, edges_per_part=per_part)
+    assert plain.keys() == spread.keys()
     for k in plain:
-        assert salted[k] == pytest.approx(plain[k], rel=1e-12)
+        assert spread[k] == pytest.approx(plain[k], rel=1e-12)
+
+
+def test_nodes_too_many_to_broadcast(spark, monkeypatch):
+    from quarry.operators import blocks
+
+    pairs = [("h", f"n{i}") for i in range(60)] + [(f"n{i}", f"n{i // 2}") for i in range(60)]
+    plain = _ranks(spark, pairs)
+    monkeypatch.setattr(blocks, "BROADCAST_MAX_BYTES", 0)
+    assert _ranks(spark, pairs, partitions=4) == pytest.approx(plain, rel=1e-12)
+
+
+def test_no_edges_nulls_and_no_rounds(spark):
+    schema = "src string, dst string"
+    assert rank.pagerank(spark.createDataFrame([], schema)).count() == 0
+    odd = [("a", None), (None, "b"), (None, None), ("a", "b"), ("b", "a"), ("a", "b")]
+    assert _ranks(spark, odd) == pytest.approx({"a": 1.0, "b": 1.0})
+    assert _ranks(spark, odd, rounds=0) == {"a": 1.0, "b": 1.0}
 
 
 def test_ranks_sum_to_node_count_on_two_way_graph(spark):
@@ -127,7 +144,7 @@ def test_adjacency_chunks_in_order_are_the_sorted_list(spark):
 def test_no_cut_setting_changes_the_ranks(spark):
     pairs = [("a", "b"), ("b", "c"), ("c", "a"), ("a", "c")]
     plain = _ranks(spark, pairs, rounds=4)
-    for cut in (0, 3):
+    for cut in (0, 1, 3):
         assert _ranks(spark, pairs, rounds=4, cut_every=cut) == pytest.approx(plain)
 
 

@@ -63,6 +63,22 @@ def test_successor_pairs(spark):
     assert sorted(tuple(r) for r in ordering.successor_pairs(df, ["ts"], "u").collect()) == [("a", "b"), ("b", "c")]
 
 
+def test_successor_pairs_across_batches_and_partitions(spark):
+    import random
+
+    from quarry.session import scoped_conf
+
+    rows = [(i, f"u{i % 7}" if i % 11 else None) for i in range(500)]
+    want = sorted(((a[1], b[1]) for a, b in zip(rows, rows[1:])), key=repr)
+    random.Random(1).shuffle(rows)
+    df = spark.createDataFrame(rows, "ts int, u string").repartition(5)
+    with scoped_conf(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "13", spark__sql__adaptive__enabled="false"):
+        got = [tuple(r) for r in ordering.successor_pairs(df, ["ts"], "u").collect()]
+    assert sorted(got, key=repr) == want
+    assert ordering.successor_pairs(df.limit(1), ["ts"], "u").count() == 0
+    assert ordering.successor_pairs(df.limit(0), ["ts"], "u").count() == 0
+
+
 def test_head_is_ordered_limit(spark):
     df = spark.range(0, 1000, 1, 5).select((999 - F.col("id")).alias("k"))
     assert [r["k"] for r in ordering.head(df, ["k"], 5).collect()] == [0, 1, 2, 3, 4]

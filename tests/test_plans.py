@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from quarry.operators import links, rank
+from quarry.operators import blocks, links
 from quarry.plans import graphs
 from quarry.session import scoped_conf
 from tests.conftest import SF_SMALL
@@ -37,18 +37,34 @@ def test_link_cleaning_runs_without_python(spark):
     assert "EvalPython" not in plan and "PythonUDF" not in plan
 
 
-def test_pagerank_round_shuffles_only_send_rows_and_partial_sums(spark):
-    salted, nodes = rank.prepare_graph(graphs.graph_two_way(spark, SF_SMALL), partitions=3)
-    ranks = nodes.select("node", F.lit(1.0).alias("rank"), "deg", "nsalt")
-    # as inside pagerank(): rounds run with the graph's partition count
-    with scoped_conf(spark, "spark.sql.shuffle.partitions", "3", spark__sql__adaptive__enabled="false"):
-        names = _node_names(rank.pagerank_round(salted, nodes, ranks))
-    assert names.count("ShuffledHashJoin") == 2, names
-    # exactly two exchanges: send rows → (src, salt), partial sums → dst;
-    # the persisted edges and nodes are joined in place
-    assert names.count("Exchange") == 2, names
-    assert "BroadcastExchange" not in names
-    assert names.count("InMemoryTableScan") == 3, names
+def test_pagerank_round_moves_only_the_packed_sums(spark):
+    edges = links.edge_set(graphs.graph_two_way(spark, SF_SMALL))
+    graph = blocks.blocked(edges, partitions=3)
+    # as inside pagerank(): rounds run with the graph's number of parts
+    with scoped_conf(spark, "spark.sql.shuffle.partitions", str(graph.n_parts), spark__sql__adaptive__enabled="false"):
+        sums = blocks.first_sums(graph, last=False)
+        for _ in range(2):
+            sums = blocks.next_sums(graph, sums, lambda s: 0.15 + 0.85 * s, last=False)
+        names = _node_names(sums)
+        sent = sums.count()
+    graph.release()
+    # one exchange a round, of the sums; the packed parts are met where they lie
+    assert names.count("FlatMapCoGroupsInArrow") == 2 and names.count("Exchange") == 2, names
+    assert names.count("InMemoryTableScan") == 3 and not [n for n in names if "Join" in n], names
+    # rows are pairs of part and block, not nodes
+    assert 0 < sent <= graph.n_parts * 3
+
+
+def test_parts_hold_a_bounded_number_of_edges(spark):
+    """A hub's edges are spread over parts; every hash partition gets one part."""
+    pairs = [("h", f"n{i}") for i in range(300)] + [(f"n{i}", f"n{i + 1}") for i in range(299)]
+    edges = spark.createDataFrame(pairs, "src string, dst string")
+    graph = blocks.blocked(edges, partitions=4, edges_per_part=50)
+    rows = graph.parts.select("key", (F.octet_length("place") / 4).alias("n"), F.spark_partition_id().alias("p")).collect()
+    graph.release()
+    assert sum(r["n"] for r in rows) == 599
+    assert max(r["n"] for r in rows) <= 100 and len(rows) == graph.n_parts >= 12
+    assert len({r["p"] for r in rows}) == len(rows) == len({r["key"] for r in rows})
 
 
 def test_parquet_scan_prunes_columns(spark):
