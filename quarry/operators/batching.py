@@ -2,6 +2,13 @@
 
 * Shuffle: a full, repeatable shuffle keyed by ``md5(seed ‖ epoch ‖ id)``
   (stronger than a bounded shuffle buffer, and the same on any cluster).
+* Two-level shuffle: rows belong to blocks by a hash of their id; an epoch permutes
+  the blocks, and the rows within each. One hash exchange and a sort within the
+  blocks; a row's place is the count of the rows in the blocks before its own plus
+  its place in the block. No range exchange and nothing kept between epochs; rows
+  of one block stay neighbours in every epoch.
+* Shuffle buffer: rows stream through a bounded buffer in each task and leave it in
+  random order, with no exchange at all: the reference's own input pipeline.
 * Repeat: one copy per epoch through ``explode(sequence(...))`` — a row
   expansion, not a join; epochs are never physically materialised.
 * Batch: either a hash bucket (near-equal sizes, no ordering pass; the
@@ -14,8 +21,12 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import stable_bucket, stable_key
@@ -34,6 +45,89 @@ def shuffle_epoch(df: DataFrame, id_col: str, epoch: int = 0, seed: int | str =
     return with_position(keyed, ["_k", id_col]).drop("_k")
 
 
+#: Rows of a block of the two-level shuffle: what one task sorts.
+ROWS_PER_BLOCK = 1_000_000
+#: Rows of the shuffle buffer (fixed value of the reference's input pipeline).
+BUFFER_ROWS = 10_000
+
+
+def _own_name(df: DataFrame, name: str) -> str:
+    while name in df.columns:
+        name += "_"
+    return name
+
+
+def shuffle_blocks(
+    df: DataFrame, id_col: str, epoch: int = 0, seed: int | str = 0, n_blocks: int | None = None, name: str = "pos"
+) -> DataFrame:
+    """Add ``name`` (1..N): the example's place in the epoch's two-level order.
+
+    ``id_col`` should be near-unique, so that blocks are of one size; rows that
+    share an id get neighbouring places in no defined order. Without ``n_blocks``
+    the rows are counted and blocks hold about ``ROWS_PER_BLOCK``.
+    """
+    blocks = n_blocks or max(1, math.ceil(df.count() / ROWS_PER_BLOCK))
+    block, key = _own_name(df, "block"), _own_name(df, "key")
+    dealt = df.withColumn(block, stable_bucket(id_col, blocks, f"{seed}/block"))
+    # one row a block: the single-task window below never grows with the rows
+    sizes = dealt.groupBy(block).agg(F.count("*").alias("rows"))
+    in_order = Window.orderBy(stable_key(block, f"{seed}/block/{epoch}"), block)
+    before = sizes.select(block, (F.sum("rows").over(in_order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("rows")).alias(key))
+    within = Window.partitionBy(block).orderBy(shuffle_key(id_col, epoch, seed), id_col)
+    placed = dealt.join(F.broadcast(before), block).withColumn(name, (F.col(key) + F.row_number().over(within)).cast("bigint"))
+    return placed.select(*df.columns, name)
+
+
+def _through_buffer(size: int, seed: int, epoch: int):
+    """mapInArrow body: rows leave a buffer of ``size`` rows in random order, the
+    same for the same seed, epoch and split. Each new row takes the place of a
+    random one, which leaves; at the end the rows left go in random order."""
+
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rng = np.random.default_rng([seed, epoch, TaskContext.get().partitionId()])
+        held: pa.Table | None = None
+        for batch in batches:
+            new = pa.Table.from_batches([batch])
+            if held is None or held.num_rows < size:
+                room = size - (held.num_rows if held else 0)
+                held = new[:room] if held is None else pa.concat_tables([held, new[:room]])
+                new = new[room:]
+            if new.num_rows:
+                slots = rng.integers(0, size, new.num_rows)
+                # a row that leaves is the one put last into its slot
+                order = np.argsort(slots, kind="stable")
+                same = np.concatenate([[False], slots[order][1:] == slots[order][:-1]])
+                leaves = slots.copy()
+                leaves[order[same]] = size + order[np.flatnonzero(same) - 1]
+                stays = np.arange(size)
+                stays[slots] = size + np.arange(new.num_rows)  # the last one put in wins
+                both = pa.concat_tables([held, new]).combine_chunks()
+                yield from both.take(leaves).to_batches()
+                held = both.take(stays)
+        if held is not None and held.num_rows:
+            yield from held.combine_chunks().take(rng.permutation(held.num_rows)).to_batches()
+
+    return fn
+
+
+def shuffle_buffer(df: DataFrame, size: int = BUFFER_ROWS, seed: int = 0, epoch: int = 0) -> DataFrame:
+    """Each split's rows in the order in which they leave a bounded shuffle buffer.
+
+    Nothing is exchanged and a task never holds more than the buffer and one Arrow
+    batch. The order is repeatable for the same input splits, seed and epoch; a row
+    leaves at most ``size - 1`` places before its own, so a buffer smaller than a
+    split mixes near rows only, as the reference's does.
+    """
+    if size < 1:
+        raise ValueError("the buffer needs a row")
+    return df.mapInArrow(_through_buffer(size, seed, epoch), df.schema)
+
+
+def batches_of(df: DataFrame, position: str, batch_size: int, name: str = "batch") -> DataFrame:
+    """Add ``name`` (bigint): exact batches by a 1-based place; the last may be partial."""
+    return df.withColumn(name, F.expr(f"(`{position}` - 1) div {int(batch_size)}").cast("bigint"))
+
+
 def repeat_epochs(df: DataFrame, epochs: int) -> DataFrame:
     """Dataset × ``epochs`` with an ``epoch`` column (0-based)."""
     return df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(int(epochs) - 1))))
