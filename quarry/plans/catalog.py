@@ -263,19 +263,19 @@ def q_shuffle_epoch(spark, sf_dir):
 @query("shuffle_blocks")
 def q_shuffle_blocks(spark, sf_dir):
     """The two-level order of two epochs, cut in exact batches."""
-    rows = table(spark, sf_dir, "orders").select("o_orderkey")
-    epochs = [batching.shuffle_blocks(rows, "o_orderkey", epoch, n_blocks=16).withColumn("epoch", F.lit(epoch)) for epoch in (0, 1)]
-    return batching.batches_of(epochs[0].unionByName(epochs[1]), "pos", 64).select("epoch", "o_orderkey", "pos", "batch")
+    rows = table(spark, sf_dir, "documents").select("doc_id")
+    epochs = [batching.shuffle_blocks(rows, "doc_id", epoch, n_blocks=16).withColumn("epoch", F.lit(epoch)) for epoch in (0, 1)]
+    return batching.batches_of(epochs[0].unionByName(epochs[1]), "pos", 64).select("epoch", "doc_id", "pos", "batch")
 
 
 @query("shuffle_buffer")
 def q_shuffle_buffer(spark, sf_dir):
-    """Every order once after the buffer, and whether it left no earlier than the buffer allows."""
+    """Every document once after the buffer, and whether it left no earlier than the buffer allows."""
     split = F.spark_partition_id().alias("split")
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", place.alias("came"))
-    left = batching.shuffle_buffer(rows, size=500, seed=7).select("o_orderkey", "came", place.alias("left"), split)
-    return left.select("o_orderkey", (F.col("left") > F.col("came") - 500).alias("in_bounds"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", place.alias("came"))
+    left = batching.shuffle_buffer(rows, size=500, seed=7).select("doc_id", "came", place.alias("left"), split)
+    return left.select("doc_id", (F.col("left") > F.col("came") - 500).alias("in_bounds"))
 
 
 @query("repeat_epochs")

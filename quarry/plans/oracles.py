@@ -314,18 +314,18 @@ register("batch_score", "WITH " + SCORES + "\nSELECT vec_id, pred FROM pred")
 #: Blocks in the epoch's order, the rows within each by their own key.
 register(
     "shuffle_blocks",
-    "WITH b AS (SELECT o_orderkey, "
-    + _key("'0/block:' || CAST(o_orderkey AS VARCHAR)")
-    + " % 16 AS block FROM orders), "
+    "WITH b AS (SELECT doc_id, "
+    + _key("'0/block:' || CAST(doc_id AS VARCHAR)")
+    + " % 16 AS block FROM documents), "
     + ", ".join(
         f"""e{e} AS (
-  SELECT {e} AS epoch, o_orderkey, row_number() OVER (ORDER BY {_key(f"'0/block/{e}:' || CAST(block AS VARCHAR)")}, block, {_key(f"'0:{e}:' || CAST(o_orderkey AS VARCHAR)")}, o_orderkey) AS pos FROM b
+  SELECT {e} AS epoch, doc_id, row_number() OVER (ORDER BY {_key(f"'0/block/{e}:' || CAST(block AS VARCHAR)")}, block, {_key(f"'0:{e}:' || CAST(doc_id AS VARCHAR)")}, doc_id) AS pos FROM b
 )"""
         for e in (0, 1)
     )
-    + " SELECT epoch, o_orderkey, pos, (pos - 1) // 64 AS batch FROM (SELECT * FROM e0 UNION ALL SELECT * FROM e1)",
+    + " SELECT epoch, doc_id, pos, (pos - 1) // 64 AS batch FROM (SELECT * FROM e0 UNION ALL SELECT * FROM e1)",
 )
-register("shuffle_buffer", "SELECT o_orderkey, true AS in_bounds FROM orders")
+register("shuffle_buffer", "SELECT doc_id, true AS in_bounds FROM documents")
 
 # -- training (chained CTEs, one block per step) ------------------------------------
 
