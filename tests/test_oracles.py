@@ -16,6 +16,7 @@ FAST = [
     "one_hot_labels", "reshape_grid", "argmax_class", "assign_batches", "linear_scores", "cross_entropy",
     "accuracy_counts", "softmax_sgd_sync", "sweep_best_setting", "pagerank_one_way", "link_stream_ingest",
     "export_sort_job", "pagerank_mixed", "sweep_two_sheets", "train_then_evaluate",
+    "softmax_adam_resumed", "training_metrics_resumed", "relu_network_adam", "shuffle_blocks", "shuffle_buffer",
 ]
 
 
