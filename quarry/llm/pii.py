@@ -211,15 +211,16 @@ def _features(k: int, votes: tuple[int, ...], digits: int) -> list[float]:
     return [1.0, *[float(k == i) for i in range(1, len(KINDS))], *[float(v == 1) for v in votes], *[float(v == -1) for v in votes], digits / 20]
 
 
-def train_classifier(cells: list[tuple[int, tuple[int, ...], int, float]], real, ridge: float = 1.0, rounds: int = 50) -> list[float]:
-    """Weights of a ridge logistic regression on soft labels; a cell is (kind, votes, digits, count)."""
+def train_classifier(cells: list[tuple[int, tuple[int, ...], int, float]], real, ridge: float = 0.001, rounds: int = 50) -> list[float]:
+    """Weights of a ridge logistic regression on soft labels; a cell is (kind, votes, digits, count).
+    Cells weigh by their share of the candidates, so the penalty is the same at every size."""
     width = len(_features(0, (0,) * len(LABELERS), 0))
     if not cells:
         return [-10.0] + [0.0] * (width - 1)
     x = np.array([_features(k, v, d) for k, v, d, _ in cells])
     y = np.array([real(k, v) for k, v, _, _ in cells])
     n = np.array([c for *_, c in cells], float)
-    n = n / n.sum() * min(n.sum(), 1e6)
+    n = n / n.sum()
     w = np.zeros(width)
     penalty = ridge * np.eye(width)
     for _ in range(rounds):

@@ -112,3 +112,17 @@ def test_numbers_in_a_match_that_fails_are_candidates(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.id: {texts[r.id][x.s : x.e] for x in r.spans if x.kind == "phone" and not x.base} for r in pii.find_candidates(df).collect()}
     assert any("202-555-0101" in x for x in got[0]) and got[1] == set()
+
+
+def test_classifier_is_the_same_at_every_size():
+    rng = random.Random(8)
+    cells = [(k, tuple(rng.choice((-1, 0, 1)) for _ in pii.LABELERS), rng.randint(0, 19), float(rng.randint(1, 50))) for k in range(4) for _ in range(30)]
+
+    def real(k, votes):
+        return 1 / (1 + 2.0 ** -sum(votes))
+
+    small = pii.train_classifier(cells, real)
+    for times in (1000, 10**6):
+        large = pii.train_classifier([(k, v, d, n * times) for k, v, d, n in cells], real)
+        assert max(abs(a - b) for a, b in zip(small, large)) < 1e-6
+    assert max(map(abs, small)) > 0.1
