@@ -1,19 +1,22 @@
 """Byte-level BPE encoding and decoding over a prefix trie (operator 3).
 
-A text is cut into pieces by the vocabulary's split pattern. The distinct
-pieces of a batch are inserted into a trie in depth-first order. Every node
-holds one state: the *last token* of the encoding of the prefix that ends there. Two facts about BPE make that state enough:
+A run of texts (bounded by bytes) is cut into words by Arrow and each distinct
+word is encoded once. Its pieces, cut by the vocabulary's split pattern, are
+sorted, which is the depth-first order of their trie: a stack holds the nodes
+on the path, the nodes shared with the piece before stay, the others are pushed
+in order. Every node holds one state: the *last token* of the encoding of the
+prefix that ends there. Two facts about BPE make that state enough:
 
 * the tokens before the last one are the encoding of the shorter prefix, so a
   whole encoding is read off by walking back from node to node;
 * token ``t`` is the last token of a prefix iff it is a suffix of it and
   merging the bytes of (last token of the rest, ``t``) gives that pair again.
 
-So the encoding of a shared prefix is computed once for all pieces below it, in
-this batch and the worker's next ones. Words already met come from a memo. Trie
-and memo are bounded: they start anew when full, which costs time only. The
-token ids are packed in the machine's order, little-endian on all platforms
-that Spark's Arrow exchange supports.
+So a state is found from the states above it and the encoding of a shared
+prefix is computed once for all pieces below it. Words met more than once in a
+run go to a bounded memo for the worker's next runs, which ages when full; that
+costs time only. The token ids are packed in the machine's order, little-endian
+on all platforms that Spark's Arrow exchange supports.
 
 Defined cases: null and empty texts have no tokens and decode to an empty
 text; special tokens found in a text are taken whole, as the vocabulary file's
@@ -29,23 +32,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .texts import small_batches
+from .texts import gather, joined, runs, small_batches
 
 #: Fixed value: the split pattern of the byte-level vocabularies.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words (about 200 bytes each) at which a worker's memo ages, and of which lengths.
-MEMO_PIECES = 60_000
+MEMO_PIECES = 100_000
 MEMO_BYTES = 64
 #: Token pairs whose border is remembered.
-MEMO_PAIRS = 100_000
-#: Nodes (about 150 bytes each) at which a worker starts a new trie.
-TRIE_NODES = 150_000
-#: Bytes of a piece beyond which its states are found from the front.
-DEEP = 200
+MEMO_PAIRS = 200_000
 _MARKS = ".,;:!?"
 _MODIFIERS = "\u02b0"  # below it, Python's letters are the pattern's letters
 _NEVER = 1 << 60
@@ -81,44 +81,51 @@ class TrieBPE:
         self.fits: dict[int, bool] = {}
         self.spines: tuple[dict, dict] = ({}, {})
         self.parts = {made: (a, b, rank) for (a, b), (rank, made) in reversed(self.merges.items())}
-        # the tokens that text can encode to, read from their ends: (node, byte) -> node, node -> token
-        self.backward: dict[int, int] = {}
-        self.ends = array("i", [-1])
-        for t, i in ids.items():
-            if self._merged([ids[t[k : k + 1]] for k in range(len(t))]) == [i]:
-                node = 0
-                for b in reversed(t):
-                    key = node << 8 | b
-                    node = self.backward.get(key)
-                    if node is None:
-                        node = self.backward[key] = len(self.ends)
-                        self.ends.append(-1)
-                self.ends[node] = i
+        if len([t for t in ids if len(t) == 1]) < 256:
+            raise ValueError("a byte is missing from the vocabulary")
+        whole = {i for i in ids.values() if i not in self.parts}  # the tokens that text can encode to
+        for (a, b), (_, made) in self.merges.items():  # by rank, so parts come first
+            if self.parts[made][:2] == (a, b) and a in whole and b in whole and self._meet(a, b):
+                whole.add(made)
+        self._automaton({t: i for t, i in ids.items() if i in whole})
         self.memo: dict[str, bytes] = {}  # words met lately, and ...
         self.older: dict[str, bytes] = {}  # ... before that
-        self.child: dict[int, int] = {}  # trie: (node, byte) -> node
-        self.states: list[int | None] = [-1]  # trie: node -> last token, where known
         self.text_of = [bytes_of.get(i, b"") for i in range(max(bytes_of) + 1)]
         self.width = array("i", map(len, self.text_of))
-
-    def _merged(self, tokens: list[int]) -> list[int]:
-        """Merge the best-ranked pair until none is left (short inputs)."""
-        tokens = list(tokens)
-        while len(tokens) > 1:
-            best = min((self.merges.get(p, _NONE) + (k,) for k, p in enumerate(zip(tokens, tokens[1:]))))
-            if best[1] < 0:
-                break
-            pair = (tokens[best[2]], tokens[best[2] + 1])
-            out, k = [], 0
-            while k < len(tokens):
-                if k + 1 < len(tokens) and (tokens[k], tokens[k + 1]) == pair:
-                    out.append(best[1])
-                    k += 2
+        self.text_at = np.cumsum([0, *self.width])
+        self.all_text = np.frombuffer(b"".join(self.text_of), np.uint8)
+        self.text_of = []
+
+    def _automaton(self, tokens: dict[bytes, int]) -> None:
+        """Suffix matching over the tokens: ``step`` leads from (node, byte) to a
+        node, ``fail`` to the node of its longest proper suffix; ``best`` is the
+        longest token that ends at a node, ``shorter`` the next one after a token."""
+        self.step: dict[int, int] = {}
+        self.fail, self.best = array("i", [0]), array("i", [-1])
+        self.shorter = array("i", [-1]) * (max(tokens.values()) + 1)
+        level = [(0, t) for t in sorted(tokens)]  # (node of the first bytes, token)
+        depth = 0
+        while level:
+            deeper = []
+            for node, t in level:
+                key = node << 8 | t[depth]
+                child = self.step.get(key)
+                if child is None:
+                    fail = 0
+                    if depth:
+                        fail = self.fail[node]
+                        while fail and fail << 8 | t[depth] not in self.step:
+                            fail = self.fail[fail]
+                        fail = self.step[fail << 8 | t[depth]]
+                    child = self.step[key] = len(self.fail)
+                    self.fail.append(fail)
+                    self.best.append(self.best[fail])
+                if len(t) == depth + 1:
+                    self.shorter[tokens[t]] = self.best[self.fail[child]]
+                    self.best[child] = tokens[t]
                 else:
-                    out.append(tokens[k])
-                    k += 1
-            tokens = out
-        return tokens
+                    deeper.append((child, t))
+            level, depth = deeper, depth + 1
 
     def _spine(self, token: int, side: int) -> list[tuple[int, int]]:
         """The tokens that stand at one edge of ``token`` while it is built (0:
@@ -136,90 +143,65 @@ class TrieBPE:
             self.spines[side][token] = known
         return known
 
-    def _fit(self, a: int, b: int) -> bool:
-        """Whether the bytes of ``a`` and ``b`` together encode to just ``[a, b]``:
-        no pair that meets at the border is merged before one of it is used up.
-        At equal ranks the left pair is merged first."""
-        if len(self.fits) > MEMO_PAIRS:
-            self.fits.clear()
+    def _meet(self, a: int, b: int) -> bool:
+        """Whether ``a`` and ``b``, built side by side, are both complete before a
+        pair at their border is merged. At equal ranks the left pair is merged first."""
         left, right = self._spine(a, 1), self._spine(b, 0)
         i = j = 0
         while True:
             (x, x_end), (y, y_end) = left[i], right[j]
-            rank = self.merges.get((x, y), _NONE)[0]
-            if rank < x_end and rank <= y_end and rank < _NEVER:
-                known = False
-                break
             if x_end == _NEVER and y_end == _NEVER:
-                known = True
-                break
+                return True
+            rank = self.merges.get((x, y), _NONE)[0]
+            if rank < x_end and rank <= y_end:
+                return False
             if x_end <= y_end:
                 i += 1
             else:
                 j += 1
-        self.fits[a << 32 | b] = known
-        return known
 
-    def _last(self, piece: bytes, at: int, nodes: list[int]) -> int:
-        """The last token of ``piece[:at]``, whose trie nodes are ``nodes``. States
-        of shorter prefixes that it asks for are found first and kept."""
-        back, ends_at = self.backward.get, self.ends
-        node, k, ends = 0, at, []
-        while k:
-            k -= 1
-            node = back(node << 8 | piece[k])
-            if node is None:
-                break
-            t = ends_at[node]
-            if t >= 0:
-                ends.append((t, k))
-        fits, states = self.fits, self.states
-        while ends:
-            t, start = ends.pop()
-            if not start:
-                break
-            a = states[nodes[start]]
-            if a is None:
-                a = states[nodes[start]] = self._last(piece, start, nodes)
-            fit = fits.get(a << 32 | t)
-            if fit is None:
-                fit = self._fit(a, t)
-            if fit:
-                break
-        else:
-            raise ValueError("a byte is missing from the vocabulary")
-        return t
+    def _fit(self, a: int, b: int) -> bool:
+        """Whether the bytes of ``a`` and ``b`` together encode to just ``[a, b]``."""
+        if len(self.fits) > MEMO_PAIRS:
+            self.fits.clear()
+        known = self.fits[a << 32 | b] = (a, b) not in self.merges and self._meet(a, b)
+        return known
 
     def encode_pieces(self, pieces: list[bytes]) -> list[array]:
-        """Encodings of non-empty pieces through the trie. Sorted pieces enter
-        it in depth-first order; a node's state is found from the states on its
-        path when a piece first needs it, and serves every piece that passes through."""
-        child, states, width = self.child, self.states, self.width
-        get = child.get
-        out = []
+        """Encodings of sorted non-empty pieces, in the depth-first order of their
+        trie: ``states[k]`` is the last token of the first ``k`` bytes of the path,
+        ``found[k]`` the node of the tokens that end there."""
+        step, fail, best, shorter = self.step.get, self.fail, self.best, self.shorter
+        width, fits = self.width, self.fits
+        states, found, before, out = [-1], [0], b"", []
         for piece in pieces:
-            if len(states) > TRIE_NODES:
-                child.clear()
-                del states[1:]
-            node, nodes, size = 0, [0], len(states)
-            for b in piece:
-                key = node << 8 | b
-                node = get(key)
-                if node is None:
-                    node = child[key] = size
-                    size += 1
-                    states.append(None)
-                nodes.append(node)
-            at = len(piece)
-            if at > DEEP:  # from the front, so that no state asks for many unknown ones
-                for k in range(1, at):
-                    if states[nodes[k]] is None:
-                        states[nodes[k]] = self._last(piece, k, nodes)
-            ids = []
+            shared = 0
+            for x, y in zip(piece, before):
+                if x != y:
+                    break
+                shared += 1
+            del states[shared + 1 :], found[shared + 1 :]
+            before, node = piece, found[shared]
+            for at, b in enumerate(piece[shared:], shared + 1):
+                child = step(node << 8 | b)
+                while child is None:
+                    node = fail[node]
+                    child = step(node << 8 | b)
+                node = child
+                found.append(node)
+                t = best[node]
+                start = at - width[t]
+                while start:
+                    a = states[start]
+                    fit = fits.get(a << 32 | t)
+                    if fit or fit is None and self._fit(a, t):
+                        break
+                    t = shorter[t]
+                    start = at - width[t]
+                states.append(t)
+            at, ids = len(piece), []
             while at:
-                t = states[nodes[at]]
-                if t is None:
-                    t = states[nodes[at]] = self._last(piece, at, nodes)
+                t = states[at]
                 ids.append(t)
                 at -= width[t]
             ids.reverse()
@@ -257,56 +239,86 @@ class TrieBPE:
             return [" " + stem, word[-1]]
         return self.pattern.findall(" " + word)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian unsigned 32-bit integers.
-
-        Between two words that one space parts, the split pattern always cuts
-        before the space, so a text of such words is the row of its blank-led
-        words, which the memo holds; any other text is cut by the pattern.
-        """
+    def _words(self, words: list[str], often: np.ndarray) -> list[bytes]:
+        """Ids of distinct blank-led words; those met ``often`` are kept."""
         if len(self.memo) > MEMO_PIECES:
             self.memo, self.older = {}, self.memo
         memo, older = self.memo, self.older
-        get = memo.get
-        plans: list[tuple[list[str], list[str], list]] = []  # pieces in front, words behind, their ids as far as known
-        fresh: set[str] = set()
-        for text in texts:
-            first, *rest = text.split(" ")
-            known = list(map(get, rest))
-            new = {w for w, ids in zip(rest, known) if ids is None} if None in known else ()
-            odd = first[-1:].isspace() or any(not w or w[0].isspace() or w[-1].isspace() for w in new)
-            if odd or any(s in text for s in self.special):
-                plans.append((self._pieces(text), [], []))
-            else:
-                plans.append((self.pattern.findall(first), rest, known))
-                fresh.update(new)
-        seen = {w for w in fresh if w in older}
-        memo.update((w, older[w]) for w in seen)
-        fresh -= seen
-        plain = [w for w in fresh if w.isalpha() and len(w) <= MEMO_BYTES and (w.isascii() or max(w) < _MODIFIERS)]
-        plain.sort()
-        memo.update(zip(plain, [x.tobytes() for x in self.encode_pieces([b" " + w.encode() for w in plain])]))
-        cuts = {w: self._cut_word(w) for w in fresh.difference(plain)}
-        ids = self._learn({p for cut in cuts.values() for p in cut} | {p for front, _, _ in plans for p in front})
-        long: dict[str, bytes] = {}
+        known = list(map(memo.get, words))
+        new: dict[str, int] = {}
+        for k, ids in enumerate(known):
+            if ids is None:
+                w = words[k]
+                ids = known[k] = older.get(w)
+                if ids is None:
+                    new[w] = k
+                else:
+                    memo[w] = ids
+        plain = sorted(w for w in new if w.isalpha() and (w.isascii() or max(w) < _MODIFIERS))
+        for w, ids in zip(plain, self.encode_pieces([b" " + w.encode() for w in plain])):
+            known[new[w]] = ids.tobytes()
+        cuts = {w: self._cut_word(w) for w in new if known[new[w]] is None}
+        pieces = {p for cut in cuts.values() for p in cut}
+        found = {p: known[new[p[1:]]] for p in pieces if p[1:] in new and p[0] == " " and p[1:] not in cuts}
+        found.update(self._learn(pieces.difference(found)))
         for w, cut in cuts.items():
-            (memo if len(w) <= MEMO_BYTES else long)[w] = b"".join([ids[p] for p in cut])
-        out = []
-        for front, rest, known in plans:
-            if None in known:
-                known = [get(w) or long[w] if x is None else x for w, x in zip(rest, known)]
-            out.append(b"".join([*[ids[p] for p in front], *known]))
-        return out
+            known[new[w]] = b"".join([found[p] for p in cut])
+        memo.update((w, known[k]) for w, k in new.items() if often[k] and len(w) <= MEMO_BYTES)
+        return known
+
+    def encode(self, texts: list[str | None] | pa.Array) -> list[bytes]:
+        """Each text's ids as little-endian unsigned 32-bit integers.
+
+        Between two words that one space parts, the split pattern always cuts
+        before the space, so a text of such words is its first word and the row of
+        its blank-led words; any other text is cut by the pattern.
+        """
+        if not len(texts):
+            return []
+        texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts.cast(pa.string())
+        texts = texts.fill_null("")
+        cut = pc.split_pattern(texts, " ")
+        starts = cut.offsets.to_numpy()
+        coded = cut.flatten().dictionary_encode()
+        place, words = coded.indices.to_numpy().copy(), coded.dictionary.to_pylist()
+        first = starts[:-1] - starts[0]
+        bounds = np.append(first, len(place))
+        # texts that the pattern must cut as a whole
+        loose = np.fromiter((not w or w != w.strip() for w in words), bool, len(words))
+        flags = loose[place]
+        flags[first] = [words[k][-1:].isspace() for k in place[first].tolist()]
+        odd = np.logical_or.reduceat(flags, first)
+        for text in self.special:
+            odd |= pc.match_substring(texts, text).to_numpy(zero_copy_only=False)
+        counted = ~np.repeat(odd, np.diff(bounds))
+        counted[first] = False
+        times = np.bincount(place[counted], minlength=len(words))
+        used = np.flatnonzero(times)
+        entries = self._words([words[k] for k in used.tolist()], times[used] > 1)
+        # first words and whole odd texts as rows of pieces
+        whole = {k: self._pieces(texts[k].as_py()) for k in np.flatnonzero(odd).tolist()}
+        heads = {k: self.pattern.findall(words[k]) for k in set(place[first[~odd]].tolist())}
+        found = self._learn({p for row in (*whole.values(), *heads.values()) for p in row})
+        to = np.zeros(len(words) + 1, np.int32)  # word -> entry; entry 0 is empty
+        to[used] = np.arange(1, len(used) + 1)
+        head_to = {k: len(entries) + 1 + n for n, k in enumerate(heads)}
+        entries = [b"", *entries, *(b"".join([found[p] for p in row]) for row in heads.values())]
+        place = np.where(counted, to[place], 0)
+        place[first] = [0 if o else head_to[coded.indices[k].as_py()] for k, o in zip(first.tolist(), odd.tolist())]
+        sizes = np.fromiter(map(len, entries), np.int64, len(entries)) // 4
+        data, ends = gather(np.frombuffer(b"".join(entries), "<u4"), np.cumsum(sizes) - sizes, sizes, place)
+        ends = np.append(0, ends)[bounds].tolist()
+        return [b"".join([found[p] for p in whole[k]]) if k in whole else data[a:b].tobytes() for k, (a, b) in enumerate(zip(ends, ends[1:]))]
 
     def forget(self) -> None:
-        """Drop memo and trie, but not the vocabulary."""
-        self.memo, self.older = {}, {}
-        self.child, self.states, self.fits, self.spines = {}, [-1], {}, ({}, {})
+        """Drop all but the vocabulary."""
+        self.memo, self.older, self.fits, self.spines = {}, {}, {}, ({}, {})
 
     def decode(self, packed: bytes) -> bytes:
         """The UTF-8 text of packed ids (broken sequences become U+FFFD)."""
-        data = b"".join(map(self.text_of.__getitem__, np.frombuffer(packed, "<u4").tolist()))
-        return data.decode("utf-8", "replace").encode()
+        at = self.text_at
+        data, _ = gather(self.all_text, at[:-1], np.diff(at), np.frombuffer(packed, "<u4"))
+        return data.tobytes().decode("utf-8", "replace").encode()
 
 
 _ready: dict[str, TrieBPE] = {}
@@ -332,10 +344,8 @@ def encoder(vocabulary, text: Column) -> Column:
     @F.arrow_udf("binary")
     def encode(texts: pa.Array) -> pa.Array:
         coder = _coder(vocabulary.value)
-        out: list[bytes] = []
-        for at in range(0, len(texts), 64):
-            out += coder.encode([t if t is not None else "" for t in texts.slice(at, 64).to_pylist()])
-        return pa.array(out, pa.binary())
+        batch = pa.record_batch([texts], names=["text"])
+        return pa.array([ids for run in runs(batch, 0) for ids in coder.encode(run.column(0))], pa.binary())
 
     return encode(text)
 
@@ -366,14 +376,13 @@ def code_documents(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", tex
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(vocabulary.value)
         try:
-            for batch in batches:
-                ids: list[bytes] = []
-                for at in range(0, batch.num_rows, 32):
-                    ids += coder.encode([t if t is not None else "" for t in batch.column(1).slice(at, 32).to_pylist()])
+            for run in joined(batches, 1):
+                ids = coder.encode(run.column(1))
                 decoded = pa.array(map(coder.decode, ids), pa.binary()).cast(pa.string())
-                yield pa.record_batch([batch.column(0), pa.array(ids, pa.binary()), decoded], names=[id_col, "ids", "decoded"])
+                yield pa.record_batch([run.column(0), pa.array(ids, pa.binary()), decoded], names=[id_col, "ids", "decoded"])
         finally:
             coder.forget()
+            pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col(id_col), F.col(text_col))
     return rows.mapInArrow(code, f"`{id_col}` {dict(docs.dtypes)[id_col]}, ids binary, decoded string")

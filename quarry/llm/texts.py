@@ -6,10 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text handled at once inside a task: bounds the numpy scratch space
 #: whatever the size of the Arrow batch.
 CHUNK_BYTES = 4 << 20
+#: Bytes of text that are encoded together; a longer text is a run of its own.
+RUN_BYTES = 8 << 20
 #: Rows of an Arrow batch of texts.
 BATCH_ROWS = 1000
 
@@ -76,3 +79,41 @@ def free_name(df, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def gather(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The slices of ``data`` named by ``rows`` one after the other, and where each ends."""
+    n = sizes[rows]
+    ends = np.cumsum(n)
+    kind = np.int32 if len(data) < 1 << 31 and (not len(ends) or ends[-1] < 1 << 31) else np.int64
+    at = np.repeat((starts[rows] - ends + n).astype(kind), n)
+    at += np.arange(len(at), dtype=kind)
+    return data[at], ends
+
+
+def runs(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Slices of the batch with about ``RUN_BYTES`` of text each."""
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    at = size = 0
+    for k, n in enumerate(sizes.tolist()):
+        if k > at and size + n > RUN_BYTES:
+            yield batch.slice(at, k - at)
+            at, size = k, 0
+        size += n
+    if batch.num_rows:
+        yield batch.slice(at)
+
+
+def joined(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """Small batches put together up to ``RUN_BYTES`` of text, large ones cut."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        n = batch.column(column).nbytes
+        if held and size + n > RUN_BYTES:
+            yield from runs(pa.concat_batches(held), column)
+            held, size = [], 0
+        held.append(batch)
+        size += n
+    if held:
+        yield from runs(pa.concat_batches(held), column)

@@ -4,9 +4,10 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from quarry.llm import bpe
+from quarry.llm import bpe, texts
 from quarry.llm.queries import vocabulary_path
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -52,14 +53,39 @@ def test_every_code_point_is_cut_alike(coder, library):
 
 def test_bounded_memo_and_trie_change_nothing(library, monkeypatch):
     monkeypatch.setattr(bpe, "MEMO_PIECES", 5)
-    monkeypatch.setattr(bpe, "TRIE_NODES", 20)
+    monkeypatch.setattr(texts, "RUN_BYTES", 7)
     monkeypatch.setattr(bpe, "MEMO_PAIRS", 5)
     monkeypatch.setattr(bpe, "MEMO_BYTES", 3)
     with open(PATH, encoding="utf-8") as f:
         small = bpe.TrieBPE(f.read())
-    texts = random_texts(200, 2)
-    got = [x for t in texts for x in small.encode([t])]
-    assert got == [packed(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+    rows = random_texts(200, 2)
+    batch = pa.record_batch([pa.array([None, *rows])], names=["text"])
+    got = [x for run in texts.joined(iter([batch.slice(0, 50), batch.slice(50)]), 0) for x in small.encode(run.column(0))]
+    assert got == [packed(e.ids) for e in library.encode_batch(["", *rows], add_special_tokens=False)]
+
+
+def test_automaton_holds_the_tokens_that_text_encodes_to(coder, library):
+    """A token is an end of the automaton iff the library gives it back for its own text."""
+    at, data = coder.text_at, coder.all_text
+    for i in range(0, 50_000, 7):
+        token = data[at[i] : at[i + 1]].tobytes()
+        try:
+            text = token.decode()
+        except UnicodeDecodeError:
+            continue
+        node = 0
+        for b in token:
+            node = coder.step.get(node << 8 | b, 0)
+        if library.encode(text, add_special_tokens=False).ids == [i]:
+            assert coder.best[node] == i
+            ends = [t for t in range(max(0, i - 400), i) if len(token) > at[t + 1] - at[t] > 0 and token.endswith(data[at[t] : at[t + 1]].tobytes())]
+            chain, t = set(), coder.shorter[i]
+            while t >= 0:
+                chain.add(t)
+                t = coder.shorter[t]
+            text_of = lambda t: data[at[t] : at[t + 1]].tobytes()
+            assert all(token.endswith(text_of(t)) for t in chain)
+            assert {t for t in ends if coder.encode_pieces([text_of(t)])[0].tolist() == [t]} <= chain
 
 
 def test_digest(spark, library):
