@@ -15,9 +15,11 @@ its running sums, one number a shard, turn places in shards into places in
 the whole corpus.
 
 Texts are cut at ASCII white space, which the vocabulary's normalisation and
-split pattern always drop and never merge across; each different word is
-encoded by the tokenizers library once per memo: words of letters many to a
-text, told apart by the ids that end a word, the others as texts of their own.
+split pattern always drop and never merge across. A run of texts (bounded by
+bytes) is cut into words by Arrow; each different word of it is encoded by the
+tokenizers library once, and words met more than once are kept for the worker's
+next runs: words of letters many to a text, told apart by the ids that end a
+word, the others as texts of their own.
 
 Defined cases: null texts count as empty and give the end id alone; documents
 without id come first, equal ids in order of their text; repeated rows are all
@@ -32,20 +34,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .shared_files import new_name, open_folder
-from .texts import small_batches, utf8
+from .texts import gather, joined, small_batches
 
 LENGTH = 2048
 BATCH = 256
 END_ID = 2
 #: Words (about 150 bytes each) at which a worker's memo ages, and of which lengths.
-MEMO_WORDS = 500_000
+MEMO_WORDS = 150_000
 MEMO_BYTES = 64
+#: Words given to the library at once, which bounds its scratch space.
+CALL_WORDS = 20_000
 
 
 _MARKS = frozenset(bytes([b]) for b in b".,;:!?")
@@ -76,44 +81,65 @@ class WordEncoder:
         self.memo: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
-    def encode(self, texts: list[bytes | None]) -> list[bytes]:
+    def encode(self, texts: list[bytes | None] | pa.Array) -> list[bytes]:
         """Each text's packed ids (``dtype``), without an end id."""
+        if not len(texts):
+            return []
+        texts = (pa.array(texts, pa.binary()) if isinstance(texts, list) else texts).cast(pa.string()).fill_null("")
+        # the vocabulary lower-cases, so ASCII capitals may go first where no special token can arise
+        cut = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts)))
+        coded = cut.flatten().dictionary_encode()
+        place = coded.indices.to_numpy()
+        times = np.bincount(place, minlength=len(coded.dictionary))
+        entries = self._words(coded.dictionary.cast(pa.binary()).to_pylist(), times > 1)
+        width = self.dtype.itemsize
+        sizes = np.fromiter(map(len, entries), np.int64, len(entries)) // width
+        data, ends = gather(np.frombuffer(b"".join(entries), self.dtype), np.cumsum(sizes) - sizes, sizes, place)
+        bounds = cut.offsets.to_numpy()
+        ends = np.append(0, ends)[bounds - bounds[0]].tolist()
+        return [data[a:b].tobytes() for a, b in zip(ends, ends[1:])]
+
+    def _words(self, words: list[bytes], often: np.ndarray) -> list[bytes]:
+        """Ids of distinct words (an empty one has none); those met ``often`` are kept."""
         if len(self.memo) > MEMO_WORDS:
             self.memo, self.older = {}, self.memo
         memo, older = self.memo, self.older
-        # the vocabulary lower-cases, so ASCII capitals may go first where no special token can arise
-        words = [[] if not t else t.split() if b"<|" in t else t.lower().split() for t in texts]
-        known = [list(map(memo.get, ws)) for ws in words]
-        fresh = {w for ws, ids in zip(words, known) if None in ids for w, x in zip(ws, ids) if x is None}
-        seen = {w for w in fresh if w in older}
-        memo.update((w, older[w]) for w in seen)
-        fresh -= seen
+        known = list(map(memo.get, words))
+        new: dict[bytes, int] = {}
+        for k, ids in enumerate(known):
+            if ids is None:
+                w = words[k]
+                ids = known[k] = older.get(w) if w else b""
+                if ids is None:
+                    new[w] = k
+                elif w:
+                    memo[w] = ids
         # letters with one mark behind are two words of the split pattern
         marked, single, others = {}, set(), set()
-        for w in fresh:
+        for w in new:
             if w.isalpha() or w.isdigit():  # ASCII only
                 (single if w.isalpha() and len(w) <= MEMO_BYTES else others).add(w)
             elif w[-1:] in _MARKS and _plain(w[:-1]):
                 marked[w] = (w[:-1], w[-1:])
             else:
                 (single if _plain(w) else others).add(w)
-        for stem, mark in marked.values():
-            if stem not in memo:
-                single.add(stem)
-            if mark not in memo:
-                others.add(mark)
-        memo.update(self._together(list(single)))
-        others = list(others)
-        long = {}
-        for w, e in zip(others, self.tokenizer.encode_batch_fast([w.decode() for w in others], add_special_tokens=False)):
-            (memo if len(w) <= MEMO_BYTES else long)[w] = np.array(e.ids, self.dtype).tobytes()
-        memo.update((w, memo[stem] + memo[mark]) for w, (stem, mark) in marked.items())
-        out = []
-        for ws, ids in zip(words, known):
-            if None in ids:
-                ids = [x if x is not None else memo[w] if w in memo else long[w] for w, x in zip(ws, ids)]
-            out.append(b"".join(ids))
-        return out
+        found = {p: memo.get(p) for parts in marked.values() for p in parts}
+        for p, ids in found.items():
+            if ids is None:
+                (others if p in _MARKS else single).add(p)
+        alone, rest = list(single), list(others)
+        for at in range(0, len(alone), CALL_WORDS):
+            found.update(self._together(alone[at : at + CALL_WORDS]))
+        for at in range(0, len(rest), CALL_WORDS):
+            part = rest[at : at + CALL_WORDS]
+            for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
+                found[w] = np.array(e.ids, self.dtype).tobytes()
+        for w, k in new.items():
+            parts = marked.get(w)
+            ids = known[k] = found[w] if parts is None else found[parts[0]] + found[parts[1]]
+            if often[k] and len(w) <= MEMO_BYTES:
+                memo[w] = ids
+        return known
 
     def _together(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
         """Words of letters only, each of which the split pattern leaves whole,
@@ -194,9 +220,7 @@ def write_tokens(docs: DataFrame, vocab_path: str, folder: str, id_col: str = "d
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shard = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for run in joined(batches, 1):
             if shard is None:
                 encoder = _encoder(vocabulary)
                 fs, path = open_folder(folder)
@@ -204,10 +228,9 @@ def write_tokens(docs: DataFrame, vocab_path: str, folder: str, id_col: str = "d
                 part = TaskContext.get().partitionId()
                 shard = ShardWriter(fs, path, part, encoder.dtype, length)
             end = np.array([end_id], encoder.dtype).tobytes()
-            for at in range(0, batch.num_rows, 128):
-                run = batch.slice(at, 128)
-                shard.add(run.column(0).to_pylist(), [c + end for c in encoder.encode(utf8(run.column(1)))])
+            shard.add(run.column(0).to_pylist(), [c + end for c in encoder.encode(run.column(1))])
         if shard is not None:
+            encoder.memo, encoder.older = {}, {}
             shard.close()
             name = folder.rstrip("/") + "/" + shard.path.rsplit("/", 1)[-1]
             yield pa.record_batch([pa.array([x]) for x in (part, name, shard.n_tokens, shard.n_docs)], names=["part", "path", "n_tokens", "n_docs"])

@@ -60,6 +60,7 @@ def test_rows_are_views_with_masks(spark):
 def test_bounded_memo_changes_nothing(monkeypatch):
     monkeypatch.setattr(T, "MEMO_WORDS", 3)
     monkeypatch.setattr(T, "MEMO_BYTES", 2)
+    monkeypatch.setattr(T, "CALL_WORDS", 2)
     with open(PATH, encoding="utf-8") as f:
         encoder = T.WordEncoder(f.read())
     for _, t in rows()[:200]:
