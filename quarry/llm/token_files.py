@@ -230,7 +230,6 @@ def write_tokens(docs: DataFrame, vocab_path: str, folder: str, id_col: str = "d
             end = np.array([end_id], encoder.dtype).tobytes()
             shard.add(run.column(0).to_pylist(), [c + end for c in encoder.encode(run.column(1))])
         if shard is not None:
-            encoder.memo, encoder.older = {}, {}
             shard.close()
             name = folder.rstrip("/") + "/" + shard.path.rsplit("/", 1)[-1]
             yield pa.record_batch([pa.array([x]) for x in (part, name, shard.n_tokens, shard.n_docs)], names=["part", "path", "n_tokens", "n_docs"])
