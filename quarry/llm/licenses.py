@@ -1,22 +1,26 @@
 """License scan by MinHash over text windows (operator 10).
 
 Texts and templates are cut in lower-cased words and shingles of five words (a
-template of fewer words is one shingle). Shingles of a document are covered by
-overlapping windows; a template of ``m`` shingles is sought in windows of the
-smallest power of two of at least ``2 m`` shingles, half a window apart, so
-that each occurrence lies whole within one. Every window and template has a
-MinHash signature; one that agrees in all rows of a band is retrieved. Rows and
-bands are chosen from the least similarity at which a window may hold the
-template, so that retrieval misses with probability of at most ``MISS``.
-Retrieved pairs are verified by exact shingle containment of ``CONTAINMENT`` or
-more, word by word.
+template of fewer words is one shingle). A document holds a template if some
+stretch of ``reach(m)`` shingles (``m``: the template's) has ``CONTAINMENT`` or
+more of its different shingles. That is 2.5 to 7 times the template, so words
+may be put into it, left out or changed.
+
+Shingles of a document are covered by overlapping windows; a template is sought
+in windows of the smallest power of two of at least ``4 m`` shingles, a quarter
+of a window apart, so that each such stretch lies whole within one, whatever its
+place. Every window and template has a MinHash signature; one that agrees in all
+rows of a band is retrieved. Rows and bands are chosen from the least similarity
+at which a window may hold the template, so that retrieval misses a window with
+probability of at most ``MISS``. Retrieved templates are verified by exact
+shingle containment over the whole document, word by word.
 
 The templates are few and fixed (their total size is checked); they travel
 with the tasks. Window minima are built up from minima of small blocks, so a
 signature costs one pass whatever the window sizes.
 
 Defined cases: null and empty texts hold nothing; a template found at several
-places counts once per document, with its best place; equal templates are all
+places counts once per document, with its best place (ties: the first); equal templates are all
 named; templates without words are left out; repeated rows each keep their
 row; extra columns stay as they are.
 """
@@ -51,10 +55,22 @@ class Template:
     width: int  # words of a shingle
     shingles: set[tuple[bytes, ...]]
     window: int  # shingles of a window
+    reach: int  # shingles of the stretch that has to hold it
+    hashes: np.ndarray  # of its shingles
 
 
 def window_size(m: int) -> int:
-    return max(2 * BLOCK, 1 << (2 * m - 1).bit_length())
+    return max(2 * BLOCK, 1 << (4 * m - 1).bit_length())
+
+
+def stride(window: int) -> int:
+    """Shingles from one window to the next."""
+    return max(BLOCK, window // 4)
+
+
+def reach(m: int) -> int:
+    """Shingles of the longest stretch that lies whole within a window at any place."""
+    return window_size(m) - stride(window_size(m)) + 1
 
 
 def least_similarity(m: int, containment: float) -> float:
@@ -79,7 +95,8 @@ def make_templates(texts: dict[str, str], shingle: int = SHINGLE) -> list[Templa
         if words:
             width = min(shingle, len(words))
             grams = {tuple(words[i : i + width]) for i in range(len(words) - width + 1)}
-            out.append(Template(name, words, width, grams, window_size(len(words) - width + 1)))
+            m = len(words) - width + 1
+            out.append(Template(name, words, width, grams, window_size(m), reach(m), np.unique(shingle_hashes(_word_hashes(words), width))))
     if sum(len(t.words) for t in out) > MAX_TEMPLATE_WORDS:
         raise ValueError("templates are too large to travel with the tasks; scan them in parts")
     return out
@@ -125,15 +142,14 @@ class Scanner:
             tables: list[dict[bytes, list[int]]] = [{} for _ in range(bands)]
             keys = _keys(rows * bands)
             for i in ids:
-                h = np.unique(shingle_hashes(_word_hashes(templates[i].words), group[0]))
-                sig = np.array([(h * a + b).min() for a, b in keys], np.uint64)
+                sig = np.array([(templates[i].hashes * a + b).min() for a, b in keys], np.uint64)
                 for k in range(bands):
                     tables[k].setdefault(sig[k * rows : (k + 1) * rows].tobytes(), []).append(i)
             self.groups[group] = (rows, bands, tables)
 
-    def _retrieve(self, docs: list[list[bytes]]) -> set[tuple[int, int, int, int]]:
-        """Candidate (document, first shingle, shingles, template)."""
-        found: set[tuple[int, int, int, int]] = set()
+    def _retrieve(self, docs: list[list[bytes]]) -> set[tuple[int, int]]:
+        """Candidate (document, template)."""
+        found: set[tuple[int, int]] = set()
         flat = [w for d in docs for w in d]
         words = _word_hashes(flat)
         ends = np.cumsum([len(d) for d in docs])
@@ -153,6 +169,8 @@ class Scanner:
                     padded[at + n[d] : int(first[d + 1]) * BLOCK] = h[start + n[d] - 1]  # a repeat changes no minimum
             owner = np.repeat(np.arange(len(docs)), blocks)
             windows = sorted(w for k, w in self.groups if k == width)
+            place = np.arange(total) - first[owner]
+            starts = {w: np.flatnonzero(place % (stride(w) // BLOCK) == 0) for w in windows}
             hits: dict[int, dict[int, list[np.ndarray]]] = {w: {} for w in windows}
             for k, (a, b) in enumerate(_keys(self.hashes[width])):
                 values = (padded * a + b).reshape(-1, BLOCK).min(axis=1)
@@ -170,49 +188,46 @@ class Scanner:
                         continue
                     band, row = divmod(k, rows)
                     held = hits[w].setdefault(band, [])
-                    held.append(level)
+                    held.append(level[starts[w]])
                     if row == rows - 1:
                         sigs = np.stack(held, axis=1)
                         hits[w][band] = []
                         wanted = np.array([np.frombuffer(x, np.uint64) for x in tables[band]])
-                        at = np.flatnonzero(np.isin(sigs[:, 0], wanted[:, 0]))
-                        stride = max(1, w // 2 // BLOCK)
-                        at = at[(at - first[owner[at]]) % stride == 0]
-                        for x in at.tolist():
+                        for x in np.flatnonzero(np.isin(sigs[:, 0], wanted[:, 0])).tolist():
                             for t in tables[band].get(sigs[x].tobytes(), ()):
-                                found.add((int(owner[x]), int(x - first[owner[x]]) * BLOCK, w, t))
+                                found.add((int(owner[starts[w][x]]), t))
         return found
 
-    def verify(self, words: list[bytes], start: int, size: int, t: Template) -> tuple[float, int] | None:
-        """Share of the template's shingles within the window, and where the first is; None below the bound."""
-        at: dict[tuple[bytes, ...], int] = {}
-        for i in range(start, min(start + size, len(words) - t.width + 1)):
-            gram = tuple(words[i : i + t.width])
-            if gram in t.shingles:
-                at.setdefault(gram, i)
-        share = len(at) / len(t.shingles)
-        return (share, min(at.values())) if share >= self.containment and at else None
+    def verify(self, words: list[bytes], hashes: np.ndarray, t: Template) -> tuple[float, int] | None:
+        """The largest share of the template's shingles in a stretch, and where the first of
+        them is (the earliest such place); None below the bound. ``hashes``: of the words."""
+        near = np.flatnonzero(np.isin(shingle_hashes(hashes, t.width), t.hashes)).tolist()
+        met = [(i, g) for i in near if (g := tuple(words[i : i + t.width])) in t.shingles]
+        held: dict[tuple[bytes, ...], int] = {}  # shingles of the stretch that starts at a match
+        best, end = (0, 0), 0
+        for i, gram in met:
+            while end < len(met) and met[end][0] < i + t.reach:
+                held[met[end][1]] = held.get(met[end][1], 0) + 1
+                end += 1
+            best = min(best, (-len(held), i))
+            held[gram] -= 1
+            if not held[gram]:
+                del held[gram]
+        share = -best[0] / len(t.shingles)
+        return (share, best[1]) if share >= self.containment and share else None
 
     def scan(self, texts: list[bytes | None]) -> list[list[tuple[str, float, int]]]:
         """Per text: (template, containment, first word) of the templates found, by name."""
         docs = [alnum_words(t) for t in texts]
-        best: list[dict[int, tuple[float, int]]] = [{} for _ in docs]
-        for d, start, size, t in self._retrieve(docs):
-            got = self.verify(docs[d], start, size, self.templates[t])
-            if got is not None and (t not in best[d] or (-got[0], got[1]) < (-best[d][t][0], best[d][t][1])):
-                best[d][t] = got
-        return [sorted((self.templates[t].name, share, at) for t, (share, at) in b.items()) for b in best]
-
-    def brute(self, text: bytes | None) -> list[tuple[str, float, int]]:
-        """All windows against all templates, without signatures (tests)."""
-        words, out = alnum_words(text), []
-        for t in self.templates:
-            n = len(words) - t.width + 1
-            got = [x for s in range(0, max(0, n), max(1, t.window // 2)) if (x := self.verify(words, s, t.window, t))]
-            if got:
-                share, at = min(got, key=lambda x: (-x[0], x[1]))
-                out.append((t.name, share, at))
-        return sorted(out)
+        out: list[list[tuple[str, float, int]]] = [[] for _ in docs]
+        hashes: dict[int, np.ndarray] = {}
+        for d, t in sorted(self._retrieve(docs)):
+            if d not in hashes:
+                hashes = {d: _word_hashes(docs[d])}
+            got = self.verify(docs[d], hashes[d], self.templates[t])
+            if got is not None:
+                out[d].append((self.templates[t].name, *got))
+        return [sorted(x) for x in out]
 
 
 _FOUND = "array<struct<license:string,containment:double,word:int>>"
