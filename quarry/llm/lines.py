@@ -1,12 +1,17 @@
 """Line dedup by a log-template tree (operator 6); DataFrame functions only.
 
-Each line of a text is parsed to a place in a tree of fixed depth: its token
+Each line of a text is parsed to places in a tree of fixed depth: its token
 count, then its first ``DEPTH`` tokens, tokens with a digit standing as
-``<*>``. A leaf that holds at least ``CHILDREN`` different lines is
-generalised: a position with that many different tokens is a variable field.
+``<*>``. So that a leading token can be a variable field too (``<name>
+commented on this story``), each of these levels has a ``<*>`` child that every
+line passes as well; the path then takes one more token, so that a leaf always
+fixes ``DEPTH`` of them. A leaf that holds at least ``CHILDREN`` different lines
+is generalised: a position with that many different tokens is a variable field.
 If at least ``CONSTANT`` of the leaf's positions stay, its lines share the
-template of the remaining tokens; otherwise (prose that only starts alike) and
-in all other leaves a line's template is the line itself, digits masked.
+template of the remaining tokens (of several such leaves, a line takes that of
+the most different lines; ties: the first by text); otherwise (prose that only
+starts alike) and in all other leaves a line's template is the line itself,
+digits masked. At most one of the leading tokens is a word field.
 
 A template is *recurring* if it is found in at least ``MIN_DOCS`` different
 companies. Equal texts are one company. A line (digits unmasked) is a text's own
@@ -46,7 +51,6 @@ CONSTANT = 0.6
 MIN_TOKENS = 4
 MIN_DOCS = 10
 OWN = 0.25
-MIN_DIVERSITY = 0.5  # read by the tests' first brute force only: a share of documents can be lost to copies
 
 
 def _even(line: Column) -> Column:
@@ -70,12 +74,17 @@ def masked_lines(text: Column) -> Column:
 
 
 def _place(line: Column, depth: int) -> Column:
-    """Token count, leaf and hash of a normalised line (null leaf and hash: no token)."""
+    """Token count, leaves and hash of a normalised line (null hash: no token; null leaves: too few)."""
     n = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1
     blank = line == ""
+    lead = F.array(F.split(F.substring_index(line, " ", depth + 1), " "))  # an array of one: split once for all leaves
+
+    def paths(tokens):  # a leading token left out, or the one after them
+        return F.array(*[F.xxhash64(n, F.lit(i), *[F.get(tokens, F.lit(j)) for j in range(depth + 1) if j != i]) for i in range(depth + 1)])
+
     return F.struct(
         F.when(blank, 0).otherwise(n).alias("n"),
-        F.when(~blank, F.xxhash64(n, F.substring_index(line, " ", depth))).alias("leaf"),
+        F.when(n >= max(MIN_TOKENS, depth + 1), F.get(F.transform(lead, paths), F.lit(0))).alias("leaves"),
         F.when(~blank, F.xxhash64(line)).alias("key"),
     )
 
@@ -87,7 +96,7 @@ def _hashes(text: Column) -> tuple[Column, Column]:
 
 def line_table(docs: DataFrame, text_col: str, depth: int = DEPTH) -> DataFrame:
     """One row per line of each different text: text ``(g, h)``, line ``no``,
-    hash of the line unmasked ``raw``, token count ``n``, ``leaf`` and masked line ``key``."""
+    hash of the line unmasked ``raw``, token count ``n``, ``leaves`` and masked line ``key``."""
     there = docs.where(F.col(text_col).isNotNull())
     both = F.transform(even_lines(F.col(text_col)), lambda x: F.struct(x.alias("even"), _masked(x).alias("line")))
     placed = F.transform(both, lambda x: F.struct(F.when(x["even"] != "", F.xxhash64(x["even"])).alias("raw"), _place(x["line"], depth).alias("place")))
@@ -97,17 +106,22 @@ def line_table(docs: DataFrame, text_col: str, depth: int = DEPTH) -> DataFrame:
 
 def generalised(docs: DataFrame, lines: DataFrame, text_col: str, depth: int, children: int, constant: float) -> DataFrame:
     """``(key, template)`` of the masked lines whose leaf has variable fields."""
-    crowded = lines.where(F.col("n") >= MIN_TOKENS).select("leaf", "key").distinct().groupBy("leaf").count().where(F.col("count") >= children).select("leaf")
+    places = lines.where("leaves IS NOT NULL").select("key", F.explode("leaves").alias("leaf"))
+    crowded = places.distinct().groupBy("leaf").count().where(F.col("count") >= children).select("leaf")
     crowded = written(crowded, "crowded")
     every = docs.select(F.explode(masked_lines(F.col(text_col))).alias("line"))
-    placed = every.select("line", F.inline(F.array(_place(F.col("line"), depth))))
+    placed = every.select("line", F.inline(F.array(_place(F.col("line"), depth)))).where("leaves IS NOT NULL")
+    placed = placed.select("line", "n", "key", F.explode("leaves").alias("leaf"))
     members = join_small(placed, crowded, "leaf", "left_semi")
     members = written(members.groupBy("leaf", "key", "n").agg(F.min("line").alias("line")), "leaf_lines")
     tokens = members.select("leaf", "n", F.posexplode(F.split("line", " ")).alias("at", "token"))
     varying = tokens.select("leaf", "n", "at", F.xxhash64("token").alias("t")).distinct().groupBy("leaf", "n", "at").count().where(F.col("count") >= children)
     shapes = varying.groupBy("leaf", "n").agg(F.collect_list("at").alias("fields")).where(F.col("n") - F.size("fields") >= constant * F.col("n"))
+    shapes = shapes.join(members.groupBy("leaf").agg(F.count("*").alias("size")), "leaf")
     fields = F.transform(F.split("line", " "), lambda t, i: F.when(F.array_contains("fields", i), F.lit("<*>")).otherwise(t))
-    return members.join(shapes, ["leaf", "n"]).select("key", F.xxhash64(F.lit("template"), F.array_join(fields, " ")).alias("template"))
+    found = members.join(shapes, ["leaf", "n"]).select("key", (-F.col("size")).alias("less"), F.array_join(fields, " ").alias("shape"))
+    best = found.groupBy("key").agg(F.min(F.struct("less", "shape"))["shape"].alias("shape"))
+    return best.select("key", F.xxhash64(F.lit("template"), "shape").alias("template"))
 
 
 def shared_lines(lines: DataFrame, min_docs: int) -> DataFrame:
@@ -120,12 +134,12 @@ def companies(lines: DataFrame, shared: DataFrame, own: float) -> DataFrame:
     """The ``company`` of each text ``(g, h)`` that has a token."""
     met = join_small(lines.where("raw IS NOT NULL"), shared, "raw", "left")
     mine = F.col("texts").isNull()
-    rank = F.shiftleft(F.least("texts", F.lit(2**31 - 1)).cast("bigint"), 32).bitwiseOR(F.col("raw").bitwiseAND(F.lit(2**32 - 1)))
+    rank = F.col("texts").cast("decimal(12,0)") * F.lit(str(2**64)).cast("decimal(20,0)") + F.col("raw")  # order of (texts, raw)
     texts = met.groupBy("g", "h").agg(
         F.bool_and(F.col("raw") != F.col("template")).alias("fields"), F.sum("n").alias("n"),
         F.sum(F.when(mine, F.col("n")).otherwise(0)).alias("own_n"), F.min(F.when(mine, F.col("raw"))).alias("own"), F.min(rank).alias("least"),
     )
-    company = F.when(F.col("fields"), F.col("h")).when(F.col("own_n") >= own * F.col("n"), F.col("own")).otherwise(F.col("least"))
+    company = F.when(F.col("fields"), F.col("h")).when(F.col("own_n") >= own * F.col("n"), F.col("own")).otherwise(F.xxhash64("least"))
     return texts.select("g", "h", company.alias("company"))
 
 
