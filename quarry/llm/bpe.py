@@ -37,7 +37,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .texts import gather, joined, runs, small_batches
+from .texts import gather, give_back, joined, runs, small_batches
 
 #: Fixed value: the split pattern of the byte-level vocabularies.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -46,6 +46,8 @@ MEMO_PIECES = 100_000
 MEMO_BYTES = 64
 #: Token pairs whose border is remembered.
 MEMO_PAIRS = 200_000
+#: Bytes of text encoded and decoded at once; the ids, texts and scratch space of a run take many times that.
+CODE_BYTES = 2 << 20
 _MARKS = ".,;:!?"
 _MODIFIERS = "\u02b0"  # below it, Python's letters are the pattern's letters
 _NEVER = 1 << 60
@@ -367,6 +369,21 @@ def encode_documents(docs: DataFrame, vocab_path: str, text_col: str = "text", i
     return docs.withColumn(ids_col, encoder(load_vocabulary(docs.sparkSession, vocab_path), F.col(text_col)))
 
 
+def _code_runs(coder: TrieBPE, batches: Iterator[pa.RecordBatch], id_col: str) -> Iterator[pa.RecordBatch]:
+    """mapInArrow body over ``(id_col, text)``: a run's ids and decoded texts are gone before the next run."""
+    try:
+        for run in joined(batches, 1, CODE_BYTES):
+            ids = coder.encode(run.column(1))
+            decoded = pa.array(map(coder.decode, ids), pa.binary()).cast(pa.string())
+            coded = pa.array(ids, pa.binary())
+            del ids
+            yield pa.record_batch([run.column(0), coded, decoded], names=[id_col, "ids", "decoded"])
+            del coded, decoded
+    finally:
+        coder.forget()
+        give_back()
+
+
 def code_documents(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id_col, ids, decoded)``: each whole text's packed ids, and the text they decode to.
     A task that ends gives its memory back, which an idle worker would keep."""
@@ -374,15 +391,7 @@ def code_documents(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", tex
     vocabulary = load_vocabulary(docs.sparkSession, vocab_path)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(vocabulary.value)
-        try:
-            for run in joined(batches, 1):
-                ids = coder.encode(run.column(1))
-                decoded = pa.array(map(coder.decode, ids), pa.binary()).cast(pa.string())
-                yield pa.record_batch([run.column(0), pa.array(ids, pa.binary()), decoded], names=[id_col, "ids", "decoded"])
-        finally:
-            coder.forget()
-            pa.default_memory_pool().release_unused()
+        return _code_runs(_coder(vocabulary.value), batches, id_col)
 
     rows = docs.select(F.col(id_col), F.col(text_col))
     return rows.mapInArrow(code, f"`{id_col}` {dict(docs.dtypes)[id_col]}, ids binary, decoded string")

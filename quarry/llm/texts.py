@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -81,6 +82,15 @@ def free_name(df, name: str) -> str:
     return name
 
 
+def give_back() -> None:
+    """Memory that a worker has freed goes back to the system, which an idle worker
+    would keep; where the C library has no such call, only Arrow's does."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def gather(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The slices of ``data`` named by ``rows`` one after the other, and where each ends."""
     n = sizes[rows]
@@ -91,12 +101,13 @@ def gather(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, rows: np.nda
     return data[at], ends
 
 
-def runs(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """Slices of the batch with about ``RUN_BYTES`` of text each."""
+def runs(batch: pa.RecordBatch, column: int, limit: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Slices of the batch with about ``limit`` (default ``RUN_BYTES``) bytes of text each."""
+    limit = limit or RUN_BYTES
     sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
     at = size = 0
     for k, n in enumerate(sizes.tolist()):
-        if k > at and size + n > RUN_BYTES:
+        if k > at and size + n > limit:
             yield batch.slice(at, k - at)
             at, size = k, 0
         size += n
@@ -104,16 +115,17 @@ def runs(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at)
 
 
-def joined(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
-    """Small batches put together up to ``RUN_BYTES`` of text, large ones cut."""
+def joined(batches: Iterator[pa.RecordBatch], column: int, limit: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Small batches put together up to ``limit`` (default ``RUN_BYTES``) bytes of text, large ones cut."""
+    limit = limit or RUN_BYTES
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
         n = batch.column(column).nbytes
-        if held and size + n > RUN_BYTES:
-            yield from runs(pa.concat_batches(held), column)
+        if held and size + n > limit:
+            yield from runs(pa.concat_batches(held), column, limit)
             held, size = [], 0
         held.append(batch)
         size += n
     if held:
-        yield from runs(pa.concat_batches(held), column)
+        yield from runs(pa.concat_batches(held), column, limit)

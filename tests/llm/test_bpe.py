@@ -98,3 +98,25 @@ def test_digest(spark, library):
     assert sorted(map(repr, (tuple(r) for r in bpe.bpe_digest(df, PATH).collect()))) == sorted(map(repr, want))
     assert bpe.bpe_digest(df.where("false"), PATH).collect() == []
     assert bpe.encode_documents(df, PATH).columns == ["doc_id", "text", "ids", "token_ids"]
+
+
+def test_a_task_holds_small_runs_and_gives_its_memory_back(monkeypatch):
+    seen, back = [], []
+
+    class Coder:
+        def encode(self, column):
+            seen.append(column.nbytes)
+            return [b"\1\0\0\0"] * len(column)
+
+        def decode(self, packed):
+            return b"x"
+
+        def forget(self):
+            back.append("coder")
+
+    monkeypatch.setattr(bpe, "give_back", lambda: back.append("system"), raising=False)
+    one = pa.record_batch([pa.array(range(100), pa.int64()), pa.array(["x" * 50_000] * 100)], names=["doc_id", "text"])
+    out = list(bpe._code_runs(Coder(), iter([one, one]), "doc_id"))
+    assert sum(b.num_rows for b in out) == 200 and max(seen) <= bpe.CODE_BYTES + 4096
+    assert back == ["coder", "system"]
+    texts.give_back()
