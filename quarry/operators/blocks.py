@@ -28,11 +28,20 @@ from ..session import BROADCAST_MAX_BYTES, drop_path, persist, scoped_conf, scra
 
 _LOW = (1 << 32) - 1
 
-#: What one part sends to a block: places in the block, and the sum for each.
+#: Edges that a task deals to the parts at once.
+RUN_EDGES = 1 << 20
+
+#: What one part sends to a block: steps between the places in the block, and the sum for each, squeezed.
 SUMS = "key bigint, block bigint, places binary, sums binary"
+_RUN = "key bigint, src binary, n_edges binary, degree binary, dst binary"
+_RUN_TYPES = [pa.int64(), *[pa.binary()] * 4]
 _PART = "key bigint, src binary, n_edges binary, degree binary, dst binary, place binary"
 
 
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
 def even_keys(spark: SparkSession, n: int) -> list[int]:
     """For each of ``n`` hash partitions a number that Spark puts there."""
     if n == 1:
@@ -81,21 +90,78 @@ def _numbered(edges: DataFrame, n_blocks: int) -> tuple[DataFrame, str]:
     return spark.read.schema("node string, id bigint, degree bigint").parquet(path), path
 
 
+def _squeezed(values: np.ndarray) -> bytes:
+    """The numbers as planes of their bytes, those of one rank side by side, compressed."""
+    planes = np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T)
+    return len(values).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def _spread(data: bytes, kind: type) -> np.ndarray:
+    """What :func:`_squeezed` was given."""
+    n, size = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
+    planes = pa.decompress(data[8:], n * size, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(size, n).T).reshape(-1).view(kind)
+
+
+def _steps(ascending: np.ndarray) -> np.ndarray:
+    return np.diff(ascending, prepend=ascending.dtype.type(0))
+
+
+def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow body: rows of edges ``(key, sid, did, degree)`` as one row a part for every run of them."""
+    held: list[pa.RecordBatch] = []
+
+    def rows() -> pa.RecordBatch:
+        key, sid, did, degree = (np.concatenate([b.column(i).to_numpy() for b in held]) for i in range(4))
+        order = np.lexsort((did, sid, key))
+        key, sid, did, degree = key[order], sid[order], did[order], degree[order]
+        bounds = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
+        columns: list[list] = [[], [], [], [], []]
+        for a, z in zip(bounds, bounds[1:]):
+            src, first, n_edges = np.unique(sid[a:z], return_index=True, return_counts=True)
+            packed = _steps(src), n_edges.astype(np.int64), degree[a:z][first], did[a:z]
+            for column, value in zip(columns, [int(key[a]), *map(_squeezed, packed)]):
+                column.append(value)
+        return pa.record_batch([pa.array(c, t) for c, t in zip(columns, _RUN_TYPES)], names=_names(_RUN))
+
+    n = 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            n += batch.num_rows
+        if n >= RUN_EDGES:
+            yield rows()
+            held, n = [], 0
+    if held:
+        yield rows()
+
+
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """mapInArrow body: the edges of one partition, which is one part, as compressed sparse rows."""
-    held = [[batch.column(i).to_numpy() for i in range(4)] for batch in batches if batch.num_rows]
-    if not held:
+    """mapInArrow body: the dealt rows of one partition, which is one part, as compressed sparse rows."""
+    key, sources, counts, degrees, targets = None, [], [], [], []
+    for batch in batches:
+        for k, src, n_edges, degree, dst in zip(*(c.to_pylist() for c in batch.columns)):
+            if key is not None and k != key:
+                raise ValueError("a partition holds the edges of two parts")
+            key = k
+            sources.append(np.cumsum(_spread(src, np.int64)))
+            counts.append(_spread(n_edges, np.int64))
+            degrees.append(_spread(degree, np.int64))
+            targets.append(dst)  # the long column stays compressed until it is needed
+    if key is None:
         return
-    key, sid, did, degree = (np.concatenate(c) for c in zip(*held))
-    if key.min() != key.max():
-        raise ValueError("a partition holds the edges of two parts")
-    order = np.argsort(sid, kind="stable")
-    src, first, n_edges = np.unique(sid[order], return_index=True, return_counts=True)
-    dst, place = np.unique(did[order], return_inverse=True)
-    columns = [src & _LOW, n_edges, degree[order][first], dst, place.astype(np.int32)]
-    values = [[int(key[0])], *[[np.ascontiguousarray(c).tobytes()] for c in columns]]
+    src, first, at = np.unique(np.concatenate(sources), return_index=True, return_inverse=True)
+    counts, degree = np.concatenate(counts), np.concatenate(degrees)[first]
+    n_edges = np.zeros(len(src), np.int64)
+    np.add.at(n_edges, at, counts)
+    order = np.argsort(np.repeat(at.astype(np.int32), counts), kind="stable")
+    did = np.concatenate([_spread(x, np.int64) for x in targets])[order]
+    del targets, order
+    dst, place = np.unique(did, return_inverse=True)
+    columns = [src & _LOW, n_edges, degree, dst, place.astype(np.int32)]
+    values = [[key], *[[np.ascontiguousarray(c).tobytes()] for c in columns]]
     types = [pa.int64(), *[pa.binary()] * 5]
-    yield pa.record_batch([pa.array(v, t) for v, t in zip(values, types)], names=[c.split()[0] for c in _PART.split(", ")])
+    yield pa.record_batch([pa.array(v, t) for v, t in zip(values, types)], names=_names(_PART))
 
 
 def blocked(edges: DataFrame, partitions: int, edges_per_part: int | None = None) -> BlockedGraph:
@@ -119,13 +185,14 @@ def blocked(edges: DataFrame, partitions: int, edges_per_part: int | None = None
     encoded = edges.join(side(nodes.select(F.col("node").alias("src"), F.col("id").alias("sid"), "degree")), "src").join(
         side(nodes.select(F.col("node").alias("dst"), F.col("id").alias("did"))), "dst"
     ).select("sid", "did", "degree")
+    placed = encoded.withColumn("block", F.shiftright("sid", 32)).join(dealt, "block").select(key.alias("key"), "sid", "did", "degree")
+    runs = placed.mapInArrow(_deal, _RUN)
     paths = [path]
     if not small:  # shuffle joins, whose hot keys adaptive execution splits; the packing below has a fixed plan
         paths.append(scratch_path(spark, "numbered_edges"))
-        encoded.write.parquet(paths[-1])
-        encoded = spark.read.schema(encoded.schema).parquet(paths[-1])
-    placed = encoded.withColumn("block", F.shiftright("sid", 32)).join(dealt, "block").select(key.alias("key"), "sid", "did", "degree")
-    packed = placed.repartition(n_parts, "key").mapInArrow(_pack, _PART)
+        runs.write.parquet(paths[-1])
+        runs = spark.read.schema(_RUN).parquet(paths[-1])
+    packed = runs.repartition(n_parts, "key").mapInArrow(_pack, _PART)
     # a plan that adapts while it runs doesn't tell its partitioning beforehand, and the rounds would move the parts
     with scoped_conf(spark, "spark.sql.adaptive.enabled", "false"):
         parts = persist(packed.repartition(n_parts, "key"))
@@ -148,9 +215,11 @@ def _sent(row: dict, values: np.ndarray | None, targets: Callable[[int], list[in
     edges = np.flatnonzero(np.diff(blocks)) + 1
     for a, z in zip([0, *edges.tolist()], [*edges.tolist(), len(dst)]):
         if a < z:
-            places = (dst[a:z] & _LOW).astype(np.uint32).tobytes()
-            for key in targets(int(blocks[a])):
-                yield key, int(blocks[a]), places, sums[a:z].tobytes()
+            keys = targets(int(blocks[a]))
+            if keys:
+                packed = _squeezed(_steps((dst[a:z] & _LOW).astype(np.uint32))), _squeezed(sums[a:z])
+            for key in keys:
+                yield key, int(blocks[a]), *packed
 
 
 def _rows(sent: list[tuple[int, int, bytes, bytes]]) -> list[pa.Array]:
@@ -158,17 +227,17 @@ def _rows(sent: list[tuple[int, int, bytes, bytes]]) -> list[pa.Array]:
     return [pa.array(key, pa.int64()), pa.array(block, pa.int64()), pa.array(places, pa.binary()), pa.array(sums, pa.binary())]
 
 
-_SUM_NAMES = [c.split()[0] for c in SUMS.split(", ")]
+_SUM_NAMES = _names(SUMS)
 
 
 def _met(table: pa.Table) -> np.ndarray:
     """Sums met for one block, by place; 0 where there is none."""
     total = np.zeros(0)
-    for places, sums in zip(table.column("places").to_pylist(), table.column("sums").to_pylist()):
-        at = np.frombuffer(places, np.uint32)
+    for places, sums in zip(table.column("places"), table.column("sums")):
+        at = np.cumsum(_spread(places.as_py(), np.uint32), dtype=np.uint32)
         if at[-1] >= len(total):  # places ascend
             total = np.concatenate([total, np.zeros(int(at[-1]) + 1 - len(total))])
-        total[at] += np.frombuffer(sums, np.float64)
+        total[at] += _spread(sums.as_py(), np.float64)
     return total
 
 

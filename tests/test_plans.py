@@ -70,3 +70,36 @@ def test_parts_hold_a_bounded_number_of_edges(spark):
 def test_parquet_scan_prunes_columns(spark):
     plan = _plan(graphs.graph_one_way(spark, SF_SMALL))
     assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint>" in plan
+
+
+def test_numbers_travel_squeezed():
+    import numpy as np
+    import pyarrow as pa
+
+    places = np.sort(np.random.default_rng(1).choice(40_000, 10_000, replace=False)).astype(np.uint32)
+    sums = np.random.default_rng(2).random(10_000)
+    row = blocks._squeezed(blocks._steps(places)), blocks._squeezed(sums)
+    assert sum(map(len, row)) < 8.5 * len(sums)  # 12 bytes plain
+    met = blocks._met(pa.table({"places": [row[0], row[0]], "sums": [row[1], row[1]]}))
+    assert (np.flatnonzero(met) == places).all() and (met[places] == 2 * sums).all()
+
+
+def test_edges_of_one_part_from_many_runs(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(blocks, "RUN_EDGES", 7)
+    rng = np.random.default_rng(3)
+    pairs = sorted({(int(a), int(b)) for a, b in rng.integers(0, 1 << 34, (60, 2))} | {(5, d) for d in range(40)})
+    degree = {s: sum(a == s for a, _ in pairs) for s, _ in pairs}
+    rng.shuffle(pairs)
+    rows = [(9, s, d, degree[s]) for s, d in map(tuple, pairs)]
+    batches = [pa.record_batch([pa.array(c, pa.int64()) for c in zip(*rows[i : i + 5])], names=list("ksdn")) for i in range(0, len(rows), 5)]
+    dealt = list(blocks._deal(iter(batches)))
+    assert len(dealt) > 5
+    (part,) = blocks._pack(iter(dealt))
+    got = {c: np.frombuffer(part.column(i)[0].as_py(), np.int32 if c == "place" else np.int64) for i, c in enumerate(blocks._names(blocks._PART)) if i}
+    src = np.repeat(got["src"], got["n_edges"])
+    assert sorted(zip(src, got["dst"][got["place"]])) == sorted((s & blocks._LOW, d) for s, d in map(tuple, pairs))
+    assert len(got["degree"]) == len(got["src"]) == len(degree) and got["degree"].max() == 40
+    assert part.column(0)[0].as_py() == 9
