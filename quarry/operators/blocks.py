@@ -158,8 +158,8 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     did = np.concatenate([_spread(x, np.int64) for x in targets])[order]
     del targets, order
     dst, place = np.unique(did, return_inverse=True)
-    columns = [src & _LOW, n_edges, degree, dst, place.astype(np.int32)]
-    values = [[key], *[[np.ascontiguousarray(c).tobytes()] for c in columns]]
+    columns = [src & _LOW, n_edges, degree]
+    values = [[key], *[[c.tobytes()] for c in columns], [_squeezed(_steps(dst))], [place.astype(np.int32).tobytes()]]
     types = [pa.int64(), *[pa.binary()] * 5]
     yield pa.record_batch([pa.array(v, t) for v, t in zip(values, types)], names=_names(_PART))
 
@@ -203,7 +203,8 @@ def _sent(row: dict, values: np.ndarray | None, targets: Callable[[int], list[in
     """What a part sends: for each block it reaches the sums of its sources' shares.
     ``values`` are those of the part's own block, 0 where a node has none
     (None: every source has 1); a target that no share reaches isn't named."""
-    src, n_edges, degree, dst = (np.frombuffer(row[c], np.int64) for c in ("src", "n_edges", "degree", "dst"))
+    src, n_edges, degree = (np.frombuffer(row[c], np.int64) for c in ("src", "n_edges", "degree"))
+    dst = np.cumsum(_spread(row["dst"], np.int64))
     if values is None:
         own = np.ones(len(src))
     else:
